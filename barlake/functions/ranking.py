@@ -17,38 +17,32 @@ BINS = 64
 
 
 def value_positions(df: DataFrame, keys: list[str], value: str, bins: int = BINS) -> DataFrame:
-    """One row per distinct non-null value: ``cnt``, ``below`` (rows smaller), ``n`` (rows in key)."""
-    counts = (
-        df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("cnt"))
-    )
+    """One row per distinct value: ``cnt``, ``below`` (rows smaller), ``n`` (rows in the key).
+
+    Keys must not be NULL; rows without a value are left out.
+    """
+    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("cnt"))
     cuts = [i / bins for i in range(1, bins)]
     edges = counts.groupBy(*keys).agg(F.percentile_approx(F.col(value), cuts, 1000).alias("_edges"))
-    same_key = [counts[k].eqNullSafe(edges[k]) for k in keys]
-    binned = (
-        counts.join(edges, same_key, "inner").select(*[counts[k] for k in keys], counts[value], "cnt", "_edges")
-        if keys
-        else counts.crossJoin(F.broadcast(edges))  # one row of at most `bins` numbers
-    )
+    # without keys the edges are one row of at most `bins` numbers
+    binned = counts.join(edges, keys) if keys else counts.crossJoin(F.broadcast(edges))
     binned = binned.withColumn("_bin", F.size(F.filter("_edges", lambda e: e < F.col(value)))).drop("_edges")
-    totals = binned.groupBy(*keys, "_bin").agg(F.sum("cnt").alias("_rows"))
-    # At most `bins` rows per key are ordered here.
+    # at most `bins` rows per key are ordered here
     over_bins = Window.partitionBy(*keys).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
-    over_key = Window.partitionBy(*keys)
-    totals = totals.select(
-        *keys,
-        "_bin",
-        F.coalesce(F.sum("_rows").over(over_bins), F.lit(0)).alias("_before"),
-        F.sum("_rows").over(over_key).alias("n"),
+    totals = (
+        binned.groupBy(*keys, "_bin")
+        .agg(F.sum("cnt").alias("_rows"))
+        .select(
+            *keys,
+            "_bin",
+            F.coalesce(F.sum("_rows").over(over_bins), F.lit(0)).alias("_before"),
+            F.sum("_rows").over(Window.partitionBy(*keys)).alias("n"),
+        )
     )
     in_bin = Window.partitionBy(*keys, "_bin").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
     local = binned.withColumn("_inside", F.coalesce(F.sum("cnt").over(in_bin), F.lit(0)))
-    cond = [local[k].eqNullSafe(totals[k]) for k in keys] + [local["_bin"] == totals["_bin"]]
-    return local.join(totals, cond, "inner").select(
-        *[local[k] for k in keys],
-        local[value],
-        local["cnt"],
-        (totals["_before"] + local["_inside"]).alias("below"),
-        totals["n"],
+    return local.join(totals, [*keys, "_bin"]).select(
+        *keys, value, "cnt", (F.col("_before") + F.col("_inside")).alias("below"), "n"
     )
 
 

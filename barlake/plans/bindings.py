@@ -76,6 +76,57 @@ def minutes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def session_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ticks laid onto trading sessions: a day's 24 hours map to the 240 minutes, weeks to dates.
+
+    One code collects half of all ticks, so some sessions are dense and some have gaps.
+    """
+    idx = F.floor((F.hour("ts") * 3600 + F.minute("ts") * 60 + F.floor(F.second("ts"))) * 240 / 86400).cast("int")
+    u = F.col("user_id") % 10
+    ev = table(spark, sf_dir, "events")
+    price = F.col("value").cast("decimal(12,2)")
+    volume = F.regexp_extract("props", "([0-9]+)", 1).cast("int")
+    m = F.when(idx < 120, idx + 570).otherwise(idx - 120 + 780)
+    day = F.to_date(F.date_trunc("week", "ts"))
+    return ev.select(
+        F.when(u < 5, F.lit("000000")).otherwise(_code(u)).alias("code"),
+        day.alias("trade_date"),
+        (day.cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.lit(0), m)).alias("ts"),
+        F.col("event_id").alias("seq"),
+        price.alias("price"),
+        volume.alias("volume"),
+        (price * volume).alias("amount"),
+    )
+
+
+def session_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Session minute bars, unique per (code, trade_date, ts)."""
+    return (
+        session_ticks(spark, sf_dir)
+        .groupBy("code", "trade_date", "ts")
+        .agg(
+            F.min_by("price", "seq").alias("open"),
+            F.max("price").alias("high"),
+            F.min("price").alias("low"),
+            F.max_by("price", "seq").alias("close"),
+            F.sum("volume").alias("volume"),
+            F.sum("amount").alias("amount"),
+        )
+    )
+
+
+def session_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Day snapshot of the session bars: price, open, high, low and a stand-in previous close."""
+    b = session_bars(spark, sf_dir)
+    return b.groupBy("code", "trade_date").agg(
+        F.max_by("close", "ts").alias("price"),
+        F.min_by("open", "ts").alias("open"),
+        F.max("high").alias("high"),
+        F.min("low").alias("low"),
+        F.min_by("close", "ts").alias("pre_close"),
+    )
+
+
 def dims(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Supplier with nation and region: name, market (two regions unmapped), industry, board."""
     s = table(spark, sf_dir, "supplier")
@@ -177,6 +228,13 @@ SELECT code, dt, min_by(px, ord) AS open, max(px) AS high, min(px) AS low, max_b
 FROM (SELECT lpad(CAST(l_partkey AS VARCHAR), 6, '0') AS code, CAST(l_shipdate AS DATE) AS dt,
              CAST(l_extendedprice AS DECIMAL(12,2)) AS px, CAST(l_quantity AS DECIMAL(6,0)) AS qty,
              (l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_quantity) AS ord FROM lineitem) t
+GROUP BY code, dt""",
+    "fx_lbars": """
+SELECT code, dt, min_by(px, ord) AS open, max(px) AS high, min(px) AS low, max_by(px, ord) AS close,
+       sum(qty) AS volume, sum(px * qty) AS amount
+FROM (SELECT lpad(CAST(l_linenumber AS VARCHAR), 6, '0') AS code, CAST(l_shipdate AS DATE) AS dt,
+             CAST(l_extendedprice AS DECIMAL(12,2)) AS px, CAST(l_quantity AS DECIMAL(6,0)) AS qty,
+             (l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_quantity) AS ord FROM lineitem) t
 GROUP BY code, dt""",
     "fx_ticks": """
 SELECT lpad(CAST(user_id % 10 AS VARCHAR), 6, '0') AS code, ts, event_id AS seq,
@@ -189,6 +247,20 @@ SELECT code, CAST(date_trunc('minute', ts) AS TIMESTAMP) AS ts_min, min_by(price
        CAST(ts AS DATE) AS trade_date,
        CAST(extract(hour FROM date_trunc('minute', ts)) * 60 + extract(minute FROM date_trunc('minute', ts)) AS INT) AS mod
 FROM fx_ticks GROUP BY code, date_trunc('minute', ts), CAST(ts AS DATE)""",
+    "fx_sticks": """
+SELECT code, trade_date, CAST(trade_date AS TIMESTAMP) + to_minutes(m) AS ts, m, seq, price, volume, amount FROM (
+ SELECT *, CAST(CASE WHEN idx < 120 THEN idx + 570 ELSE idx - 120 + 780 END AS INT) AS m FROM (
+  SELECT CASE WHEN user_id % 10 < 5 THEN '000000' ELSE lpad(CAST(user_id % 10 AS VARCHAR), 6, '0') END AS code,
+   CAST(date_trunc('week', ts) AS DATE) AS trade_date,
+   CAST(floor((extract(hour FROM ts) * 3600 + extract(minute FROM ts) * 60 + floor(extract(second FROM ts))) * 240 / 86400) AS INT) AS idx,
+   event_id AS seq, CAST(value AS DECIMAL(12,2)) AS price, CAST(regexp_extract(props, '([0-9]+)', 1) AS INT) AS volume,
+   CAST(value AS DECIMAL(12,2)) * CAST(regexp_extract(props, '([0-9]+)', 1) AS INT) AS amount FROM events))""",
+    "fx_session": """
+SELECT code, trade_date, ts, m, min_by(price, seq) AS open, max(price) AS high, min(price) AS low, max_by(price, seq) AS close,
+ CAST(sum(volume) AS BIGINT) AS volume, sum(amount) AS amount FROM fx_sticks GROUP BY code, trade_date, ts, m""",
+    "fx_sdays": """
+SELECT code, trade_date, max_by(close, ts) AS price, min_by(open, ts) AS open, max(high) AS high, min(low) AS low,
+ min_by(close, ts) AS pre_close FROM fx_session GROUP BY code, trade_date""",
     "fx_dims": """
 SELECT lpad(CAST(s_suppkey AS VARCHAR), 6, '0') AS code, s_suppkey AS k, s_name AS sname,
        CASE n_regionkey WHEN 0 THEN 'sh' WHEN 1 THEN 'sz' WHEN 2 THEN 'bj' END AS market,
@@ -214,6 +286,8 @@ SELECT o_orderkey AS seq, o_orderpriority AS source, o_orderdate AS ts, o_orders
 }
 _NEEDS = {
     "fx_minutes": ["fx_ticks"],
+    "fx_session": ["fx_sticks"],
+    "fx_sdays": ["fx_session"],
     "fx_snapshot": ["fx_bars", "fx_dims"],
 }
 

@@ -19,6 +19,11 @@ def _history(spark, d, *cols):
     return ind.indicators_history(bars(spark, d)).select("code", _day(), *cols)
 
 
+def _history_wide(spark, d, *cols):
+    """Bars keyed by line number hold several trades each, so their candles have a body."""
+    return ind.indicators_history(bars(spark, d, "l_linenumber")).select("code", _day(), *cols)
+
+
 _W = "PARTITION BY code ORDER BY dt ROWS BETWEEN {} PRECEDING AND CURRENT ROW"
 
 
@@ -87,7 +92,7 @@ sh AS (SELECT code, dt,
   CASE WHEN h - l > 0 THEN (h - greatest(o, c)) / (h - l) END AS up,
   CASE WHEN h - l > 0 THEN (least(o, c) - l) / (h - l) END AS lo
  FROM (SELECT code, dt, CAST(open AS DOUBLE) o, CAST(high AS DOUBLE) h, CAST(low AS DOUBLE) l,
-              CAST(close AS DOUBLE) c FROM fx_bars))"""
+              CAST(close AS DOUBLE) c FROM fx_lbars))"""
 
 
 @query(
@@ -95,11 +100,11 @@ sh AS (SELECT code, dt,
     with_bindings(
         f"WITH {_SHADOW.strip()} SELECT code, CAST(dt AS VARCHAR) AS dt, up AS upper_shadow_ratio,"
         " lo AS lower_shadow_ratio FROM sh",
-        "fx_bars",
+        "fx_lbars",
     ),
 )
 def ind_shadow(spark, d):
-    return _history(spark, d, "upper_shadow_ratio", "lower_shadow_ratio")
+    return _history_wide(spark, d, "upper_shadow_ratio", "lower_shadow_ratio")
 
 
 @query(
@@ -109,11 +114,11 @@ def ind_shadow(spark, d):
 SELECT code, CAST(dt AS VARCHAR) AS dt,
        CASE WHEN count(up) OVER w = 5 THEN count(CASE WHEN up > 0.6::DOUBLE THEN 1 END) OVER w >= 3 END AS repeated_upper_shadow
 FROM sh WINDOW w AS ({_W.format(4)})""",
-        "fx_bars",
+        "fx_lbars",
     ),
 )
 def ind_repeated_shadow(spark, d):
-    return _history(spark, d, "repeated_upper_shadow")
+    return _history_wide(spark, d, "repeated_upper_shadow")
 
 
 @query(
