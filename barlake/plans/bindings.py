@@ -77,16 +77,16 @@ def minutes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def session_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ticks laid onto trading sessions: a day's 24 hours map to the 240 minutes, weeks to dates.
+    """Ticks laid onto trading sessions: a day's 24 hours map to the session minutes, weeks to dates.
 
     One code collects half of all ticks, so some sessions are dense and some have gaps.
     """
-    idx = F.floor((F.hour("ts") * 3600 + F.minute("ts") * 60 + F.floor(F.second("ts"))) * 240 / 86400).cast("int")
+    idx = F.floor((F.hour("ts") * 3600 + F.minute("ts") * 60 + F.floor(F.second("ts"))) * 242 / 86400).cast("int")
     u = F.col("user_id") % 10
     ev = table(spark, sf_dir, "events")
     price = F.col("value").cast("decimal(12,2)")
     volume = F.regexp_extract("props", "([0-9]+)", 1).cast("int")
-    m = F.when(idx < 120, idx + 570).otherwise(idx - 120 + 780)
+    m = F.when(idx <= 120, idx + 570).otherwise(idx - 121 + 780)  # 11:30 and 15:00 included
     day = F.to_date(F.date_trunc("week", "ts"))
     return ev.select(
         F.when(u < 5, F.lit("000000")).otherwise(_code(u)).alias("code"),
@@ -249,10 +249,10 @@ SELECT code, CAST(date_trunc('minute', ts) AS TIMESTAMP) AS ts_min, min_by(price
 FROM fx_ticks GROUP BY code, date_trunc('minute', ts), CAST(ts AS DATE)""",
     "fx_sticks": """
 SELECT code, trade_date, CAST(trade_date AS TIMESTAMP) + to_minutes(m) AS ts, m, seq, price, volume, amount FROM (
- SELECT *, CAST(CASE WHEN idx < 120 THEN idx + 570 ELSE idx - 120 + 780 END AS INT) AS m FROM (
+ SELECT *, CAST(CASE WHEN idx <= 120 THEN idx + 570 ELSE idx - 121 + 780 END AS INT) AS m FROM (
   SELECT CASE WHEN user_id % 10 < 5 THEN '000000' ELSE lpad(CAST(user_id % 10 AS VARCHAR), 6, '0') END AS code,
    CAST(date_trunc('week', ts) AS DATE) AS trade_date,
-   CAST(floor((extract(hour FROM ts) * 3600 + extract(minute FROM ts) * 60 + floor(extract(second FROM ts))) * 240 / 86400) AS INT) AS idx,
+   CAST(floor((extract(hour FROM ts) * 3600 + extract(minute FROM ts) * 60 + floor(extract(second FROM ts))) * 242 / 86400) AS INT) AS idx,
    event_id AS seq, CAST(value AS DECIMAL(12,2)) AS price, CAST(regexp_extract(props, '([0-9]+)', 1) AS INT) AS volume,
    CAST(value AS DECIMAL(12,2)) * CAST(regexp_extract(props, '([0-9]+)', 1) AS INT) AS amount FROM events))""",
     "fx_session": """
@@ -294,6 +294,8 @@ _NEEDS = {
 
 def with_bindings(sql: str, *names: str) -> str:
     """Prefix a check query with the bindings it reads."""
+    if not names:
+        return sql.strip()
     order: list[str] = []
 
     def visit(n: str) -> None:
