@@ -7,7 +7,14 @@ from pyspark.sql import functions as F
 
 from barlake.functions.ranking import percent_rank_average
 from barlake.operators import indicators as ind
-from barlake.plans import catalog_crosssection, catalog_indicators, catalog_minutes, catalog_sources  # noqa: F401
+from barlake.plans import (  # noqa: F401
+    catalog_crosssection,
+    catalog_indicators,
+    catalog_merges,
+    catalog_minutes,
+    catalog_quality,
+    catalog_sources,
+)
 from barlake.plans.bindings import AS_OF_DATES, bars
 from barlake.plans.registry import ORACLES, QUERIES
 
