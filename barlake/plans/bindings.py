@@ -210,6 +210,22 @@ def calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def universe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Screening input: snapshot, indicator record and relative strength of one as-of date.
+
+    The stand-in prices jump far more than real ones, so changes are divided by 20.
+    """
+    from barlake.functions.ranking import percent_rank_average
+    from barlake.operators.indicators import indicators_as_of
+
+    rec = indicators_as_of(bars(spark, sf_dir), [AS_OF]).drop("used_rows", "first_date", "last_date", "last_close")
+    rec = percent_rank_average(rec, ["as_of"], "return_20d", "rps20").drop("as_of")
+    s = snapshot(spark, sf_dir).withColumn("change_pct", F.col("change_pct") / 20)
+    for c in ("price", "pre_close", "open", "high", "low", "volume", "amount"):
+        s = s.withColumn(c, F.col(c).cast("double"))
+    return s.drop("board").join(rec, "code", "left")
+
+
 # --------------------------------------------------------------------------
 # The same bindings as SQL text for the check.
 # --------------------------------------------------------------------------
@@ -284,7 +300,53 @@ JOIN fx_dims d ON d.code = b.code WHERE b.rn = 1""",
 SELECT o_orderkey AS seq, o_orderpriority AS source, o_orderdate AS ts, o_orderstatus <> 'F' AS ok,
        CAST(floor(o_totalprice) AS BIGINT) AS rows FROM orders""",
 }
+_FOLD_RSI = """list_reduce(bars, lambda a, x: {
+  'i': CASE WHEN a.prev IS NULL THEN 0 ELSE a.i + 1 END, 'prev': x.c,
+  'up': CASE WHEN a.prev IS NULL THEN 0::DOUBLE WHEN a.i + 1 < 14 THEN a.up + greatest(x.c - a.prev, 0)
+             WHEN a.i + 1 = 14 THEN (a.up + greatest(x.c - a.prev, 0)) / 14 ELSE (a.up * 13 + greatest(x.c - a.prev, 0)) / 14 END,
+  'dn': CASE WHEN a.prev IS NULL THEN 0::DOUBLE WHEN a.i + 1 < 14 THEN a.dn + greatest(a.prev - x.c, 0)
+             WHEN a.i + 1 = 14 THEN (a.dn + greatest(a.prev - x.c, 0)) / 14 ELSE (a.dn * 13 + greatest(a.prev - x.c, 0)) / 14 END},
+  {'i': 0, 'prev': NULL::DOUBLE, 'up': 0::DOUBLE, 'dn': 0::DOUBLE})"""
+_TR = "coalesce(greatest(x.h - x.l, abs(x.h - a.prev), abs(x.l - a.prev)), x.h - x.l)"
+_FOLD_ATR = f"""list_reduce(bars, lambda a, x: {{'i': a.i + 1, 'prev': x.c,
+  'v': CASE WHEN a.i + 1 < 14 THEN a.v + {_TR} WHEN a.i + 1 = 14 THEN (a.v + {_TR}) / 14 ELSE (a.v * 13 + {_TR}) / 14 END}},
+  {{'i': 0, 'prev': NULL::DOUBLE, 'v': 0::DOUBLE}})"""
+_E12 = "CASE WHEN a.i = 0 THEN x.c ELSE x.c * (2::DOUBLE/13) + a.f * (1::DOUBLE - 2::DOUBLE/13) END"
+_E26 = "CASE WHEN a.i = 0 THEN x.c ELSE x.c * (2::DOUBLE/27) + a.s * (1::DOUBLE - 2::DOUBLE/27) END"
+_DIF = f"(CASE WHEN a.i + 1 >= 26 THEN ({_E12}) - ({_E26}) END)"
+_DEA = f"coalesce({_DIF} * 0.2::DOUBLE + a.d * (1::DOUBLE - 0.2::DOUBLE), {_DIF})"
+_FOLD_MACD = f"""list_reduce(bars, lambda a, x: {{'i': a.i + 1, 'f': {_E12}, 's': {_E26}, 'd': {_DEA},
+  'h0': CASE WHEN a.i + 1 >= 34 THEN ({_DIF} - {_DEA}) * 2 END, 'h1': a.h0, 'h2': a.h1, 'h3': a.h2}},
+  {{'i': 0, 'f': NULL::DOUBLE, 's': NULL::DOUBLE, 'd': NULL::DOUBLE, 'h0': NULL::DOUBLE, 'h1': NULL::DOUBLE, 'h2': NULL::DOUBLE, 'h3': NULL::DOUBLE}})"""
+_MA_SQL = ", ".join(f"CASE WHEN n >= {p} THEN s{p} / {p} END AS ma{p}" for p in (5, 10, 11, 20, 23, 60))
+_SQL["fx_ind"] = f"""
+SELECT code, n, c1 AS last_close, {_MA_SQL},
+  CASE WHEN rf.i < 14 THEN NULL WHEN rf.dn = 0 THEN CASE WHEN rf.up > 0 THEN 100::DOUBLE ELSE 50::DOUBLE END ELSE 100 - 100 / (1 + rf.up / rf.dn) END AS rsi14,
+  CASE WHEN af.i >= 14 THEN af.v END AS atr14, CASE WHEN af.i >= 14 THEN af.v END / nullif(c1, 0) * 100 AS atr14_pct,
+  CASE WHEN n >= 20 THEN mid + wid END AS boll_upper, CASE WHEN n >= 20 THEN mid END AS boll_middle, CASE WHEN n >= 20 THEN mid - wid END AS boll_lower,
+  CASE WHEN n >= 20 THEN CASE WHEN wid = 0 THEN 0.5::DOUBLE ELSE (c1 - (mid - wid)) / ((mid + wid) - (mid - wid)) END END AS boll_position,
+  (c1 - c6) / nullif(c6, 0) AS return_5d, (c1 - c11) / nullif(c11, 0) AS return_10d, (c1 - c21) / nullif(c21, 0) AS return_20d,
+  CASE WHEN h1 - l1 > 0 THEN (h1 - greatest(o1, c1)) / (h1 - l1) END AS upper_shadow_ratio,
+  mf.h0 - mf.h1 AS momentum_delta_1, mf.h0 - mf.h3 AS momentum_delta_3
+FROM (SELECT *, s20 / 20 AS mid, 2 * sqrt(greatest(CAST(20 * CAST(q20 AS DECIMAL(30,4)) - CAST(d20 AS DECIMAL(18,2)) * CAST(d20 AS DECIMAL(18,2)) AS DOUBLE) / 380, 0)) AS wid,
+   {_FOLD_RSI} AS rf, {_FOLD_ATR} AS af, {_FOLD_MACD} AS mf
+ FROM (SELECT code, count(*) AS n, list({{'h': h, 'l': l, 'c': c}} ORDER BY dt) AS bars, {", ".join(f"CAST(sum(CASE WHEN k <= {p} THEN cd END) AS DOUBLE) AS s{p}" for p in (5, 10, 11, 20, 23, 60))},
+   sum(CASE WHEN k <= 20 THEN cd END) AS d20, sum(CASE WHEN k <= 20 THEN CAST(cd * cd AS DECIMAL(24,4)) END) AS q20,
+   {", ".join(f"max(CASE WHEN k = {p} THEN c END) AS c{p}" for p in (1, 6, 11, 21))}, max(CASE WHEN k = 1 THEN o END) AS o1, max(CASE WHEN k = 1 THEN h END) AS h1, max(CASE WHEN k = 1 THEN l END) AS l1
+  FROM (SELECT code, dt, CAST(open AS DOUBLE) AS o, CAST(high AS DOUBLE) AS h, CAST(low AS DOUBLE) AS l, CAST(close AS DOUBLE) AS c, close AS cd,
+     row_number() OVER (PARTITION BY code ORDER BY dt DESC) AS k FROM fx_bars WHERE dt < DATE '2001-12-01') WHERE k <= 250 GROUP BY code))"""
+_SQL["fx_rps"] = """
+SELECT code, CAST(2 * (rank() OVER (ORDER BY return_20d) - 1) + count(*) OVER (PARTITION BY return_20d) + 1 AS DOUBLE) / 2 / count(*) OVER () * 100 AS rps20
+FROM fx_ind WHERE return_20d IS NOT NULL"""
+_SQL["fx_univ"] = """
+SELECT s.code, s.k, s.sym, s.name, s.market, s.industry, s.trade_date, CAST(s.price AS DOUBLE) AS price, CAST(s.pre_close AS DOUBLE) AS pre_close, CAST(s.open AS DOUBLE) AS open,
+  CAST(s.high AS DOUBLE) AS high, CAST(s.low AS DOUBLE) AS low, s.change_pct / 20 AS change_pct, CAST(s.volume AS DOUBLE) AS volume, CAST(s.amount AS DOUBLE) AS amount,
+  s.turnover_rate, s.source, s.circ_mv, s.volume_ratio, i.* EXCLUDE (code, n, last_close), r.rps20
+FROM fx_snapshot s LEFT JOIN fx_ind i ON i.code = s.code LEFT JOIN fx_rps r ON r.code = s.code"""
 _NEEDS = {
+    "fx_ind": ["fx_bars"],
+    "fx_rps": ["fx_ind"],
+    "fx_univ": ["fx_snapshot", "fx_ind", "fx_rps"],
     "fx_minutes": ["fx_ticks"],
     "fx_session": ["fx_sticks"],
     "fx_sdays": ["fx_session"],

@@ -13,6 +13,7 @@ from barlake.plans import (  # noqa: F401
     catalog_merges,
     catalog_minutes,
     catalog_quality,
+    catalog_screening,
     catalog_sources,
 )
 from barlake.plans.bindings import AS_OF_DATES, bars

@@ -234,13 +234,13 @@ def dq_conditions(spark, d):
     with_bindings(
         """WITH e AS (SELECT coalesce(market, 'none') AS segment, code, k FROM fx_dims),
 c AS (SELECT segment, 'p1' AS source, 1 AS p, false AS cache, code FROM e WHERE k % 4 = 0 UNION ALL SELECT segment, 'p2', 2, false, code FROM e WHERE segment <> 'bj' AND k % 3 <> 0 UNION ALL SELECT segment, 'old', 9, true, code FROM e WHERE k % 2 = 0),
-g AS (SELECT segment, source, p, cache, count(*) AS n, CASE WHEN cache THEN true ELSE count(*) >= (SELECT count(*) / 8 FROM fx_dims) END AS usable FROM c GROUP BY ALL),
+g AS (SELECT *, CASE WHEN cache THEN true ELSE n >= 13 END AS usable FROM (SELECT segment, source, p, cache, count(*) AS n FROM c GROUP BY ALL)),
 b AS (SELECT segment, min_by(source, (cache, p)) AS source, min_by(n, (cache, p)) AS n, min_by(cache, (cache, p)) AS cache FROM g WHERE usable GROUP BY segment),
 x AS (SELECT segment, string_agg(source || ': rows=' || n, '|' ORDER BY source || ': rows=' || n) AS errors FROM g WHERE NOT usable GROUP BY segment)
 SELECT w.segment, w.expected, coalesce(b.n, 0) AS actual, greatest(w.expected - coalesce(b.n, 0), 0) AS missing, coalesce(b.source, '') AS source, coalesce(b.cache, false) AS is_stale, coalesce(x.errors, '') AS errors
 FROM (SELECT segment, count(*) AS expected FROM e GROUP BY segment) w LEFT JOIN b ON b.segment = w.segment LEFT JOIN x ON x.segment = w.segment""",
         "fx_dims",
-    ).replace("(SELECT count(*) / 8 FROM fx_dims)", "13"),
+    ),
 )
 def dq_segment_coverage(spark, d):
     k = F.col("k")
