@@ -217,13 +217,15 @@ def universe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     from barlake.functions.ranking import percent_rank_average
     from barlake.operators.indicators import indicators_as_of
+    from barlake.session import materialize
 
     rec = indicators_as_of(bars(spark, sf_dir), [AS_OF]).drop("used_rows", "first_date", "last_date", "last_close")
+    rec = materialize(spark, rec, "indicators")  # the rank reads it twice
     rec = percent_rank_average(rec, ["as_of"], "return_20d", "rps20").drop("as_of")
     s = snapshot(spark, sf_dir).withColumn("change_pct", F.col("change_pct") / 20)
     for c in ("price", "pre_close", "open", "high", "low", "volume", "amount"):
         s = s.withColumn(c, F.col(c).cast("double"))
-    return s.drop("board").join(rec, "code", "left")
+    return materialize(spark, s.drop("board").join(rec, "code", "left"), "universe")
 
 
 # --------------------------------------------------------------------------

@@ -18,13 +18,14 @@ from barlake.plans import (  # noqa: F401
 )
 from barlake.plans.bindings import AS_OF_DATES, bars
 from barlake.plans.registry import ORACLES, QUERIES
+from barlake.session import materialize
 
 __all__ = ["ORACLES", "QUERIES", "flagship"]
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Indicators and relative strength of every security as of each date."""
-    rec = ind.indicators_as_of(bars(spark, sf_dir), AS_OF_DATES)
+    rec = materialize(spark, ind.indicators_as_of(bars(spark, sf_dir), AS_OF_DATES), "flagship")
     ranked = percent_rank_average(rec, ["as_of"], "return_20d", "rps20")
     return ranked.select(
         "code", F.col("as_of").cast("string").alias("as_of"), "last_close", "ma5", "ma20", "ma60", "rsi14",

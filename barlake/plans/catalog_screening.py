@@ -11,6 +11,7 @@ from barlake.operators import merges as mg
 from barlake.operators import screening as sc
 from barlake.plans.bindings import AS_OF, bars, r2, snapshot, table, universe, with_bindings
 from barlake.plans.registry import query
+from barlake.session import materialize
 
 
 def _trad(spark, d):
@@ -39,8 +40,8 @@ def scr_tradability(spark, d):
     return _trad(spark, d).select("code", "board", "is_st", "delist_risk", "is_suspended", F.col("listed_days").cast("bigint").alias("listed_days"), "is_limit_up", "is_limit_down")
 
 
-def _hard(spark, d):
-    return sc.hard_filter(_trad(spark, d))
+def _hard(spark, d, t=None):
+    return sc.hard_filter(_trad(spark, d) if t is None else t)
 
 
 def _liq(df):
@@ -81,8 +82,8 @@ z2 AS (SELECT *, {r2('(buy_high + ax * 0.3::DOUBLE) * 1.005::DOUBLE', 2)} AS cha
 z3 AS (SELECT *, CASE WHEN buy_high - protect > 0 THEN {r2('(sell1_low - buy_high) / nullif(buy_high - protect, 0)', 2)} ELSE 0 END AS rr_ratio, {r2('ax', 3)} AS atr FROM z2)"""
 
 
-def _scored(spark, d):
-    t = _trad(spark, d)
+def _scored(spark, d, t=None):
+    t = _trad(spark, d) if t is None else t
     chg = cs.industry_change(sc.hard_filter(t))
     near = (F.col("ma5") > F.col("ma10")) & (F.col("ma10") > F.col("ma20"))
     t = t.withColumns({"trend_near": near, "trend_aligned": near & (F.col("ma20") > F.col("ma60"))}).join(chg, "industry", "left")
@@ -115,11 +116,13 @@ sel AS (SELECT cd.code, opportunity_score, CASE WHEN of.code IS NOT NULL THEN 'o
  of.code IS NOT NULL AND opportunity_score >= 50 AS fast_entry FROM cd LEFT JOIN of ON of.code = cd.code LEFT JOIN wt ON wt.code = cd.code)"""
 
 
-def _selected(spark, d):
+def _selected(spark, d, t=None):
     """Thresholds lowered to what random stand-in prices can reach."""
-    mode = cs.market_mode(_hard(spark, d))
+    t = _trad(spark, d) if t is None else t
+    mode = cs.market_mode(_hard(spark, d, t))
     mode = mode.select((F.col("min_score") - 25).alias("min_score"), (F.col("max_tail_risk") + 1).alias("max_tail_risk"))
-    return sc.select_candidates(_scored(spark, d), mode, min_rr=0.1, official_score=30, fast=50)
+    scored = materialize(spark, _scored(spark, d, t), "scored")
+    return sc.select_candidates(scored, mode, min_rr=0.1, official_score=30, fast=50)
 
 
 @query("scr_select", with_bindings(f"WITH {_TRAD}, {_SCORE}, {_SELECT} SELECT * FROM sel", "fx_univ"))
@@ -132,7 +135,8 @@ def scr_select(spark, d):
     with_bindings(f"WITH {_TRAD}, {_SCORE}, {_SELECT} SELECT (SELECT count(*) FROM tr) AS initial, (SELECT count(*) FROM hard) AS after_hard, count(*) AS candidates, count(CASE WHEN list = 'official' THEN 1 END) AS official FROM sel", "fx_univ"),
 )
 def scr_funnel(spark, d):
-    return sc.funnel(_trad(spark, d), _hard(spark, d), _selected(spark, d))
+    t = _trad(spark, d)
+    return sc.funnel(t, _hard(spark, d, t), _selected(spark, d, t))
 
 
 # -- first generation ---------------------------------------------------------------

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 #: Settings every barlake job expects.  They are runtime (SQL) settings, so they
 #: can also be applied to a session that a cluster has already created.
@@ -28,6 +28,8 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8, app: str
         .config("spark.driver.memory", os.environ.get("BARLAKE_DRIVER_MEMORY", "8g"))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        # call-site tracking costs two JVM round trips per column expression
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in SQL_DEFAULTS.items():
         builder = builder.config(key, value)
@@ -36,6 +38,18 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
+def materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """Write an intermediate table once to the shared scratch location and read it back.
+
+    Used where several branches of one job need the same expensive input: it is
+    computed once, its size is known to the planner afterwards, and losing an
+    executor costs nothing because the files are shared.
+    """
+    path = scratch_dir(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 _LOCAL_BASE: list[str] = []
 
 
