@@ -10,6 +10,7 @@ from barlake.operators import indicators as ind
 from barlake.plans import (  # noqa: F401
     catalog_crosssection,
     catalog_indicators,
+    catalog_lifecycle,
     catalog_merges,
     catalog_minutes,
     catalog_quality,
