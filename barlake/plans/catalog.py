@@ -16,6 +16,7 @@ from barlake.plans import (  # noqa: F401
     catalog_quality,
     catalog_screening,
     catalog_sources,
+    catalog_streaming,
 )
 from barlake.plans.bindings import AS_OF_DATES, bars
 from barlake.plans.registry import ORACLES, QUERIES
