@@ -14,6 +14,9 @@ SECOND_MARKET_PATTERN = r"^(4|8|9)[0-9]{5}$"
 MARKETS = ("sh", "sz", "bj")
 BOARD_BSE, BOARD_STAR, BOARD_CHINEXT, BOARD_SME, BOARD_MAIN = "北交所", "科创板", "创业板", "中小板", "主板"
 
+# Characters removed at both ends of a message.
+WHITESPACE = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u2028\u2029\u3000"
+
 # Wording that must not appear in neutral messages.
 FORBIDDEN_TERMS = (
     "candidate|recommend|buy|sell|signal|score|rank|probability|"
@@ -122,7 +125,7 @@ def plain_text(c: Column | str) -> Column:
 
 def neutral_text(c: Column | str, replacement: str = "data") -> Column:
     """Trimmed text with every advice-like term replaced, ignoring case."""
-    text = F.regexp_replace(col(c), r"^\s+|\s+$", "")
+    text = F.btrim(col(c), F.lit(WHITESPACE))
     return F.regexp_replace(text, "(?iu)" + FORBIDDEN_TERMS, replacement)
 
 

@@ -7,8 +7,8 @@ Two modes share one definition of every indicator.
   which Spark applies in each map task before the shuffle, so the state per
   group is bounded whatever the history length.
 * ``indicators_history``: one row per bar.  Moving sums are differences of
-  running DECIMAL sums, so each bar costs the same for MA5 and MA250 and the
-  result does not depend on summation order.
+  running exact sums (whole price units), so each bar costs the same for MA5 and
+  MA250 and the result does not depend on summation order.
 
 Bars are unique per (code, dt): a code can never hold more rows than there are
 calendar days, which bounds the per-code window.
@@ -41,6 +41,18 @@ def _and(conds: Sequence[Column]) -> Column:
     return reduce(lambda a, b: a & b, conds)
 
 
+PRICE_UNIT = 1_000_000
+
+
+def price_units(c: Column | str) -> Column:
+    """Price in whole millionths, so that moving sums are exact BIGINT sums."""
+    return F.round(dbl(c) * PRICE_UNIT).cast("bigint")
+
+
+def mean_price(units: Column, n: Column | int) -> Column:
+    return units.cast("double") / PRICE_UNIT / n
+
+
 def sample_std(n: int, total: Column, squares: Column) -> Column:
     """Sample standard deviation from exact decimal sums."""
     s1 = total.cast("decimal(18,4)")
@@ -190,6 +202,7 @@ def indicators_as_of(bars: DataFrame, as_of: Sequence[str], keep: int = MAX_BARS
         tail.where(F.col("close").isNotNull())
         .withColumn("k", F.row_number().over(w))
         .withColumn("_c", dec("close"))
+        .withColumn("_u", price_units("close"))
         .select("*", *[dbl(x).alias(f"_{x}") for x in ("open", "high", "low", "close")])
     )
     k, c = F.col("k"), F.col("_close")
@@ -208,7 +221,8 @@ def indicators_as_of(bars: DataFrame, as_of: Sequence[str], keep: int = MAX_BARS
         F.min("dt").alias("first_date"),
         F.max("dt").alias("last_date"),
         at(1, c).alias("last_close"),
-        *[F.sum(newest(p, F.col("_c"))).alias(f"_s{p}") for p in MA_PERIODS],
+        *[F.sum(newest(p, F.col("_u"))).alias(f"_s{p}") for p in MA_PERIODS],
+        F.sum(newest(BOLL_N, F.col("_c"))).alias("_d20"),
         F.sum(newest(BOLL_N, F.col("_c") * F.col("_c"))).alias("_q20"),
         *[at(p + 1, c).alias(f"_c{p}") for p in RETURN_PERIODS],
         at(1, upper).alias("upper_shadow_ratio"),
@@ -228,7 +242,7 @@ def indicators_as_of(bars: DataFrame, as_of: Sequence[str], keep: int = MAX_BARS
         rsi_fold(F.col("_bars")).alias("rsi14"),
         macd_fold(F.col("_bars")).alias("_macd"),
         atr_fold(full).alias("atr14"),
-        *bollinger("boll_", F.col("last_close"), F.col("_s20"), F.col("_q20"), n >= BOLL_N),
+        *bollinger("boll_", F.col("last_close"), F.col("_d20"), F.col("_q20"), n >= BOLL_N),
     )
     hist, hist1, hist3 = (F.col(f"_macd.{x}") for x in ("hist", "hist_1", "hist_3"))
     last = F.col("last_close")
@@ -239,7 +253,7 @@ def indicators_as_of(bars: DataFrame, as_of: Sequence[str], keep: int = MAX_BARS
         "first_date",
         "last_date",
         "last_close",
-        *[F.when(n >= p, dbl(F.col(f"_s{p}")) / p).alias(f"ma{p}") for p in MA_PERIODS],
+        *[F.when(n >= p, mean_price(F.col(f"_s{p}"), p)).alias(f"ma{p}") for p in MA_PERIODS],
         "rsi14",
         F.col("_macd.dif").alias("macd_dif"),
         F.col("_macd.dea").alias("macd_dea"),
@@ -318,14 +332,14 @@ def indicators_history(bars: DataFrame) -> DataFrame:
         close.alias("close"),
         *[dbl(x).alias(x) for x in ("open", "high", "low")],
         F.row_number().over(by_code).alias("bar_no"),
+        F.sum(price_units("close")).over(running).alias("_units"),
         F.sum(c).over(running).alias("_sum"),
         F.sum(c * c).over(running).alias("_sq"),
     )
-    zero = F.lit(0).cast("decimal(28,4)")
 
     def moving(name: str, n: int) -> Column:
         # before bar n there is nothing to subtract
-        return F.col(name) - F.coalesce(F.lag(name, n).over(by_code), zero)
+        return F.col(name) - F.coalesce(F.lag(name, n).over(by_code), F.lit(0))
 
     upper = shadow_ratio(F.col("open"), F.col("high"), F.col("low"), F.col("close"), "upper")
     lower = shadow_ratio(F.col("open"), F.col("high"), F.col("low"), F.col("close"), "lower")
@@ -334,7 +348,8 @@ def indicators_history(bars: DataFrame) -> DataFrame:
         "dt",
         "close",
         "bar_no",
-        *[moving("_sum", p).alias(f"_s{p}") for p in MA_PERIODS],
+        *[moving("_units", p).alias(f"_s{p}") for p in MA_PERIODS],
+        moving("_sum", BOLL_N).alias("_d20"),
         moving("_sq", BOLL_N).alias("_q20"),
         *[F.lag("close", p).over(by_code).alias(f"_c{p}") for p in RETURN_PERIODS],
         upper.alias("upper_shadow_ratio"),
@@ -352,8 +367,8 @@ def indicators_history(bars: DataFrame) -> DataFrame:
         "dt",
         "close",
         "bar_no",
-        *[F.when(n >= p, dbl(F.col(f"_s{p}")) / p).alias(f"ma{p}") for p in MA_PERIODS],
-        *bollinger("boll_", F.col("close"), F.col("_s20"), F.col("_q20"), n >= BOLL_N),
+        *[F.when(n >= p, mean_price(F.col(f"_s{p}"), p)).alias(f"ma{p}") for p in MA_PERIODS],
+        *bollinger("boll_", F.col("close"), F.col("_d20"), F.col("_q20"), n >= BOLL_N),
         *[
             ((F.col("close") - F.col(f"_c{p}")) / null0(F.col(f"_c{p}"))).alias(f"return_{p}d")
             for p in RETURN_PERIODS
@@ -428,7 +443,7 @@ def index_indicators(bars: DataFrame, live: DataFrame | None = None, min_rows: i
         at(1, F.col("dt")).alias("dt"),
         *[at(1, dbl(x)).alias(x) for x in ("open", "high", "low", "close", "volume", "amount")],
         at(2, c).alias("pre_close"),
-        *[F.sum(F.when(k <= p, dec("close"))).alias(f"_s{p}") for p in (5, 10, 20, 60)],
+        *[F.sum(F.when(k <= p, price_units("close"))).alias(f"_s{p}") for p in (5, 10, 20, 60)],
         *[at(p + 1, c).alias(f"_c{p}") for p in RETURN_PERIODS],
     )
     n = F.col("_n")
@@ -443,8 +458,8 @@ def index_indicators(bars: DataFrame, live: DataFrame | None = None, min_rows: i
         ((F.col("close") - F.col("pre_close")) / null0(F.col("pre_close")) * 100).alias("pct_chg"),
         "volume",
         "amount",
-        *[F.when(n >= p, dbl(F.col(f"_s{p}")) / p).alias(f"ma{p}") for p in (5, 10, 20)],
-        (dbl(F.col("_s60")) / F.least(n, F.lit(60))).alias("ma60"),
+        *[F.when(n >= p, mean_price(F.col(f"_s{p}"), p)).alias(f"ma{p}") for p in (5, 10, 20)],
+        mean_price(F.col("_s60"), F.least(n, F.lit(60))).alias("ma60"),
         *[((F.col("close") - F.col(f"_c{p}")) / null0(F.col(f"_c{p}"))).alias(f"return_{p}d") for p in RETURN_PERIODS],
     )
     if live is None:

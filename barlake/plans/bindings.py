@@ -26,14 +26,29 @@ def _code(c):
     return F.lpad(c.cast("string"), 6, "0")
 
 
+def _packed_order():
+    """order (13 digits) | line (1) | part (11) | price in cents (9), as one DECIMAL(38,0)."""
+    wide = lambda c: c.cast("decimal(38,0)")
+    head = wide(F.col("l_orderkey") * 10 + F.col("l_linenumber"))
+    tail = F.col("l_partkey") * 1_000_000_000
+    cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
+    hundred_billion = F.lit("100000000000000000000").cast("decimal(21,0)")
+    return (head.cast("decimal(16,0)") * hundred_billion + wide(tail + cents)).cast("decimal(38,0)")
+
+
 def bars(spark: SparkSession, sf_dir: str, key: str = "l_suppkey") -> DataFrame:
-    """Daily bars, unique per (code, dt)."""
+    """Daily bars, unique per (code, dt).
+
+    First and last trade follow (order, line, part, price).  The four keys are
+    packed into one DECIMAL: a struct as ordering would force a sort-based
+    aggregation, a number keeps it hash-based with a map-side combine.
+    """
     li = table(spark, sf_dir, "lineitem").select(
         _code(F.col(key)).alias("code"),
         F.col("l_shipdate").cast("date").alias("dt"),
         F.col("l_extendedprice").cast("decimal(12,2)").alias("px"),
         F.col("l_quantity").cast("decimal(6,0)").alias("qty"),
-        F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity").alias("ord"),
+        _packed_order().alias("ord"),
     )
     return li.groupBy("code", "dt").agg(
         F.min_by("px", "ord").alias("open"),
@@ -163,9 +178,9 @@ def last_bars(b: DataFrame) -> DataFrame:
     )
 
 
-def snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+def snapshot(spark: SparkSession, sf_dir: str, daily: DataFrame | None = None) -> DataFrame:
     """Quote snapshot: last bar joined with the reference dimensions."""
-    last = last_bars(bars(spark, sf_dir))
+    last = last_bars(bars(spark, sf_dir) if daily is None else daily)
     d = dims(spark, sf_dir)
     price, pre = F.col("price").cast("double"), F.col("pre_close").cast("double")
     k = F.col("k")
@@ -219,10 +234,11 @@ def universe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from barlake.operators.indicators import indicators_as_of
     from barlake.session import materialize
 
-    rec = indicators_as_of(bars(spark, sf_dir), [AS_OF]).drop("used_rows", "first_date", "last_date", "last_close")
+    b = materialize(spark, bars(spark, sf_dir), "bars")  # read by the snapshot and by the indicators
+    rec = indicators_as_of(b, [AS_OF]).drop("used_rows", "first_date", "last_date", "last_close")
     rec = materialize(spark, rec, "indicators")  # the rank reads it twice
     rec = percent_rank_average(rec, ["as_of"], "return_20d", "rps20").drop("as_of")
-    s = snapshot(spark, sf_dir).withColumn("change_pct", F.col("change_pct") / 20)
+    s = snapshot(spark, sf_dir, b).withColumn("change_pct", F.col("change_pct") / 20)
     for c in ("price", "pre_close", "open", "high", "low", "volume", "amount"):
         s = s.withColumn(c, F.col(c).cast("double"))
     return materialize(spark, s.drop("board").join(rec, "code", "left"), "universe")

@@ -702,11 +702,15 @@ def prj_present(spark, d):
     return table(spark, d, "customer").select(k.alias("k"), present(raw).alias("has_value"))
 
 
+_TERMS = "candidate|recommend|buy|sell|signal|score|rank|probability|候选|推荐|买入|卖出|信号|评分|排名|概率"
+_SPACES = " || ".join(f"chr({ord(ch)})" for ch in tx.WHITESPACE)
+
+
 @query(
     "prj_neutral_text",
-    r"""WITH t AS (SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN ' BuySignal 推荐: ' || text || ' Score' ELSE text END AS text FROM documents)
-SELECT doc_id, md5(regexp_replace(regexp_replace(text, '^\s+|\s+$', '', 'g'), 'candidate|recommend|buy|sell|signal|score|rank|probability|候选|推荐|买入|卖出|信号|评分|排名|概率', 'data', 'gi')) AS digest,
- length(regexp_replace(regexp_replace(text, '^\s+|\s+$', '', 'g'), 'candidate|recommend|buy|sell|signal|score|rank|probability|候选|推荐|买入|卖出|信号|评分|排名|概率', 'data', 'gi')) AS n FROM t""",
+    f"""WITH t AS (SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN ' BuySignal 推荐: ' || text || ' Score' ELSE text END AS text FROM documents),
+c AS (SELECT doc_id, regexp_replace(trim(text, {_SPACES}), '{_TERMS}', 'data', 'gi') AS x FROM t)
+SELECT doc_id, md5(x) AS digest, length(x) AS n FROM c""",
 )
 def prj_neutral_text(spark, d):
     t = table(spark, d, "documents")
