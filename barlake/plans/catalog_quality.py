@@ -456,9 +456,9 @@ def dq_cache_fresh(spark, d):
 
 
 _HEALTH = f"""h AS (SELECT source, count(CASE WHEN ok THEN 1 END) AS successes, count(CASE WHEN NOT ok THEN 1 END) AS total_failures, max_by(rows, (ts, seq)) FILTER (WHERE ok) AS last_rows,
- CAST(sum(CAST(CASE WHEN ok THEN rows END AS DECIMAL(28,10))) AS DOUBLE) / count(CASE WHEN ok THEN 1 END) AS avg_rows, max((ts, seq)) FILTER (WHERE ok) AS lo, max(ts) FILTER (WHERE ok) AS ls, max(ts) FILTER (WHERE NOT ok) AS lf FROM c GROUP BY source),
+ CAST(sum(CAST(CASE WHEN ok THEN rows END AS DECIMAL(28,10))) AS DOUBLE) / nullif(count(CASE WHEN ok THEN 1 END), 0) AS avg_rows, max((ts, seq)) FILTER (WHERE ok) AS lo, max(ts) FILTER (WHERE ok) AS ls, max(ts) FILTER (WHERE NOT ok) AS lf FROM c GROUP BY source),
 r AS (SELECT c.source, count(*) AS failures, max(ts) AS lt FROM c JOIN h ON h.source = c.source WHERE NOT ok AND (lo IS NULL OR (ts, seq) > lo) GROUP BY c.source),
-hh AS (SELECT h.source, successes, coalesce(failures, 0) AS failures, total_failures, last_rows, {r2('avg_rows', 4)} AS avg_rows, coalesce(failures >= 3 AND 300 - date_diff('second', lt, TIMESTAMP '2001-08-01 00:04:00') > 0, false) AS disabled,
+hh AS (SELECT h.source, successes, coalesce(failures, 0) AS failures, total_failures, coalesce(last_rows, 0) AS last_rows, {r2('coalesce(avg_rows, 0)', 4)} AS avg_rows, coalesce(failures >= 3 AND 300 - date_diff('second', lt, TIMESTAMP '2001-08-01 00:04:00') > 0, false) AS disabled,
  CASE WHEN failures >= 3 AND 300 - date_diff('second', lt, TIMESTAMP '2001-08-01 00:04:00') > 0 THEN 300 - date_diff('second', lt, TIMESTAMP '2001-08-01 00:04:00') ELSE 0 END AS cooldown_remaining_seconds, ls, lf FROM h LEFT JOIN r ON r.source = h.source)"""
 _CALLS = "c AS (SELECT seq, source || CAST(seq % 40 AS VARCHAR) AS source, CASE WHEN ts >= TIMESTAMP '2001-06-01' THEN TIMESTAMP '2001-08-01 00:00:00' ELSE ts END AS ts, ok, rows FROM fx_calls)"
 
