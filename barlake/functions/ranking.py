@@ -16,6 +16,11 @@ from pyspark.sql import functions as F
 BINS = 64
 
 
+def attach_row(df: DataFrame, one: DataFrame) -> DataFrame:
+    """The columns of a one-row table on every row, as scalar subqueries (more than one row is an error)."""
+    return df.select("*", *[one.select(c).scalar().alias(c) for c in one.columns])
+
+
 def value_positions(df: DataFrame, keys: list[str], value: str, bins: int = BINS) -> DataFrame:
     """One row per distinct value: ``cnt``, ``below`` (rows smaller), ``n`` (rows in the key).
 
@@ -25,7 +30,7 @@ def value_positions(df: DataFrame, keys: list[str], value: str, bins: int = BINS
     cuts = [i / bins for i in range(1, bins)]
     edges = counts.groupBy(*keys).agg(F.percentile_approx(F.col(value), cuts, 1000).alias("_edges"))
     # without keys the edges are one row of at most `bins` numbers
-    binned = counts.join(edges, keys) if keys else counts.crossJoin(F.broadcast(edges))
+    binned = counts.join(edges, keys) if keys else attach_row(counts, edges)
     binned = binned.withColumn("_bin", F.size(F.filter("_edges", lambda e: e < F.col(value)))).drop("_edges")
     # at most `bins` rows per key are ordered here
     over_bins = Window.partitionBy(*keys).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)

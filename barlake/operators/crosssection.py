@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barlake.functions.numeric import count_if, dbl, null0, round_dec
-from barlake.functions.ranking import exact_median, percent_rank_average
+from barlake.functions.ranking import attach_row, exact_median, percent_rank_average
 from barlake.functions.text import MARKETS, market_of
 
 
@@ -175,7 +175,7 @@ def market_mode(snapshot: DataFrame) -> DataFrame:
     one = valid.agg(F.count(F.lit(1)).alias("valid_rows"), count_if(F.col("chg") > 0).alias("advancers"))
     med = exact_median(valid, [], "chg", "market_median")
     ratio = F.col("advancers") / null0(F.col("valid_rows"))
-    both = one.crossJoin(F.broadcast(med))  # one row each
+    both = attach_row(one, med)
     return both.select(
         "valid_rows",
         ratio.alias("advance_ratio"),

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barlake.functions.numeric import blank_to_null, dbl, null0, num
-from barlake.functions.ranking import latest_per_key
+from barlake.functions.ranking import attach_row, latest_per_key
 from barlake.functions.session_time import is_weekday
 from barlake.functions.text import (
     CODE_PATTERN,
@@ -86,7 +86,7 @@ def refresh_expectation(cached: DataFrame, refreshed: DataFrame, min_rows: int,
     a = cached.agg(F.count_distinct("code").alias("cached_rows"))
     b = refreshed.agg(F.count(F.lit(1)).alias("refreshed_rows"))
     need = F.greatest(F.lit(min_rows), F.floor(F.col("cached_rows") * share)).cast("bigint")
-    return a.crossJoin(b).select(  # one row each
+    return attach_row(a, b).select(
         "cached_rows", "refreshed_rows", need.alias("required_rows"), (F.col("refreshed_rows") >= need).alias("accepted")
     )
 
@@ -217,7 +217,7 @@ def industry_backfill(snapshot: DataFrame, runs: DataFrame, min_share: float = 0
     mapping = runs.join(chosen, "run_id", "left_semi")
     mapping = mapping.groupBy("code").agg(F.min(blank_to_null("industry")).alias("_map"))
     picked = chosen.select(F.col("run_id").alias("_run"))
-    j = snapshot.join(mapping, "code", "left").crossJoin(F.broadcast(own)).crossJoin(F.broadcast(picked))  # one row each
+    j = attach_row(attach_row(snapshot.join(mapping, "code", "left"), own), picked)
     good = F.col("_own") >= min_share
     return j.select(
         *[c for c in snapshot.columns if c != "industry"],

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from barlake.functions import session_time as st
 from barlake.functions.numeric import count_if, dbl, null0, round_dec
-from barlake.functions.ranking import latest_per_key
+from barlake.functions.ranking import attach_row, latest_per_key
 
 DAY = ["code", "trade_date"]
 
@@ -291,12 +291,14 @@ def continuity_breaks(bars: DataFrame, max_gap: int = 2, lunch_exempt: bool = Tr
     return rows.where(cond).select("trade_date", st.hhmm(F.col("after_m")).alias("after"), F.col("gap").alias("gap_minutes"))
 
 
-def code_coverage(bars: DataFrame, expected: DataFrame, codes: DataFrame | None = None) -> DataFrame:
+def codes_without_data(bars: DataFrame, codes: DataFrame) -> DataFrame:
+    """Codes of the universe that have no bar at all."""
+    return codes.select("code").distinct().join(bars.select("code"), "code", "left_anti")
+
+
+def code_coverage(bars: DataFrame, expected: DataFrame) -> DataFrame:
     """Distinct minutes and coverage per code and date; ``expected`` has (trade_date, expected_minutes)."""
     per = bars.groupBy(*DAY).agg(F.count_distinct("ts").alias("minutes"))
-    if codes is not None:
-        grid = codes.select("code").distinct().join(bars.select("trade_date").distinct())
-        per = grid.join(per, DAY, "left").withColumn("minutes", F.coalesce("minutes", F.lit(0)))
     total = F.greatest(F.col("expected_minutes"), F.lit(1))
     return per.join(expected, "trade_date").select(
         *DAY,
@@ -379,14 +381,15 @@ def collection_audit(
         F.count_distinct("ts").alias("n"), F.sum(exact("volume")).alias("v")
     )
     cov = F.col("n") / F.lit(total)
+    # codes without data = universe less its members that have data; no code x date grid is built
     universe = codes.select("code").distinct()
-    zero = universe.join(bars.select("trade_date").distinct()).join(
-        per.select(*DAY), DAY, "left_anti"
-    ).groupBy("trade_date").agg(F.count(F.lit(1)).alias("codes_zero_data"))
-    return (
+    size = universe.agg(F.count(F.lit(1)).alias("_universe"))
+    per = per.join(universe.withColumn("_known", F.lit(True)), "code", "left")
+    agg = (
         per.groupBy("trade_date")
         .agg(
             F.count(F.lit(1)).alias("codes_with_data"),
+            F.count("_known").alias("_hit"),
             round_dec(F.sum("n") / F.count(F.lit(1)) / total * 100, 1).alias("mean_coverage_pct"),
             round_dec(F.min(cov) * 100, 1).alias("min_coverage_pct"),
             round_dec(F.max(cov) * 100, 1).alias("max_coverage_pct"),
@@ -394,19 +397,18 @@ def collection_audit(
             count_if(cov < 0.95).alias("codes_partial"),
             count_if(F.col("v") == 0).alias("codes_zero_volume"),
         )
-        .join(zero, "trade_date", "left")
-        .select(
-            "trade_date",
-            F.lit(total).alias("expected_minutes"),
-            "codes_with_data",
-            F.coalesce("codes_zero_data", F.lit(0)).alias("codes_zero_data"),
-            "mean_coverage_pct",
-            "min_coverage_pct",
-            "max_coverage_pct",
-            "codes_full",
-            "codes_partial",
-            "codes_zero_volume",
-        )
+    )
+    return attach_row(agg, size).select(
+        "trade_date",
+        F.lit(total).alias("expected_minutes"),
+        "codes_with_data",
+        (F.col("_universe") - F.col("_hit")).alias("codes_zero_data"),
+        "mean_coverage_pct",
+        "min_coverage_pct",
+        "max_coverage_pct",
+        "codes_full",
+        "codes_partial",
+        "codes_zero_volume",
     )
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from barlake.functions import session_time as st
 from barlake.functions.numeric import blank_to_null, count_if, flag_list, num, present
+from barlake.functions.ranking import attach_row
 from barlake.functions.text import CODE_PATTERN, MARKETS, neutral_text
 from barlake.operators.crosssection import exact_avg
 
@@ -369,7 +370,7 @@ def stale_daily_summary(audited: DataFrame, expected_date: str, sample: int = 50
     )
     first = audited.where(unknown).select("code").orderBy("code").limit(sample)
     names = first.agg(F.array_sort(F.collect_list("code")).alias("unknown_quote_time_codes"))  # at most `sample`
-    return one.crossJoin(names).withColumn(
+    return attach_row(one, names).withColumn(
         "unknown_quote_time_codes_truncated", F.col("unknown_quote_time_count") > sample
     )
 

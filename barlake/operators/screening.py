@@ -20,6 +20,7 @@ from barlake.functions.numeric import (
     tick_ceil,
     tick_floor,
 )
+from barlake.functions.ranking import attach_row
 from barlake.functions.text import BOARD_BSE, BOARD_CHINEXT, BOARD_STAR, board_of
 from barlake.operators.crosssection import industry_change
 
@@ -220,7 +221,7 @@ def select_candidates(
     themselves are never sorted as a whole.
     """
     one = mode.select("min_score", "max_tail_risk")  # one row
-    cand = scored.crossJoin(F.broadcast(one)).where(
+    cand = attach_row(scored, one).where(
         (F.col("opportunity_score") >= F.col("min_score"))
         & (F.col("tail_risk_count") <= F.col("max_tail_risk"))
         & (F.col("rr_ratio") >= min_rr)
@@ -249,7 +250,7 @@ def funnel(initial: DataFrame, hard: DataFrame, selected: DataFrame) -> DataFram
     """Rows surviving each step of the scan, one row."""
     n = lambda df, name: df.agg(F.count(F.lit(1)).alias(name))
     last = selected.agg(F.count(F.lit(1)).alias("candidates"), count_if(F.col("list") == "official").alias("official"))
-    return n(initial, "initial").crossJoin(n(hard, "after_hard")).crossJoin(last)  # one row each
+    return attach_row(attach_row(n(initial, "initial"), n(hard, "after_hard")), last)
 
 
 def scan_scores(df: DataFrame, base: DataFrame) -> DataFrame:
@@ -623,7 +624,7 @@ def second_record(df: DataFrame, industries: DataFrame, veto: DataFrame, profile
     afternoon_swing_low; ``veto`` is the one-row market veto.
     """
     s = industry_sync(upper_shadow(daily_context(df)), industries)
-    s = s.crossJoin(F.broadcast(veto))  # one row
+    s = attach_row(s, veto)
     s = dual_axis(channels(s))
     s = protection(sell_zones(buy_zone(trigger_and_support(s))))
     s = fees(s, "buy_upper", "sell1_lower")

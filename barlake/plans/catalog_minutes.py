@@ -249,8 +249,7 @@ def _all_codes(spark, d):
     "min_audit_codes",
     with_bindings(
         f"""WITH u AS (SELECT lpad(CAST(s_suppkey AS VARCHAR), 6, '0') AS code FROM supplier UNION SELECT code FROM fx_sticks),
-g AS (SELECT u.code, x.trade_date FROM u, (SELECT DISTINCT trade_date FROM fx_session) x),
-pc AS (SELECT g.code, g.trade_date, count(DISTINCT s.ts) AS n FROM g LEFT JOIN fx_session s ON s.code = g.code AND s.trade_date = g.trade_date GROUP BY g.code, g.trade_date)
+pc AS (SELECT code, trade_date, count(DISTINCT ts) AS n FROM fx_session GROUP BY code, trade_date UNION ALL SELECT code, NULL, 0 FROM u WHERE code NOT IN (SELECT code FROM fx_session))
 SELECT code, {_D}, n AS minutes, {r2('n / 240::DOUBLE * 100', 1)} AS coverage_pct, CASE WHEN n >= 240 * 0.95::DOUBLE THEN 'full' WHEN n > 0 THEN 'partial' ELSE 'none' END AS status FROM pc""",
         "fx_session",
     ),
@@ -258,7 +257,15 @@ SELECT code, {_D}, n AS minutes, {r2('n / 240::DOUBLE * 100', 1)} AS coverage_pc
 def min_audit_codes(spark, d):
     b = session_bars(spark, d)
     expected = b.select("trade_date").distinct().withColumn("expected_minutes", F.lit(240))
-    return _s(mn.code_coverage(b, expected, _all_codes(spark, d)).drop("coverage"))
+    have = mn.code_coverage(b, expected).drop("coverage")
+    none = mn.codes_without_data(b, _all_codes(spark, d)).select(
+        "code",
+        F.lit(None).cast("date").alias("trade_date"),
+        F.lit(0).cast("bigint").alias("minutes"),
+        F.lit(0.0).alias("coverage_pct"),
+        F.lit("none").alias("status"),
+    )
+    return _s(have.unionByName(none))
 
 
 @query(

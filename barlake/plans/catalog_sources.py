@@ -23,7 +23,7 @@ from barlake.plans.bindings import (
     with_bindings,
 )
 from barlake.plans.registry import query
-from barlake.session import scratch_dir
+from barlake.session import materialize, scratch_dir
 from barlake.sources import documents as docs
 from barlake.sources import raw_text as rt
 from barlake.sources import tables as tb
@@ -232,7 +232,7 @@ QUALIFY row_number() OVER (PARTITION BY right(code, 4) ORDER BY k DESC) = 1""",
     ),
 )
 def src_raw_quotes(spark, d):
-    q = rt.parse_tilde_quotes(_tilde_text(spark, d))
+    q = rt.parse_tilde_quotes(materialize(spark, _tilde_text(spark, d), "payload"))  # raw payloads are a stored table
     return q.select(
         "code", "name", "price", "pre_close", "change_pct", "high", "volume", "amount", "turnover_rate", "pe_ratio",
         "quote_time", "market",
