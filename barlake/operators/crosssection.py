@@ -75,7 +75,7 @@ def market_breadth(snapshot: DataFrame) -> DataFrame:
         member("full_market", F.lit("all")), *[member("market", F.lit(m)) for m in MARKETS]
     )
     fixed = snapshot.sparkSession.range(1).select(F.explode(always).alias("m")).select("m.*")  # four rows
-    joined = joined.join(F.broadcast(fixed.withColumn("_fixed", F.lit(True))), keys, "full_outer")
+    joined = joined.join(fixed, keys, "full_outer")
     zero = ["total", "advance_count", "decline_count", "unchanged_count"]
     return joined.select(
         *keys,

@@ -281,15 +281,13 @@ def scr_dual_axis(spark, d):
         f"""WITH {_V2} SELECT code, concat_ws(' | ', CASE WHEN ta THEN 'trend_aligned' ELSE 'trend_not_aligned' END, CASE WHEN rsi BETWEEN 40 AND 70 THEN format('rsi_healthy({{:.0f}})', rsi) WHEN rsi < 30 THEN format('rsi_oversold({{:.0f}})', rsi) WHEN rsi > 80 THEN format('rsi_overbought({{:.0f}})', rsi) END,
  CASE WHEN vr > 1.5::DOUBLE THEN format('volume_high({{:.1f}}x)', vr) WHEN vr > 0.8::DOUBLE THEN format('volume_normal({{:.1f}}x)', vr) ELSE format('volume_low({{:.1f}}x)', vr) END,
  CASE WHEN chg BETWEEN 2 AND 7 THEN format('change_moderate({{:+.1f}}%)', chg) WHEN chg > 0 AND chg < 2 THEN format('change_slight({{:+.1f}}%)', chg) WHEN chg > 7 THEN format('change_excessive({{:+.1f}}%)', chg) END,
- CASE WHEN rps >= 80 THEN format('rps_strong({{:.0f}})', rps) WHEN rps >= 50 THEN format('rps_medium({{:.0f}})', rps) END, CASE WHEN r5 > 0 THEN 'return_5d_positive' END, CASE WHEN r20 > 0 THEN 'return_20d_positive' END, CASE WHEN NOT sync THEN 'industry_sync_failed' END) AS op_detail FROM fin
- WHERE rps * 2 <> floor(rps * 2) OR rps = floor(rps)""",
+ CASE WHEN rps >= 80 THEN format('rps_strong({{:.0f}})', floor(rps + 0.5)) WHEN rps >= 50 THEN format('rps_medium({{:.0f}})', floor(rps + 0.5)) END, CASE WHEN r5 > 0 THEN 'return_5d_positive' END, CASE WHEN r20 > 0 THEN 'return_20d_positive' END, CASE WHEN NOT sync THEN 'industry_sync_failed' END) AS op_detail FROM fin""",
         "fx_univ",
     ),
 )
 def scr_dual_axis_detail(spark, d):
-    # ranks exactly between two whole numbers print differently (half-up against half-even) and are left out
-    r = F.coalesce("rps20", F.lit(0.0))
-    return _v2(spark, d).where((r * 2 != F.floor(r * 2)) | (r == F.floor(r))).select("code", "op_detail")
+    # labels round half-up; the check does the same for ranks that end in exactly one half
+    return _v2(spark, d).select("code", "op_detail")
 
 
 @query("scr_industry_sync", with_bindings(f"WITH {_V2} SELECT code, sync AS industry_sync_pass, basis AS industry_sync_basis FROM fin", "fx_univ"))
