@@ -4,10 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from barlake.llm import exact_dedup, pii
+from barlake.llm import exact_dedup, packing, pii, quality, token_counts, token_files, toxicity
 from barlake.llm.common import documents
+from barlake.session import scratch_dir
+
+
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(documents(spark, sf_dir))
 
 
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,9 +24,34 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(documents(spark, sf_dir))
 
 
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.section_tokens(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_dir(spark, "token-files")
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    token_files.write_tokens(documents(spark, sf_dir), path, tokenizer, end_id=1, spaces=False)
+    return token_files.read_documents(spark, path)
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    return packing.pack(documents(spark, sf_dir), tokenizer, end_id=0, spaces=True)
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality": op1_quality,
     "op2_pii": op2_pii,
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_token_counts": op4_token_counts,
+    "op7_token_files": op7_token_files,
+    "op9_packing": op9_packing,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLES: dict[str, str] = {
