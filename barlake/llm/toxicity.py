@@ -1,7 +1,7 @@
 """Toxicity: non-negative positive-unlabelled learning.
 
-The classifier is linear over the four-character runs inside words that a text
-has (hashed; how often does not matter).  It is trained with numpy from
+The classifier is linear over the character runs of several lengths inside words
+that a text has (hashed; how often does not matter).  It is trained with numpy from
 confirmed toxic texts (P) and texts of unknown kind (U), by the class-prior
 corrected risk
 
@@ -33,7 +33,8 @@ UNLABELLED = 6000
 #: Hashed character runs, and how many of them the model uses.
 DIMS = 1 << 18
 FEATURES = 2048
-RUN = 4
+#: Lengths of the runs; a word's start and end count as a character.
+RUNS = (4, 6, 8)
 #: A run is used if it is this much more frequent in P than in U, and in this many texts of P.
 LIFT = 2.0
 LEAST = 3
@@ -49,43 +50,46 @@ def runs(text: str) -> np.ndarray:
     """Sorted hashes of the character runs of a text; other characters than letters count as a word end."""
     code = np.frombuffer(f" {text.lower()} ".encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
     code = np.where(_LETTER[np.minimum(code, 0x24F).astype(np.int64)] | (code > 0x24F), code, 0)
-    if len(code) < RUN:
-        return np.empty(0, np.int64)
-    n = len(code) - RUN + 1
-    h = np.zeros(n, np.uint64)
-    inner = np.zeros(n, bool)
-    for k in range(RUN):
-        h = h * np.uint64(0x9E3779B97F4A7C15) + code[k : k + n] + np.uint64(1)
-        if 0 < k < RUN - 1:
-            inner |= code[k : k + n] == 0
-    h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
     found = np.zeros(DIMS, bool)
-    found[(h[~inner] >> np.uint64(46)).astype(np.int64)] = True
+    space = np.concatenate(([0], np.cumsum(code == 0)))
+    h = np.zeros(len(code), np.uint64)
+    for k in range(max(RUNS)):
+        n = len(code) - k
+        if n <= 0:
+            break
+        h = h[:n] * np.uint64(0x9E3779B97F4A7C15) + code[k:] + np.uint64(1)
+        if k + 1 in RUNS:
+            inside = space[k : k + n] == space[1 : n + 1]
+            mixed = (h[inside] ^ (h[inside] >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+            found[(mixed >> np.uint64(64 - DIMS.bit_length() + 1)).astype(np.int64)] = True
     return np.flatnonzero(found)
 
 
 @dataclass
 class Model:
-    features: np.ndarray
-    weights: np.ndarray
+    """``table`` has the weight of every hashed run, 0 where the model does not use it."""
+
+    table: np.ndarray
     bias: float
 
     def score(self, text: str) -> float:
-        hit = np.isin(self.features, runs(text), assume_unique=True)
-        return float(1 / (1 + np.exp(-np.clip(self.weights[hit].sum() + self.bias, -30, 30))))
+        return float(1 / (1 + np.exp(-np.clip(self.table[runs(text)].sum() + self.bias, -30, 30))))
 
 
 def _matrix(texts: list[np.ndarray], features: np.ndarray) -> np.ndarray:
     out = np.zeros((len(texts), len(features)), np.float32)
+    column = np.full(DIMS, -1)
+    column[features] = np.arange(len(features))
     for k, found in enumerate(texts):
-        out[k, np.flatnonzero(np.isin(features, found, assume_unique=True))] = 1
+        at = column[found]
+        out[k, at[at >= 0]] = 1
     return out
 
 
 def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float) -> Model:
     """Minimise the non-negative risk with the logistic loss (Adam, full batches)."""
     if not positive or not unlabelled:
-        return Model(np.empty(0, np.int64), np.empty(0, np.float32), -30.0)
+        return Model(np.zeros(DIMS), -30.0)
     prior = min(max(prior, 1e-3), 0.9)
     in_p = np.bincount(np.concatenate(positive), minlength=DIMS)
     in_u = np.bincount(np.concatenate(unlabelled), minlength=DIMS)
@@ -111,7 +115,9 @@ def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float)
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         step = RATE * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
         w, b = (w - step[:-1]).astype(np.float32), b - float(step[-1])
-    return Model(features, w, b)
+    table = np.zeros(DIMS)
+    table[features] = w
+    return Model(table, b)
 
 
 def fold(doc_id: Column) -> Column:
@@ -143,8 +149,8 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
             yield pd.DataFrame(
                 {
                     "doc_id": pdf["doc_id"],
-                    "p": pdf["_p"].fillna(False).astype(bool),
-                    "u": pdf["_u"].fillna(False).astype(bool),
+                    "p": pdf["_p"].notna(),
+                    "u": pdf["_u"].notna(),
                     "found": [runs(t).astype("<i4").tobytes() for t in pdf["text"]],
                 }
             )
