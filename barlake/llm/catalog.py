@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from barlake.llm import exact_dedup, packing, pii, quality, token_counts, token_files, toxicity
+from barlake.llm import exact_dedup, mixing, packing, pii, quality, token_counts, token_files, toxicity
 from barlake.llm.common import documents
 from barlake.session import scratch_dir
 
@@ -28,6 +28,10 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.section_tokens(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(documents(spark, sf_dir))
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "token-files")
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
@@ -49,6 +53,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_pii": op2_pii,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_token_counts": op4_token_counts,
+    "op5_mixing": op5_mixing,
     "op7_token_files": op7_token_files,
     "op9_packing": op9_packing,
     "op10_toxicity": op10_toxicity,
@@ -56,4 +61,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLES: dict[str, str] = {
     "op3_exact_dedup": exact_dedup.ORACLE,
+    "op5_mixing": mixing.ORACLE,
 }
