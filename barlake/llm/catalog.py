@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from barlake.llm import exact_dedup, mixing, packing, pii, quality, token_counts, token_files, toxicity
+from barlake.llm import exact_dedup, mixing, near_dedup, packing, pii, quality, token_counts, token_files, toxicity
 from barlake.llm.common import documents
 from barlake.session import scratch_dir
 
@@ -39,6 +39,10 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_documents(spark, path)
 
 
+def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(documents(spark, sf_dir))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
     return packing.pack(documents(spark, sf_dir), tokenizer, end_id=0, spaces=True)
@@ -55,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_token_counts": op4_token_counts,
     "op5_mixing": op5_mixing,
     "op7_token_files": op7_token_files,
+    "op8_near_dedup": op8_near_dedup,
     "op9_packing": op9_packing,
     "op10_toxicity": op10_toxicity,
 }
