@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from barlake.llm import exact_dedup, mixing, near_dedup, packing, pii, quality, token_counts, token_files, toxicity
+from barlake.llm import exact_dedup, mixing, near_dedup, packing, pii, quality, repeats, token_counts, token_files, toxicity
 from barlake.llm.common import documents
 from barlake.session import scratch_dir
 
@@ -32,6 +32,10 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir))
 
 
+def op6_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(documents(spark, sf_dir))
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "token-files")
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
@@ -58,6 +62,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_exact_dedup": op3_exact_dedup,
     "op4_token_counts": op4_token_counts,
     "op5_mixing": op5_mixing,
+    "op6_repeats": op6_repeats,
     "op7_token_files": op7_token_files,
     "op8_near_dedup": op8_near_dedup,
     "op9_packing": op9_packing,
