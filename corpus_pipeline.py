@@ -4,26 +4,52 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from barlake.llm import exact_dedup
-from barlake.llm.common import documents
+from barlake.llm import exact_dedup, mixing, near_dedup, packing, quality
+from barlake.llm.common import documents, written
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the base rules and the compression bands."""
+    return quality.good_documents(docs)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each set of equal normalised texts."""
     return exact_dedup.keep_one_each(docs)
 
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [("exact_dedup", exact)]
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates."""
+    return near_dedup.keep_one_each(docs)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents up to the point where the first source runs out, in mixing order from file to file."""
+    return mixing.mixture(docs)
+
 
-#: Signatures and token ids have no SQL form.
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Places of all documents in sequences of 1024 tokens."""
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=0, spaces=True)
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality_rules", quality_rules),
+    ("exact_dedup", exact),
+    ("near_dedup", near),
+    ("mixing", mix),
+    ("packing", pack),
+]
+
+#: Signatures and token ids have no SQL form; tests hold the pipeline against a brute-force version.
 ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written and read again as the next one's input."""
-    from barlake.llm.common import written
-
+    """All stages over ``documents``; each result is written and read again as the next one's documents."""
     docs = documents(spark, sf_dir)
     for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
