@@ -156,16 +156,18 @@ def exact_dedup(docs: DataFrame, block: int = BLOCK) -> DataFrame:
 
 def keep_one_each(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
-    mark = "_sha256"
     kept = exact_dedup(docs, block).where("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_kept"))
-    rows = docs.withColumn(mark, F.sha2(ascii_lower(text_of()).cast("binary"), 256))
-    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
-    again = Window.partitionBy("doc_id", mark).orderBy("text", *rest)
+    rows = docs.select(
+        F.struct(*[F.col(c) for c in docs.columns]).alias("_row"),
+        F.col("doc_id").alias("_doc"),
+        F.sha2(ascii_lower(text_of()).cast("binary"), 256).alias("_sha"),
+    )
+    again = Window.partitionBy("_doc", "_sha").orderBy("_row")
     return (
-        rows.join(kept, (F.col("_kept") == F.col(mark)) & F.col("_id").eqNullSafe(F.col("doc_id")), "left_semi")
+        rows.join(kept, (F.col("_kept") == F.col("_sha")) & F.col("_id").eqNullSafe(F.col("_doc")), "left_semi")
         .withColumn("_nth", F.row_number().over(again))
         .where("_nth = 1")
-        .drop(mark, "_nth")
+        .select("_row.*")
     )
 
 

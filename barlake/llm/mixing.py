@@ -95,19 +95,23 @@ def period_schedule(known: DataFrame) -> DataFrame:
     return timed.withColumn("horizon", F.min(ends).over(Window.partitionBy(F.lit(1)))).drop("chars")
 
 
-def mix(docs: DataFrame, weights: dict[str, float] | None = None, keep: list[str] | None = None) -> DataFrame:
-    """``keep`` columns (default doc_id, source), chars, block, release, due, slot, place and in_mix of every row.
+def mix(docs: DataFrame, weights: dict[str, float] | None = None) -> DataFrame:
+    """(doc_id, source, chars, block, release, due, slot, place, in_mix), one row for each row of ``docs``.
 
     ``slot`` orders the blocks of the mixture, ``place`` (characters of the
     source before the row) the rows of a block.  A row counts at least one
     character; NULL texts count as empty, a NULL source as ''.  Rows with one id
-    follow by source order of their text; an empty table gives no rows.
+    follow in order of a digest of their text; an empty table gives no rows.
     """
-    keep = keep or ["doc_id", "source"]
+    return _mixed(docs, weights, {"doc_id": F.col("doc_id"), "source": F.col("source")})
+
+
+def _mixed(docs: DataFrame, weights: dict[str, float] | None, keep: dict[str, Column]) -> DataFrame:
     known = written(sources(docs, weights), "sources")
     plan = written(period_schedule(known), "schedule")
+    names = [f"_k{i}" for i in range(len(keep))]
     rows = docs.select(
-        *keep,
+        *[c.alias(n) for c, n in zip(keep.values(), names, strict=True)],
         F.coalesce("source", F.lit("")).alias("_source"),
         F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_id"),
         F.greatest(F.lit(1), F.length(text_of())).cast("long").alias("_chars"),
@@ -134,7 +138,7 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, keep: list[str
     timed = placed.join(F.broadcast(table), ["_source", "_nth"])
     slot = F.floor(F.col("block") / F.col("_n")) * F.col("period") + F.col("_slot")
     return timed.select(
-        *keep,
+        *[F.col(n).alias(c) for n, c in zip(names, keep, strict=True)],
         F.col("_chars").alias("chars"),
         "block",
         _release(F.col("block"), F.col("_n"), F.col("period")).alias("release"),
@@ -147,8 +151,9 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, keep: list[str
 
 def mixture(docs: DataFrame, weights: dict[str, float] | None = None) -> DataFrame:
     """The rows of ``docs`` up to the horizon, with their columns, in mixing order from file to file."""
-    found = mix(docs, weights, docs.columns).where("in_mix")
-    return found.repartitionByRange("slot").sortWithinPartitions("slot", "place").select(*docs.columns)
+    row = F.struct(*[F.col(c) for c in docs.columns])
+    found = _mixed(docs, weights, {"row": row}).where("in_mix").select("slot", "place", "row")
+    return found.repartitionByRange("slot").sortWithinPartitions("slot", "place").select("row.*")
 
 
 ORACLE = f"""

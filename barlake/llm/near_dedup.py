@@ -200,7 +200,7 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """(doc_id, class_id, class_size, kept), one row for each row of ``docs``.
+    """(doc_id, class_id, class_size, kept, text_md5), one row for each row of ``docs``.
 
     ``class_id`` is the smallest ``doc_id`` of the class; the row with it is
     kept, of repeated rows one.  NULL texts count as empty; texts without any
@@ -257,23 +257,30 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             state = written(classes(edges), "classes")
     comps = components(edges)
     placed = signed.select("uid", "doc_id", "key").join(heads.select("key", "node"), "key")
-    placed = placed.join(comps, "node", "left").select("uid", "doc_id", F.coalesce("comp", "node").alias("comp"))
+    placed = placed.join(comps, "node", "left").select("uid", "doc_id", "key", F.coalesce("comp", "node").alias("comp"))
     placed = written(placed, "placed")
     whole = written(
         placed.groupBy("comp").agg(F.min(F.struct("doc_id", "uid")).alias("first"), F.count(F.lit(1)).alias("class_size")), "sizes"
     )
     return placed.join(whole, "comp").select(
-        "doc_id", F.col("first.doc_id").alias("class_id"), "class_size", (F.col("uid") == F.col("first.uid")).alias("kept")
+        "doc_id",
+        F.col("first.doc_id").alias("class_id"),
+        "class_size",
+        (F.col("uid") == F.col("first.uid")).alias("kept"),
+        F.col("key").alias("text_md5"),
     )
 
 
 def keep_one_each(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are kept, with all their columns."""
-    kept = near_duplicates(docs).where("kept").groupBy(F.col("doc_id").alias("_id")).agg(F.count(F.lit(1)).alias("_n"))
-    again = Window.partitionBy("doc_id").orderBy("text", *[c for c in docs.columns if c not in ("doc_id", "text")])
+    kept = near_duplicates(docs).where("kept").select(F.col("doc_id").alias("_id"), F.col("text_md5").alias("_kept"))
+    rows = docs.select(
+        F.struct(*[F.col(c) for c in docs.columns]).alias("_row"), F.col("doc_id").alias("_doc"), F.md5(text_of()).alias("_md5")
+    )
+    again = Window.partitionBy("_doc", "_md5").orderBy("_row")
     return (
-        docs.join(kept, F.col("_id").eqNullSafe(F.col("doc_id")))
+        rows.join(kept, (F.col("_kept") == F.col("_md5")) & F.col("_id").eqNullSafe(F.col("_doc")), "left_semi")
         .withColumn("_nth", F.row_number().over(again))
-        .where("_nth <= _n")
-        .select(*docs.columns)
+        .where("_nth = 1")
+        .select("_row.*")
     )

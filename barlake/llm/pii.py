@@ -144,15 +144,17 @@ def _positions(matches: Column, gaps: Column) -> Column:
     return F.when(n > 0, F.flatten(total["out"])).otherwise(none)
 
 
-def find_pii(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
-    """``keep`` columns (default doc_id) plus ``spans``: array<(kind, start, end, value, score, base)> by start, then kind.
+def find_pii(docs: DataFrame) -> DataFrame:
+    """(doc_id, spans): spans are array<(start, rank, kind, end, value, score, base)> by start, then kind.
 
     Positions are code points, ends exclusive.  NULL texts count as empty, an
     empty text has no spans, repeated rows are judged alike, an empty table
-    gives no rows.
+    gives no rows; other columns are ignored.
     """
-    keep = keep or ["doc_id"]
-    rows = docs.select(*keep, text_of().alias("_text"))
+    return _found(docs.select("doc_id", text_of().alias("_text")), ["doc_id"])
+
+
+def _found(rows: DataFrame, keep: list[str]) -> DataFrame:
     # most texts have neither a digit nor an @ and end here
     rows = rows.withColumn("_digit", F.col("_text").rlike("[0-9]"))
     for k in KINDS:
@@ -178,9 +180,9 @@ def find_pii(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
 
 
 def redact(docs: DataFrame) -> DataFrame:
-    """``docs`` with every span replaced by its kind in brackets; overlapping spans: the first one stands."""
-    found = find_pii(docs, docs.columns)
-    text = F.col("text")
+    """``docs`` with every span replaced by its kind in brackets; of overlapping spans the first one stands."""
+    rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("_row"), text_of().alias("_text"))
+    text = F.col("_row.text")
     cut = F.aggregate(
         "spans",
         F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
@@ -192,9 +194,11 @@ def redact(docs: DataFrame) -> DataFrame:
             ),
         ).otherwise(acc),
     )
-    done = found.withColumn("_cut", cut)
+    done = _found(rows, ["_row"]).withColumn("_cut", cut)
     clean = F.concat(F.col("_cut.out"), F.substring(text, F.col("_cut.at") + 1, F.length(text)))
-    return done.select(*[F.when(F.size("spans") > 0, clean).otherwise(text).alias("text") if c == "text" else F.col(c) for c in docs.columns])
+    return done.select(
+        *[(F.when(F.size("spans") > 0, clean).otherwise(text) if c == "text" else F.col(f"_row.`{c}`")).alias(c) for c in docs.columns]
+    )
 
 
 def digest(found: DataFrame) -> DataFrame:

@@ -19,6 +19,7 @@ import numpy as np
 import pandas as pd
 import zstandard
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from barlake.llm.common import bounded_batches
 
@@ -112,14 +113,8 @@ FIGURES = (
 )
 
 
-def quality(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
-    """``keep`` columns (default doc_id) and the figures and verdict of every row.
-
-    NULL and empty texts have no words and fail the base rule.  Repeated rows
-    are judged alike, an empty table gives no rows; a text is judged by itself,
-    so neither order nor partitioning matters.
-    """
-    keep = keep or ["doc_id"]
+def _judged(docs: DataFrame, keep: list[str]) -> DataFrame:
+    """The columns to keep as k0, k1, ... (their own names may be those of figures) and the figures."""
     names = [f"k{i}" for i in range(len(keep))]
     bounded_batches(docs.sparkSession)
     rows = docs.select(*[docs[c].alias(n) for c, n in zip(keep, names, strict=True)], docs["text"].alias("t"))
@@ -137,11 +132,20 @@ def quality(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
             yield pd.concat([pdf[names], figures], axis=1)
 
     kept = ", ".join(f"{n} {rows.schema[n].dataType.simpleString()}" for n in names)
-    done = rows.mapInPandas(judge, f"{kept}, {FIGURES}")
-    return done.withColumnsRenamed(dict(zip(names, keep, strict=True)))
+    return rows.mapInPandas(judge, f"{kept}, {FIGURES}")
+
+
+def quality(docs: DataFrame) -> DataFrame:
+    """``doc_id``, the figures and the verdict of every row.
+
+    NULL and empty texts have no words and fail the base rule.  Repeated rows
+    are judged alike, an empty table gives no rows; a text is judged by itself,
+    so neither order nor partitioning matters.  Other columns are ignored.
+    """
+    return _judged(docs, ["doc_id"]).withColumnRenamed("k0", "doc_id")
 
 
 def good_documents(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that pass, with all their columns."""
-    judged = quality(docs, docs.columns)
-    return judged.where("kept").select(*docs.columns)
+    judged = _judged(docs, docs.columns).where("kept")
+    return judged.select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(docs.columns)])
