@@ -244,20 +244,36 @@ def three_way_snapshot(daily: DataFrame, basics: DataFrame, stocks: DataFrame) -
 # -- bars and minutes -----------------------------------------------------------
 
 
-def adjust_prices(bars: DataFrame, factors: DataFrame, mode: str = "qfq") -> DataFrame:
-    """Adjusted prices: factor of the date or the next known one; ``qfq`` relative to the latest factor."""
+PRICES = ("open", "high", "low", "close")
+
+
+def _factors(bars: DataFrame, factors: DataFrame) -> DataFrame:
+    """Bars with ``_f``, the factor of the date or the next known one, and ``_last``, the latest factor of the code.
+
+    The next known one is the last one seen when going back in time, a running
+    frame; a frame up to the end of the code would be computed anew for each row.
+    """
     f = factors.select("code", "dt", dbl("factor").alias("_f"))
     latest = f.where(F.col("_f").isNotNull()).groupBy("code").agg(F.max_by("_f", "dt").alias("_last"))
-    w = Window.partitionBy("code").orderBy("dt").rowsBetween(0, Window.unboundedFollowing)
-    j = bars.join(f, ["code", "dt"], "left").withColumn("_f", F.first("_f", ignorenulls=True).over(w))
-    j = j.join(latest, "code", "left")
-    scale = F.col("_f") if mode == "hfq" else None
+    w = Window.partitionBy("code").orderBy(F.col("dt").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    j = bars.join(f, ["code", "dt"], "left").withColumn("_f", F.last("_f", ignorenulls=True).over(w))
+    return j.join(latest, "code", "left")
+
+
+def _adjusted(c: str, mode: str) -> Column:
+    raw = dbl(c) * F.col("_f")
+    return raw if mode == "hfq" else raw / null0(F.col("_last"))
+
+
+def adjust_prices(bars: DataFrame, factors: DataFrame, mode: str = "qfq") -> DataFrame:
+    """Adjusted prices; ``qfq`` relative to the latest factor, ``hfq`` by the factor alone."""
+    return _factors(bars, factors).withColumns({c: _adjusted(c, mode) for c in PRICES}).drop("_f", "_last")
 
-    def adjusted(c: str) -> Column:
-        raw = dbl(c) * F.col("_f")
-        return raw if scale is not None else raw / null0(F.col("_last"))
 
-    return j.withColumns({c: adjusted(c) for c in ("open", "high", "low", "close")}).drop("_f", "_last")
+def adjust_prices_both(bars: DataFrame, factors: DataFrame) -> DataFrame:
+    """Bars with ``qfq_`` and ``hfq_`` prices beside the raw ones, from one pass."""
+    new = {f"{mode}_{c}": _adjusted(c, mode) for mode in ("qfq", "hfq") for c in PRICES}
+    return _factors(bars, factors).withColumns(new).drop("_f", "_last")
 
 
 def upsert_bars(existing: DataFrame, tail: DataFrame, keep: int) -> DataFrame:

@@ -9,7 +9,7 @@ for the engine and as SQL text for the independent check.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # Fixed values used by queries and their checks alike.
@@ -22,18 +22,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _code(c):
-    return F.lpad(c.cast("string"), 6, "0")
+def code_of(c: Column) -> Column:
+    """A number as a code of six digits; longer numbers keep all their digits."""
+    digits = c.cast("string")
+    return F.lpad(digits, F.greatest(F.length(digits), F.lit(6)), "0")
 
 
 def _packed_order():
     """order (13 digits) | line (1) | part (11) | price in cents (9), as one DECIMAL(38,0)."""
     wide = lambda c: c.cast("decimal(38,0)")
     head = wide(F.col("l_orderkey") * 10 + F.col("l_linenumber"))
-    tail = F.col("l_partkey") * 1_000_000_000
+    billion = F.lit("1000000000").cast("decimal(10,0)")
+    tail = F.col("l_partkey").cast("decimal(11,0)") * billion
     cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
     hundred_billion = F.lit("100000000000000000000").cast("decimal(21,0)")
-    return (head.cast("decimal(16,0)") * hundred_billion + wide(tail + cents)).cast("decimal(38,0)")
+    return (head.cast("decimal(16,0)") * hundred_billion + wide(tail + cents.cast("decimal(9,0)"))).cast("decimal(38,0)")
 
 
 def bars(spark: SparkSession, sf_dir: str, key: str = "l_suppkey") -> DataFrame:
@@ -44,7 +47,7 @@ def bars(spark: SparkSession, sf_dir: str, key: str = "l_suppkey") -> DataFrame:
     aggregation, a number keeps it hash-based with a map-side combine.
     """
     li = table(spark, sf_dir, "lineitem").select(
-        _code(F.col(key)).alias("code"),
+        code_of(F.col(key)).alias("code"),
         F.col("l_shipdate").cast("date").alias("dt"),
         F.col("l_extendedprice").cast("decimal(12,2)").alias("px"),
         F.col("l_quantity").cast("decimal(6,0)").alias("qty"),
@@ -65,7 +68,7 @@ def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     price = F.col("value").cast("decimal(12,2)")
     volume = F.regexp_extract("props", "([0-9]+)", 1).cast("int")
     return ev.select(
-        _code(F.col("user_id") % 10).alias("code"),
+        code_of(F.col("user_id") % 10).alias("code"),
         F.col("ts").cast("timestamp_ntz").alias("ts"),
         F.col("event_id").alias("seq"),
         price.alias("price"),
@@ -104,7 +107,7 @@ def session_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = F.when(idx <= 120, idx + 570).otherwise(idx - 121 + 780)  # 11:30 and 15:00 included
     day = F.to_date(F.date_trunc("week", "ts"))
     return ev.select(
-        F.when(u < 5, F.lit("000000")).otherwise(_code(u)).alias("code"),
+        F.when(u < 5, F.lit("000000")).otherwise(code_of(u)).alias("code"),
         day.alias("trade_date"),
         (day.cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.lit(0), m)).alias("ts"),
         F.col("event_id").alias("seq"),
@@ -154,7 +157,7 @@ def dims(spark: SparkSession, sf_dir: str) -> DataFrame:
         s.join(n, s.s_nationkey == n.n_nationkey)
         .join(r, n.n_regionkey == r.r_regionkey)
         .select(
-            _code(F.col("s_suppkey")).alias("code"),
+            code_of(F.col("s_suppkey")).alias("code"),
             F.col("s_suppkey").alias("k"),
             F.col("s_name").alias("sname"),
             market.alias("market"),
@@ -194,7 +197,7 @@ def snapshot(spark: SparkSession, sf_dir: str, daily: DataFrame | None = None) -
     return last.join(d, "code").select(
         "code",
         "k",
-        F.concat(prefix, F.right(F.col("code"), F.lit(3))).alias("sym"),
+        F.concat(prefix, F.lpad(k.cast("string"), F.greatest(F.length(k.cast("string")), F.lit(3)), "0")).alias("sym"),
         name.alias("name"),
         "market",
         "industry",
@@ -232,16 +235,14 @@ def universe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     from barlake.functions.ranking import percent_rank_average
     from barlake.operators.indicators import indicators_as_of
-    from barlake.session import materialize
 
-    b = materialize(spark, bars(spark, sf_dir), "bars")  # read by the snapshot and by the indicators
+    b = bars(spark, sf_dir)  # read by the snapshot and by the indicators: one shuffle, reused
     rec = indicators_as_of(b, [AS_OF]).drop("used_rows", "first_date", "last_date", "last_close")
-    rec = materialize(spark, rec, "indicators")  # the rank reads it twice
     rec = percent_rank_average(rec, ["as_of"], "return_20d", "rps20").drop("as_of")
     s = snapshot(spark, sf_dir, b).withColumn("change_pct", F.col("change_pct") / 20)
     for c in ("price", "pre_close", "open", "high", "low", "volume", "amount"):
         s = s.withColumn(c, F.col(c).cast("double"))
-    return materialize(spark, s.drop("board").join(rec, "code", "left"), "universe")
+    return s.drop("board").join(rec, "code", "left")
 
 
 # --------------------------------------------------------------------------
@@ -252,26 +253,26 @@ _SQL = {
     "fx_bars": """
 SELECT code, dt, min_by(px, ord) AS open, max(px) AS high, min(px) AS low, max_by(px, ord) AS close,
        sum(qty) AS volume, sum(px * qty) AS amount
-FROM (SELECT lpad(CAST(l_suppkey AS VARCHAR), 6, '0') AS code, CAST(l_shipdate AS DATE) AS dt,
+FROM (SELECT printf('%06d', CAST(l_suppkey AS BIGINT)) AS code, CAST(l_shipdate AS DATE) AS dt,
              CAST(l_extendedprice AS DECIMAL(12,2)) AS px, CAST(l_quantity AS DECIMAL(6,0)) AS qty,
              (l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_quantity) AS ord FROM lineitem) t
 GROUP BY code, dt""",
     "fx_pbars": """
 SELECT code, dt, min_by(px, ord) AS open, max(px) AS high, min(px) AS low, max_by(px, ord) AS close,
        sum(qty) AS volume, sum(px * qty) AS amount
-FROM (SELECT lpad(CAST(l_partkey AS VARCHAR), 6, '0') AS code, CAST(l_shipdate AS DATE) AS dt,
+FROM (SELECT printf('%06d', CAST(l_partkey AS BIGINT)) AS code, CAST(l_shipdate AS DATE) AS dt,
              CAST(l_extendedprice AS DECIMAL(12,2)) AS px, CAST(l_quantity AS DECIMAL(6,0)) AS qty,
              (l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_quantity) AS ord FROM lineitem) t
 GROUP BY code, dt""",
     "fx_lbars": """
 SELECT code, dt, min_by(px, ord) AS open, max(px) AS high, min(px) AS low, max_by(px, ord) AS close,
        sum(qty) AS volume, sum(px * qty) AS amount
-FROM (SELECT lpad(CAST(l_linenumber AS VARCHAR), 6, '0') AS code, CAST(l_shipdate AS DATE) AS dt,
+FROM (SELECT printf('%06d', CAST(l_linenumber AS BIGINT)) AS code, CAST(l_shipdate AS DATE) AS dt,
              CAST(l_extendedprice AS DECIMAL(12,2)) AS px, CAST(l_quantity AS DECIMAL(6,0)) AS qty,
              (l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_quantity) AS ord FROM lineitem) t
 GROUP BY code, dt""",
     "fx_ticks": """
-SELECT lpad(CAST(user_id % 10 AS VARCHAR), 6, '0') AS code, ts, event_id AS seq,
+SELECT printf('%06d', CAST(user_id % 10 AS BIGINT)) AS code, ts, event_id AS seq,
        CAST(value AS DECIMAL(12,2)) AS price, CAST(regexp_extract(props, '([0-9]+)', 1) AS INT) AS volume,
        CAST(value AS DECIMAL(12,2)) * CAST(regexp_extract(props, '([0-9]+)', 1) AS INT) AS amount
 FROM events""",
@@ -284,7 +285,7 @@ FROM fx_ticks GROUP BY code, date_trunc('minute', ts), CAST(ts AS DATE)""",
     "fx_sticks": """
 SELECT code, trade_date, CAST(trade_date AS TIMESTAMP) + to_minutes(m) AS ts, m, seq, price, volume, amount FROM (
  SELECT *, CAST(CASE WHEN idx <= 120 THEN idx + 570 ELSE idx - 121 + 780 END AS INT) AS m FROM (
-  SELECT CASE WHEN user_id % 10 < 5 THEN '000000' ELSE lpad(CAST(user_id % 10 AS VARCHAR), 6, '0') END AS code,
+  SELECT CASE WHEN user_id % 10 < 5 THEN '000000' ELSE printf('%06d', CAST(user_id % 10 AS BIGINT)) END AS code,
    CAST(date_trunc('week', ts) AS DATE) AS trade_date,
    CAST(floor((extract(hour FROM ts) * 3600 + extract(minute FROM ts) * 60 + floor(extract(second FROM ts))) * 242 / 86400) AS INT) AS idx,
    event_id AS seq, CAST(value AS DECIMAL(12,2)) AS price, CAST(regexp_extract(props, '([0-9]+)', 1) AS INT) AS volume,
@@ -296,13 +297,13 @@ SELECT code, trade_date, ts, m, min_by(price, seq) AS open, max(price) AS high,
 SELECT code, trade_date, max_by(close, ts) AS price, min_by(open, ts) AS open, max(high) AS high, min(low) AS low,
  min_by(close, ts) AS pre_close FROM fx_session GROUP BY code, trade_date""",
     "fx_dims": """
-SELECT lpad(CAST(s_suppkey AS VARCHAR), 6, '0') AS code, s_suppkey AS k, s_name AS sname,
+SELECT printf('%06d', CAST(s_suppkey AS BIGINT)) AS code, s_suppkey AS k, s_name AS sname,
        CASE n_regionkey WHEN 0 THEN 'sh' WHEN 1 THEN 'sz' WHEN 2 THEN 'bj' END AS market,
        n_name AS industry, r_name AS board, s_acctbal AS acctbal
 FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""",
     "fx_snapshot": """
 SELECT b.code, d.k,
-       ['600','000','300','301','688','002','430','920'][d.k % 8 + 1] || right(b.code, 3) AS sym,
+       ['600','000','300','301','688','002','430','920'][d.k % 8 + 1] || printf('%03d', CAST(d.k AS BIGINT)) AS sym,
        CASE WHEN d.k % 19 = 0 THEN '*ST' || d.sname WHEN d.k % 23 = 0 THEN 'ST' || d.sname
             WHEN d.k % 29 = 0 THEN d.sname || '退' ELSE d.sname END AS name,
        d.market, d.industry, d.board, b.dt AS trade_date, b.close AS price, b.pre_close, b.open, b.high, b.low,

@@ -9,7 +9,6 @@ from barlake.operators import crosssection as cs
 from barlake.operators import indicators as ind
 from barlake.plans.bindings import bars, calls, dims, r2, snapshot, table, with_bindings
 from barlake.plans.registry import query
-from barlake.session import materialize
 
 
 @query(
@@ -26,7 +25,6 @@ FROM r LEFT JOIN k ON k.code = r.code AND k.dt = r.dt""",
 )
 def agg_rps20(spark, d):
     h = ind.indicators_history(bars(spark, d)).select("code", "dt", "return_20d")
-    h = materialize(spark, h, "returns")  # read twice: to find the positions and to attach them
     return cs.relative_strength(h, ["dt"]).select("code", F.col("dt").cast("string").alias("dt"), "return_20d", "rps20")
 
 

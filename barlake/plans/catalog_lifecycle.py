@@ -9,7 +9,7 @@ from barlake.functions.numeric import dbl, round_dec
 from barlake.operators import lifecycle as lc
 from barlake.operators import minutes as mn
 from barlake.operators import normalize as nz
-from barlake.plans.bindings import dims, r2, session_bars, session_days, table, with_bindings
+from barlake.plans.bindings import code_of, dims, r2, session_bars, session_days, table, with_bindings
 from barlake.plans.catalog_sources import _records
 from barlake.plans.registry import query
 
@@ -107,7 +107,7 @@ def _slot_events(spark, d):
         k.alias("seq"),
         action.alias("action"),
         F.when(m <= 3, k).otherwise(k - 60 * (k % 3 + 1)).cast("string").alias("decision_id"),
-        F.lpad((k % 1000).cast("string"), 6, "0").alias("code"),
+        code_of((k % 1000)).alias("code"),
         (F.col("o_totalprice") > 100000).alias("can_reassign"),
     )
 
@@ -115,7 +115,7 @@ def _slot_events(spark, d):
 @query(
     "st_slot",
     """WITH RECURSIVE ev AS (SELECT o_orderkey % 60 AS entity, o_orderkey AS seq, o_custkey % 9 AS m, CASE WHEN o_custkey % 9 <= 3 THEN 'reserve' WHEN o_custkey % 9 <= 6 THEN 'occupy' WHEN o_custkey % 9 = 7 OR o_custkey % 90 <> 8 THEN 'release' ELSE 'cutoff' END AS action,
-  CAST(CASE WHEN o_custkey % 9 <= 3 THEN o_orderkey ELSE o_orderkey - 60 * (o_orderkey % 3 + 1) END AS VARCHAR) AS dec, lpad(CAST(o_orderkey % 1000 AS VARCHAR), 6, '0') AS code, o_totalprice > 100000 AS can FROM orders),
+  CAST(CASE WHEN o_custkey % 9 <= 3 THEN o_orderkey ELSE o_orderkey - 60 * (o_orderkey % 3 + 1) END AS VARCHAR) AS dec, printf('%06d', CAST(o_orderkey % 1000 AS BIGINT)) AS code, o_totalprice > 100000 AS can FROM orders),
 rw AS (SELECT *, row_number() OVER (PARTITION BY entity ORDER BY seq) AS i FROM ev),
 rp AS (SELECT entity, 0::BIGINT AS i, 'free' AS slot, NULL::VARCHAR AS cur, NULL::VARCHAR AS cc, false AS cut, 0::BIGINT AS nr, 0::BIGINT AS no FROM (SELECT DISTINCT entity FROM ev)
  UNION ALL
@@ -230,7 +230,7 @@ def _account(spark, d):
     pos = c.select(
         F.col("c_nationkey").alias("account"),
         k.alias("position_no"),
-        F.lpad((k % 100).cast("string"), 6, "0").alias("code"),
+        code_of((k % 100)).alias("code"),
         F.col("c_acctbal").alias("cost"),
         (k % 5).alias("quantity"),
         (F.col("c_acctbal") - 500 + k % 1000).alias("protection"),
@@ -241,8 +241,8 @@ def _account(spark, d):
     return cand, pos, eq
 
 
-_ACC = """pos AS (SELECT c_nationkey AS account, c_custkey AS no, lpad(CAST(c_custkey % 100 AS VARCHAR), 6, '0') AS code, c_acctbal AS cost, c_custkey % 5 AS q, c_acctbal - 500 + c_custkey % 1000 AS prot,
- CASE WHEN c_custkey % 50 = 7 THEN 'exit_unavailable' WHEN c_custkey % 50 = 8 THEN 'execution_unknown' ELSE 'open' END AS status, d.industry FROM customer JOIN fx_dims d ON d.code = lpad(CAST(c_custkey % 100 AS VARCHAR), 6, '0')),
+_ACC = """pos AS (SELECT c_nationkey AS account, c_custkey AS no, printf('%06d', CAST(c_custkey % 100 AS BIGINT)) AS code, c_acctbal AS cost, c_custkey % 5 AS q, c_acctbal - 500 + c_custkey % 1000 AS prot,
+ CASE WHEN c_custkey % 50 = 7 THEN 'exit_unavailable' WHEN c_custkey % 50 = 8 THEN 'execution_unknown' ELSE 'open' END AS status, d.industry FROM customer JOIN fx_dims d ON d.code = printf('%06d', CAST(c_custkey % 100 AS BIGINT))),
 cd AS (SELECT k % 25 AS account, code, industry FROM fx_dims), eq AS (SELECT n_nationkey AS account, 200000 + n_nationkey * 20000::DOUBLE AS e FROM nation WHERE n_nationkey % 6 <> 5)"""
 
 

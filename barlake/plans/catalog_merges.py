@@ -8,7 +8,7 @@ from barlake.functions.numeric import dbl
 from barlake.operators import indicators as ind
 from barlake.operators import merges as mg
 from barlake.operators import normalize as nz
-from barlake.plans.bindings import bars, dims, minutes, snapshot, table, with_bindings
+from barlake.plans.bindings import bars, code_of, dims, minutes, snapshot, table, with_bindings
 from barlake.plans.catalog_minutes import _CUM, cumulative
 from barlake.plans.catalog_sources import _MASTER, _WATCH, _master_raw, _requests, _runs, _watchlists
 from barlake.plans.registry import query
@@ -214,13 +214,13 @@ def jn_class_coverage(spark, d):
 
 @query(
     "jn_supply_chain",
-    """WITH e AS (SELECT p_brand AS theme, lpad(CAST(p_partkey AS VARCHAR), 6, '0') AS code, p_type AS role FROM part WHERE p_partkey % 2 = 0),
-n AS (SELECT 'T' || p_size AS theme, lpad(CAST(p_partkey AS VARCHAR), 6, '0') AS code, '' AS role FROM part WHERE p_partkey % 5 = 0)
+    """WITH e AS (SELECT p_brand AS theme, printf('%06d', CAST(p_partkey AS BIGINT)) AS code, p_type AS role FROM part WHERE p_partkey % 2 = 0),
+n AS (SELECT 'T' || p_size AS theme, printf('%06d', CAST(p_partkey AS BIGINT)) AS code, '' AS role FROM part WHERE p_partkey % 5 = 0)
 SELECT * FROM e UNION ALL SELECT * FROM n WHERE code NOT IN (SELECT code FROM e)""",
 )
 def jn_supply_chain(spark, d):
     p = table(spark, d, "part")
-    code = F.lpad(F.col("p_partkey").cast("string"), 6, "0").alias("code")
+    code = code_of(F.col("p_partkey")).alias("code")
     old = p.where("p_partkey % 2 = 0").select(F.col("p_brand").alias("theme"), code, F.col("p_type").alias("role"))
     new = p.where("p_partkey % 5 = 0").select(F.col("p_partkey").alias("seq"), F.concat(F.lit("T"), F.col("p_size").cast("string")).alias("theme"), code)
     return mg.supply_chain_merge(old, new, "seq")
@@ -229,7 +229,7 @@ def jn_supply_chain(spark, d):
 @query(
     "jn_master_merge",
     f"""WITH {_MASTER} SELECT code, name, status FROM master UNION ALL
-SELECT DISTINCT lpad(CAST(c_custkey AS VARCHAR), 6, '0'), 'old', 'unknown' FROM customer WHERE lpad(CAST(c_custkey AS VARCHAR), 6, '0') NOT IN (SELECT code FROM master)""",
+SELECT DISTINCT printf('%06d', CAST(c_custkey AS BIGINT)), 'old', 'unknown' FROM customer WHERE printf('%06d', CAST(c_custkey AS BIGINT)) NOT IN (SELECT code FROM master)""",
 )
 def jn_master_merge(spark, d):
     new = rt.parse_master_rows(_master_raw(spark, d), "2000-06-01").withColumn("seq", F.lit(0))
@@ -317,9 +317,8 @@ def jn_adjust(spark, d):
     b = bars(spark, d)
     day = F.dayofmonth("dt")
     fac = b.where(day % 5 != 0).select("code", "dt", F.when(day % 3 != 0, 1 + (F.year("dt") - 1994) * 0.1).alias("factor"))
-    q = mg.adjust_prices(b, fac, "qfq").select("code", "dt", F.col("open").alias("qfq_open"), F.col("close").alias("qfq_close"))
-    h = mg.adjust_prices(b, fac, "hfq").select("code", "dt", F.col("close").alias("hfq_close"))
-    return q.join(h, ["code", "dt"]).withColumn("dt", F.col("dt").cast("string"))
+    both = mg.adjust_prices_both(b, fac)
+    return both.select("code", F.col("dt").cast("string").alias("dt"), "qfq_open", "qfq_close", "hfq_close")
 
 
 @query(
@@ -356,22 +355,22 @@ def jn_minutes_upsert(spark, d):
 
 @query(
     "jn_resume_pending",
-    """SELECT lpad(CAST(c_custkey AS VARCHAR), 6, '0') AS code, CASE WHEN c_mktsegment = 'BUILDING' THEN 1 ELSE 0 END AS priority FROM customer
+    """SELECT printf('%06d', CAST(c_custkey AS BIGINT)) AS code, CASE WHEN c_mktsegment = 'BUILDING' THEN 1 ELSE 0 END AS priority FROM customer
 WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'O')""",
 )
 def jn_resume_pending(spark, d):
-    c = table(spark, d, "customer").withColumn("code", F.lpad(F.col("c_custkey").cast("string"), 6, "0"))
-    done = table(spark, d, "orders").where("o_orderstatus = 'O'").select(F.lpad(F.col("o_custkey").cast("string"), 6, "0").alias("code"))
+    c = table(spark, d, "customer").withColumn("code", code_of(F.col("c_custkey")))
+    done = table(spark, d, "orders").where("o_orderstatus = 'O'").select(code_of(F.col("o_custkey")).alias("code"))
     return mg.pending_codes(c, done.distinct(), c.where("c_mktsegment = 'BUILDING'"))
 
 
 @query(
     "jn_listing_days",
-    """SELECT lpad(CAST(c_custkey AS VARCHAR), 6, '0') AS code, CASE WHEN c_custkey % 4 = 0 THEN date_diff('day', DATE '1996-01-01' + CAST(c_custkey % 2000 AS INT), DATE '2001-12-01') END AS listed_days FROM customer""",
+    """SELECT printf('%06d', CAST(c_custkey AS BIGINT)) AS code, CASE WHEN c_custkey % 4 = 0 THEN date_diff('day', DATE '1996-01-01' + CAST(c_custkey % 2000 AS INT), DATE '2001-12-01') END AS listed_days FROM customer""",
 )
 def jn_listing_days(spark, d):
     k = F.col("c_custkey")
-    c = table(spark, d, "customer").select(F.lpad(k.cast("string"), 6, "0").alias("code"), "c_custkey")
+    c = table(spark, d, "customer").select(code_of(k).alias("code"), "c_custkey")
     ld = F.date_add(F.lit("1996-01-01").cast("date"), (k % 2000).cast("int")).cast("string")
     m = c.where(k % 4 != 1).select("code", F.when(k % 4 == 2, "").when(k % 4 == 3, "unknown").otherwise(F.concat(ld, F.lit(" 00:00:00"))).alias("listing_date"))
     return mg.listing_days(c.select("code"), m, "2001-12-01").withColumn("listed_days", F.col("listed_days").cast("bigint"))
@@ -467,7 +466,7 @@ def _fulfilled(spark, d):
 
 
 _FULFIL = f"""{_CUM},
-rq AS (SELECT CAST(c_custkey AS VARCHAR) AS request_id, lpad(CAST(unnest([c_custkey, c_custkey + 1]) AS VARCHAR), 6, '0') AS code FROM customer WHERE c_custkey % 17 = 0),
+rq AS (SELECT CAST(c_custkey AS VARCHAR) AS request_id, printf('%06d', CAST(unnest([c_custkey, c_custkey + 1]) AS BIGINT)) AS code FROM customer WHERE c_custkey % 17 = 0),
 t AS (SELECT code, close, row_number() OVER (PARTITION BY code ORDER BY dt DESC) AS k FROM fx_bars WHERE dt < DATE '2001-12-01'),
 m5 AS (SELECT code, least(count(*), 250) AS n, CASE WHEN count(*) >= 5 THEN CAST(sum(CASE WHEN k <= 5 THEN close END) AS DOUBLE) / 5 END AS ma5 FROM t GROUP BY code),
 mv AS (SELECT code, count(*) AS n, max_by(volume, m) AS v, max_by(amount, m) AS a FROM cum WHERE trade_date = DATE '2024-01-08' AND m BETWEEN 570 AND 600 GROUP BY code),

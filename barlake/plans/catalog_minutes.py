@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from barlake.functions.numeric import dbl
 from barlake.operators import minutes as mn
-from barlake.plans.bindings import r2, session_bars, session_days, session_ticks, table, with_bindings
+from barlake.plans.bindings import code_of, r2, session_bars, session_days, session_ticks, table, with_bindings
 from barlake.plans.registry import query
 
 _D = "CAST(trade_date AS VARCHAR) AS trade_date"
@@ -186,7 +186,8 @@ def min_structure(spark, d):
 
 
 _OBS = 870  # 14:30
-_MISS = """hv AS (SELECT DISTINCT trade_date, m FROM fx_session WHERE code <> '000000'),
+_MISS = """fg AS (SELECT DISTINCT code, trade_date, m + CAST(m % 17 = 3 OR m % 41 = 6 AS INT) AS m FROM fx_session),
+hv AS (SELECT DISTINCT trade_date, m FROM fg),
 sp AS (SELECT trade_date, min(m) AS lo, max(m) AS hi, count(*) AS actual FROM hv GROUP BY trade_date),
 ms AS (SELECT sp.trade_date, x.m FROM sp JOIN (SELECT unnest(range(0, 1440)) AS m) x ON x.m >= sp.lo AND x.m < 870 AND NOT (x.m >= 690 AND x.m < 780)
   WHERE NOT EXISTS (SELECT 1 FROM hv WHERE hv.trade_date = sp.trade_date AND hv.m = x.m)),
@@ -194,15 +195,18 @@ bk AS (SELECT trade_date, m, gap FROM (SELECT trade_date, m, m - lag(m) OVER (PA
 
 
 def _gappy(spark, d):
-    """Without the dense code, so that the audits find holes."""
-    return session_bars(spark, d).where(F.col("code") != "000000")
+    """Every bar, but some session minutes report one minute later, so that the audits find holes."""
+    m = F.hour("ts") * 60 + F.minute("ts")
+    late = (m % 17 == 3) | (m % 41 == 6)
+    shift = F.make_dt_interval(F.lit(0), F.lit(0), late.cast("int"))
+    return session_bars(spark, d).select("code", "trade_date", (F.col("ts") + shift).alias("ts")).distinct()
 
 
 @query(
     "min_audit",
     with_bindings(
         f"""WITH {_MISS},
-pc AS (SELECT code, trade_date, count(DISTINCT ts) AS n FROM fx_session WHERE code <> '000000' GROUP BY code, trade_date),
+pc AS (SELECT code, trade_date, count(*) AS n FROM fg GROUP BY code, trade_date),
 cv AS (SELECT trade_date, CAST(sum(CAST(n / 210::DOUBLE AS DECIMAL(28,10))) AS DOUBLE) / count(*) AS mean, min(n / 210::DOUBLE) AS mn, max(n / 210::DOUBLE) AS mx,
  count(CASE WHEN n >= 210 * 0.95::DOUBLE THEN 1 END) AS f, count(CASE WHEN n < 210 * 0.95::DOUBLE THEN 1 END) AS p FROM pc GROUP BY trade_date)
 SELECT CAST(sp.trade_date AS VARCHAR) AS trade_date, 240 AS total_expected_minutes, 210 AS expected_minutes_dynamic, actual AS actual_minutes,
@@ -241,14 +245,14 @@ def min_audit_breaks(spark, d):
 
 def _all_codes(spark, d):
     """Every code a user id can map to, plus twelve that never trade (taken from suppliers)."""
-    s = table(spark, d, "supplier").select(F.lpad(F.col("s_suppkey").cast("string"), 6, "0").alias("code"))
+    s = table(spark, d, "supplier").select(code_of(F.col("s_suppkey")).alias("code"))
     return s.unionByName(session_ticks(spark, d).select("code")).distinct()
 
 
 @query(
     "min_audit_codes",
     with_bindings(
-        f"""WITH u AS (SELECT lpad(CAST(s_suppkey AS VARCHAR), 6, '0') AS code FROM supplier UNION SELECT code FROM fx_sticks),
+        f"""WITH u AS (SELECT printf('%06d', CAST(s_suppkey AS BIGINT)) AS code FROM supplier UNION SELECT code FROM fx_sticks),
 pc AS (SELECT code, trade_date, count(DISTINCT ts) AS n FROM fx_session GROUP BY code, trade_date UNION ALL SELECT code, NULL, 0 FROM u WHERE code NOT IN (SELECT code FROM fx_session))
 SELECT code, {_D}, n AS minutes, {r2('n / 240::DOUBLE * 100', 1)} AS coverage_pct, CASE WHEN n >= 240 * 0.95::DOUBLE THEN 'full' WHEN n > 0 THEN 'partial' ELSE 'none' END AS status FROM pc""",
         "fx_session",
@@ -271,7 +275,7 @@ def min_audit_codes(spark, d):
 @query(
     "min_audit_market",
     with_bindings(
-        f"""WITH u AS (SELECT lpad(CAST(s_suppkey AS VARCHAR), 6, '0') AS code FROM supplier UNION SELECT code FROM fx_sticks),
+        f"""WITH u AS (SELECT printf('%06d', CAST(s_suppkey AS BIGINT)) AS code FROM supplier UNION SELECT code FROM fx_sticks),
 pc AS (SELECT code, trade_date, count(DISTINCT ts) AS n, sum(volume) AS v FROM fx_session GROUP BY code, trade_date)
 SELECT {_D}, 240 AS expected_minutes, count(*) AS codes_with_data, (SELECT count(*) FROM u) - count(*) AS codes_zero_data,
  {r2('CAST(sum(n) AS DOUBLE) / count(*) / 240 * 100', 1)} AS mean_coverage_pct, {r2('min(n / 240::DOUBLE) * 100', 1)} AS min_coverage_pct, {r2('max(n / 240::DOUBLE) * 100', 1)} AS max_coverage_pct,
@@ -313,13 +317,13 @@ def min_audit_last_trade(spark, d):
     with_bindings(
         f"""SELECT code, {_D}, {r2('CAST(sum(amount) AS DOUBLE) / nullif(CAST(sum(volume) AS DOUBLE), 0)', 4)} AS full_day_vwap,
  {r2('CAST(sum(CASE WHEN m >= 780 THEN amount END) AS DOUBLE) / nullif(CAST(sum(CASE WHEN m >= 780 THEN volume END) AS DOUBLE), 0)', 4)} AS afternoon_avwap
-FROM fx_session WHERE code IN (SELECT lpad(CAST(n_nationkey AS VARCHAR), 6, '0') FROM nation WHERE n_regionkey < 3) GROUP BY code, trade_date""",
+FROM fx_session WHERE code IN (SELECT printf('%06d', CAST(n_nationkey AS BIGINT)) FROM nation WHERE n_regionkey < 3) GROUP BY code, trade_date""",
         "fx_session",
     ),
 )
 def min_watch_vwap(spark, d):
     watch = table(spark, d, "nation").where("n_regionkey < 3").select(
-        F.lpad(F.col("n_nationkey").cast("string"), 6, "0").alias("code")
+        code_of(F.col("n_nationkey")).alias("code")
     )
     return _s(mn.watch_vwap(session_bars(spark, d), watch))
 

@@ -9,7 +9,7 @@ from barlake.functions.numeric import dbl, round_dec
 from barlake.operators import merges as mg
 from barlake.operators import minutes as mn
 from barlake.operators import quality as dq
-from barlake.plans.bindings import bars, calls, dims, r2, session_bars, snapshot, table, ticks, with_bindings
+from barlake.plans.bindings import bars, calls, code_of, dims, r2, session_bars, snapshot, table, ticks, with_bindings
 from barlake.plans.catalog_merges import _CLASS, _class_sides, classification
 from barlake.plans.registry import query
 
@@ -296,7 +296,7 @@ def dq_class_audit(spark, d):
 def dq_upstream_dups(spark, d):
     k = F.col("o_custkey")
     return dq.upstream_duplicates(
-        table(spark, d, "orders").select(F.when(k % 9 == 0, "abc").otherwise(F.lpad(k.cast("string"), 6, "0")).alias("code"))
+        table(spark, d, "orders").select(F.when(k % 9 == 0, "abc").otherwise(code_of(k)).alias("code"))
     )
 
 

@@ -9,9 +9,8 @@ from barlake.operators import crosssection as cs
 from barlake.operators import indicators as ind
 from barlake.operators import merges as mg
 from barlake.operators import screening as sc
-from barlake.plans.bindings import AS_OF, bars, r2, snapshot, table, universe, with_bindings
+from barlake.plans.bindings import AS_OF, bars, code_of, r2, snapshot, table, universe, with_bindings
 from barlake.plans.registry import query
-from barlake.session import materialize
 
 
 def _trad(spark, d):
@@ -121,8 +120,7 @@ def _selected(spark, d, t=None):
     t = _trad(spark, d) if t is None else t
     mode = cs.market_mode(_hard(spark, d, t))
     mode = mode.select((F.col("min_score") - 25).alias("min_score"), (F.col("max_tail_risk") + 1).alias("max_tail_risk"))
-    scored = materialize(spark, _scored(spark, d, t), "scored")
-    return sc.select_candidates(scored, mode, min_rr=0.1, official_score=30, fast=50)
+    return sc.select_candidates(_scored(spark, d, t), mode, min_rr=0.1, official_score=30, fast=50)
 
 
 @query("scr_select", with_bindings(f"WITH {_TRAD}, {_SCORE}, {_SELECT} SELECT * FROM sel", "fx_univ"))
@@ -373,7 +371,7 @@ def scr_v2_review(spark, d):
 
 @query(
     "scr_substitutes",
-    """WITH c AS (SELECT c_mktsegment AS profile, c_nationkey AS day, lpad(CAST(c_custkey AS VARCHAR), 6, '0') AS code, ['strong','moderate','weak','poor','?'][c_custkey % 5 + 1] AS q, ['low','medium','high','?'][c_custkey % 4 + 1] AS t,
+    """WITH c AS (SELECT c_mktsegment AS profile, c_nationkey AS day, printf('%06d', CAST(c_custkey AS BIGINT)) AS code, ['strong','moderate','weak','poor','?'][c_custkey % 5 + 1] AS q, ['low','medium','high','?'][c_custkey % 4 + 1] AS t,
  CASE WHEN c_custkey % 7 <> 0 THEN floor(c_acctbal / 1000) END AS rr FROM customer)
 SELECT profile, day, code, CAST(row_number() OVER (PARTITION BY profile, day ORDER BY CASE q WHEN 'strong' THEN 3 WHEN 'moderate' THEN 2 WHEN 'weak' THEN 1 ELSE 0 END DESC, CASE t WHEN 'low' THEN 0 WHEN 'medium' THEN 1 ELSE 2 END, coalesce(rr, 0) DESC, code) AS INT) AS position FROM c""",
 )
@@ -383,7 +381,7 @@ def scr_substitutes(spark, d):
     c = table(spark, d, "customer").select(
         F.col("c_mktsegment").alias("profile"),
         F.col("c_nationkey").alias("day"),
-        F.lpad(k.cast("string"), 6, "0").alias("code"),
+        code_of(k).alias("code"),
         word(5, "strong", "moderate", "weak", "poor", "?").alias("opportunity_quality"),
         word(4, "low", "medium", "high", "?").alias("tail_risk"),
         F.when(k % 7 != 0, F.floor(F.col("c_acctbal") / 1000)).alias("reward_risk_ratio"),

@@ -15,6 +15,7 @@ from barlake.functions.ranking import latest_per_key
 from barlake.operators import normalize as nz
 from barlake.plans.bindings import (
     bars,
+    code_of,
     minutes,
     r2,
     session_bars,
@@ -99,11 +100,11 @@ def src_snapshot_docs(spark, d):
 
 @query(
     "src_csv",
-    """SELECT lpad(CAST(p_partkey AS VARCHAR), 6, '0') AS code, p_name AS name, p_brand AS brand, p_type AS kind FROM part WHERE p_partkey % 10 <> 3""",
+    """SELECT printf('%06d', CAST(p_partkey AS BIGINT)) AS code, p_name AS name, p_brand AS brand, p_type AS kind FROM part WHERE p_partkey % 10 <> 3""",
 )
 def src_csv(spark, d):
     p = table(spark, d, "part")
-    body = F.concat_ws(",", F.lpad(F.col("p_partkey").cast("string"), 6, "0"), "p_name", "p_brand", "p_type")
+    body = F.concat_ws(",", code_of(F.col("p_partkey")), "p_name", "p_brand", "p_type")
     line = F.when(F.col("p_partkey") % 10 == 3, F.concat(F.lit("# "), body)).otherwise(body)
     header = F.concat(F.lit("﻿"), F.lit("code,name,brand,kind"))
     lines = p.select(F.explode(F.when(F.col("p_partkey") == 0, F.array(header, line)).otherwise(F.array(line))).alias("line"))
@@ -114,13 +115,13 @@ def src_csv(spark, d):
     "src_minutes",
     with_bindings(
         """SELECT code, CAST(trade_date AS VARCHAR) AS trade_date, CAST(ts_min AS VARCHAR) AS ts_min, CAST(close AS DOUBLE) AS close, volume FROM fx_minutes
-WHERE trade_date = DATE '2024-01-10' AND code IN (SELECT lpad(CAST(n_nationkey AS VARCHAR), 6, '0') FROM nation WHERE n_regionkey < 3)""",
+WHERE trade_date = DATE '2024-01-10' AND code IN (SELECT printf('%06d', CAST(n_nationkey AS BIGINT)) FROM nation WHERE n_regionkey < 3)""",
         "fx_minutes",
     ),
 )
 def src_minutes(spark, d):
     codes = table(spark, d, "nation").where("n_regionkey < 3").select(
-        F.lpad(F.col("n_nationkey").cast("string"), 6, "0").alias("code")
+        code_of(F.col("n_nationkey")).alias("code")
     )
     out = tb.load_minutes(minutes(spark, d), "2024-01-10", codes)
     return out.select(
@@ -136,7 +137,7 @@ def _watchlists(spark, d):
     """One watchlist document per customer with three codes; some are unreadable."""
     c = table(spark, d, "customer")
     k = F.col("c_custkey")
-    stock = lambda x: F.struct(F.lpad(x.cast("string"), 6, "0").alias("code"), F.lit("n").alias("name"))
+    stock = lambda x: F.struct(code_of(x).alias("code"), F.lit("n").alias("name"))
     doc = F.struct(
         F.col("c_mktsegment").alias("strategy_profile_id"),
         F.lit("2.0").alias("strategy_version"),
@@ -145,7 +146,7 @@ def _watchlists(spark, d):
     return c.select(F.when(k % 11 == 0, "[]x").otherwise(F.to_json(doc)).alias("text"))
 
 
-_WATCH = """wl AS (SELECT c_mktsegment AS strategy_profile_id, lpad(CAST(unnest([c_custkey % 100, c_custkey % 37, c_custkey % 1000 + 1]) AS VARCHAR), 6, '0') AS code
+_WATCH = """wl AS (SELECT c_mktsegment AS strategy_profile_id, printf('%06d', CAST(unnest([c_custkey % 100, c_custkey % 37, c_custkey % 1000 + 1]) AS BIGINT)) AS code
  FROM customer WHERE c_custkey % 11 <> 0)"""
 
 
@@ -171,12 +172,12 @@ def src_calendar(spark, d):
 
 @query(
     "src_universe",
-    "SELECT DISTINCT lpad(CAST(o_custkey AS VARCHAR), 6, '0') AS code FROM orders WHERE o_orderstatus = 'O'",
+    "SELECT DISTINCT printf('%06d', CAST(o_custkey AS BIGINT)) AS code FROM orders WHERE o_orderstatus = 'O'",
 )
 def src_universe(spark, d):
     o = table(spark, d, "orders")
     m = o.select(
-        F.lpad(F.col("o_custkey").cast("string"), 6, "0").alias("code"),
+        code_of(F.col("o_custkey")).alias("code"),
         F.when(F.col("o_orderstatus") == "O", "active").otherwise("suspended").alias("status"),
     )
     return tb.universe(m, include_suspended=False)
@@ -214,7 +215,7 @@ def _tilde_text(spark, d):
             blank(9),  # fields 39-47
         )
 
-    cd = F.concat(F.lit("43"), F.right(F.col("code"), F.lit(4)))
+    cd = F.col("code")
     entry = lambda p: F.concat(F.lit("v_bj"), cd, F.lit('="'), body(p), F.lit('";\n'))
     now = F.when(k % 17 == 0, "0.00").otherwise(F.col("price").cast("string"))
     return s.select(k.alias("seq"), F.concat(entry(F.lit("1.25")), entry(now)).alias("text"))
@@ -223,16 +224,15 @@ def _tilde_text(spark, d):
 @query(
     "src_raw_quotes",
     with_bindings(
-        """SELECT '43' || right(code, 4) AS code, name, CASE WHEN k % 17 = 0 THEN 1.25::DOUBLE ELSE CAST(price AS DOUBLE) END AS price,
+        """SELECT code, name, CASE WHEN k % 17 = 0 THEN 1.25::DOUBLE ELSE CAST(price AS DOUBLE) END AS price,
  coalesce(CAST(pre_close AS DOUBLE), 0) AS pre_close, 0::DOUBLE AS change_pct, CAST(high AS DOUBLE) AS high, CAST(volume * 100 AS DOUBLE) AS volume,
  CASE WHEN k % 2 = 0 THEN CAST(amount AS DOUBLE) ELSE CAST(volume AS DOUBLE) * 10000 END AS amount, 1.5::DOUBLE AS turnover_rate, 0::DOUBLE AS pe_ratio,
- CASE WHEN k % 3 = 0 THEN '2001-11-30T15:00:03' ELSE '15:00:03' END AS quote_time, 'bj' AS market FROM fx_snapshot
-QUALIFY row_number() OVER (PARTITION BY right(code, 4) ORDER BY k DESC) = 1""",
+ CASE WHEN k % 3 = 0 THEN '2001-11-30T15:00:03' ELSE '15:00:03' END AS quote_time, 'bj' AS market FROM fx_snapshot""",
         "fx_snapshot",
     ),
 )
 def src_raw_quotes(spark, d):
-    q = rt.parse_tilde_quotes(materialize(spark, _tilde_text(spark, d), "payload"))  # raw payloads are a stored table
+    q = rt.parse_tilde_quotes(_tilde_text(spark, d))
     return q.select(
         "code", "name", "price", "pre_close", "change_pct", "high", "volume", "amount", "turnover_rate", "pe_ratio",
         "quote_time", "market",
@@ -242,15 +242,14 @@ def src_raw_quotes(spark, d):
 @query(
     "src_raw_quotes_comma",
     with_bindings(
-        """SELECT '83' || right(code, 4) AS code, name, CAST(price AS DOUBLE) AS price, 2.5::DOUBLE AS change_pct, CAST(volume * 100 AS DOUBLE) AS volume,
- CAST(amount AS DOUBLE) AS amount, 0::DOUBLE AS turnover_rate, 'comma_feed' AS source, 'bj' AS market FROM fx_snapshot WHERE k % 5 <> 2
-QUALIFY row_number() OVER (PARTITION BY right(code, 4) ORDER BY k DESC) = 1""",
+        """SELECT code, name, CAST(price AS DOUBLE) AS price, 2.5::DOUBLE AS change_pct, CAST(volume * 100 AS DOUBLE) AS volume,
+ CAST(amount AS DOUBLE) AS amount, 0::DOUBLE AS turnover_rate, 'comma_feed' AS source, 'bj' AS market FROM fx_snapshot WHERE k % 5 <> 2""",
         "fx_snapshot",
     ),
 )
 def src_raw_quotes_comma(spark, d):
     s = snapshot(spark, d)
-    cd = F.concat(F.lit("83"), F.right(F.col("code"), F.lit(4)))
+    cd = F.col("code")
     price = F.when(F.col("k") % 5 == 2, "-").otherwise(F.col("price").cast("string"))
     body = F.concat_ws(
         ",", "name", F.lit(""), F.lit(""), price, F.lit("2.5"), F.lit(""), F.lit(""), F.lit(""),
@@ -307,7 +306,7 @@ def src_label_from_html(spark, d):
 def _master_raw(spark, d):
     o = table(spark, d, "orders")
     c = F.col("o_custkey")
-    code = F.concat(F.substring(F.lit("60304892"), (c % 8 + 1).cast("int"), F.lit(1)), F.lpad((c % 100000).cast("string"), 5, "0"))
+    code = F.concat(F.substring(F.lit("60304892"), (c % 8 + 1).cast("int"), F.lit(1)), F.lpad(c.cast("string"), F.greatest(F.length(c.cast("string")), F.lit(5)), "0"))
     suffix = F.element_at(F.array(F.lit(".SZ"), F.lit(".SH"), F.lit(".BJ"), F.lit("")), (c % 4 + 1).cast("int"))
     last = F.when(F.col("o_orderkey") % 7 == 0, "soon").when(F.col("o_orderkey") % 7 == 1, None).otherwise(
         F.col("o_orderdate").cast("date").cast("string")
@@ -322,7 +321,7 @@ def _master_raw(spark, d):
     )
 
 
-_MASTER = """mr AS (SELECT o_orderkey AS seq, substring('60304892', CAST(o_custkey % 8 + 1 AS INT), 1) || lpad(CAST(o_custkey % 100000 AS VARCHAR), 5, '0') AS code,
+_MASTER = """mr AS (SELECT o_orderkey AS seq, substring('60304892', CAST(o_custkey % 8 + 1 AS INT), 1) || printf('%05d', CAST(o_custkey AS BIGINT)) AS code,
   ['.SZ','.SH','.BJ',''][o_custkey % 4 + 1] AS sfx, o_orderpriority AS name,
   CASE WHEN o_orderkey % 7 = 0 THEN 'soon' WHEN o_orderkey % 7 = 1 THEN '' ELSE CAST(CAST(o_orderdate AS DATE) AS VARCHAR) END AS last_trade_date FROM orders),
 master AS (SELECT code, name, CASE sfx WHEN '.SZ' THEN 'sz' WHEN '.SH' THEN 'sh' WHEN '.BJ' THEN 'bj' ELSE
@@ -338,19 +337,19 @@ def src_master_rows(spark, d):
 
 
 def _kline_text(spark, d):
-    """Array documents of the last 60 bars per security; some rows are too short, some lack the amount."""
-    tail = latest_per_key(bars(spark, d), ["code"], [F.col("dt").desc()], 60)
+    """Array documents of all bars per security; some rows are too short, some lack the amount."""
+    tail = bars(spark, d)
     k = F.dayofmonth("dt")
     full = F.array(*[F.col(c).cast("string") for c in ("dt", "open", "close", "high", "low", "volume", "amount")])
     row = F.when(k % 9 == 4, F.slice(full, 1, 5)).when(k % 9 == 5, F.slice(full, 1, 6)).otherwise(full)
-    arr = F.array_sort(F.collect_list(F.struct("dt", row.alias("r"))))  # at most 60
+    arr = F.array_sort(F.collect_list(F.struct("dt", row.alias("r"))))  # one bar per trading day at most
     return tail.groupBy("code").agg(F.to_json(F.transform(arr, lambda x: x["r"])).alias("text"))
 
 
 @query(
     "src_kline_rows",
     with_bindings(
-        """WITH t AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY code ORDER BY dt DESC) AS k FROM fx_bars) WHERE k <= 60 AND day(dt) % 9 <> 4),
+        """WITH t AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY code ORDER BY dt DESC) AS k FROM fx_bars) WHERE day(dt) % 9 <> 4),
 u AS (SELECT *, row_number() OVER (PARTITION BY code ORDER BY dt DESC) AS j FROM t)
 SELECT code, CAST(dt AS VARCHAR) AS dt, CAST(open AS DOUBLE) AS open, CAST(high AS DOUBLE) AS high, CAST(low AS DOUBLE) AS low, CAST(close AS DOUBLE) AS close,
  CAST(volume * 100 AS DOUBLE) AS volume, CASE WHEN day(dt) % 9 <> 5 THEN CAST(amount AS DOUBLE) END AS amount FROM u WHERE j <= 30""",
@@ -372,7 +371,7 @@ SELECT code, CAST(dt AS VARCHAR) AS dt, CAST(open AS DOUBLE) AS open, CAST(high
     ),
 )
 def src_kline_objects(spark, d):
-    tail = latest_per_key(bars(spark, d), ["code"], [F.col("dt").desc()], 60)
+    tail = bars(spark, d)
     day = F.dayofmonth("dt")
     dt = F.col("dt").cast("string")
     row = F.struct(
@@ -381,7 +380,7 @@ def src_kline_objects(spark, d):
         *[F.col(c).cast("string").alias(c) for c in ("open", "high", "low", "close", "volume")],
         F.when(day % 9 != 5, F.col("amount").cast("string")).alias("amount"),
     )
-    text = tail.groupBy("code").agg(F.to_json(F.collect_list(row)).alias("text"))  # at most 60, unordered
+    text = tail.groupBy("code").agg(F.to_json(F.collect_list(row)).alias("text"))  # one bar per trading day at most, unordered
     out = rt.parse_kline_objects(text, keep=40)
     return out.withColumn("dt", F.col("dt").cast("string"))
 
@@ -524,7 +523,7 @@ def prj_provider_schema(spark, d):
 @query(
     "prj_history_schema",
     with_bindings(
-        """WITH l AS (SELECT lpad(CAST(l_suppkey AS VARCHAR), 6, '0') AS code, CAST(l_shipdate AS DATE) AS dt, l_extendedprice AS close, l_quantity AS volume,
+        """WITH l AS (SELECT printf('%06d', CAST(l_suppkey AS BIGINT)) AS code, CAST(l_shipdate AS DATE) AS dt, l_extendedprice AS close, l_quantity AS volume,
   (l_orderkey, l_linenumber, l_partkey, l_extendedprice, l_quantity) AS seq FROM lineitem WHERE l_orderkey % 7 <> 2 AND l_orderkey % 7 <> 3),
 u AS (SELECT * FROM l QUALIFY row_number() OVER (PARTITION BY code, dt ORDER BY seq DESC) = 1)
 SELECT code, CAST(dt AS VARCHAR) AS dt, NULL::DOUBLE AS open, close, volume FROM u QUALIFY row_number() OVER (PARTITION BY code ORDER BY dt DESC) <= 100""",
@@ -534,7 +533,7 @@ def prj_history_schema(spark, d):
     li = table(spark, d, "lineitem")
     k = F.col("l_orderkey") % 7
     raw = li.select(
-        F.lpad(F.col("l_suppkey").cast("string"), 6, "0").alias("code"),
+        code_of(F.col("l_suppkey")).alias("code"),
         F.when(k == 2, "bad day").otherwise(F.col("l_shipdate").cast("date").cast("string")).alias("日期"),
         F.when(k == 3, "--").otherwise(F.col("l_extendedprice").cast("string")).alias("收盘"),
         F.col("l_quantity").cast("string").alias("成交量"),
@@ -547,7 +546,7 @@ def prj_history_schema(spark, d):
 @query(
     "prj_snapshot_output",
     with_bindings(
-        """WITH r AS (SELECT k AS seq, CASE WHEN k % 11 = 0 THEN 'X' || sym WHEN k % 6 = 1 THEN '0' || right(sym, 5) ELSE sym END AS raw, * FROM fx_snapshot),
+        """WITH r AS (SELECT k AS seq, CASE WHEN k % 11 = 0 THEN 'X' || sym WHEN k % 6 = 1 THEN '0' || substr(sym, 2) ELSE sym END AS raw, * FROM fx_snapshot),
 v AS (SELECT CASE WHEN k % 6 = 1 AND k % 11 <> 0 THEN raw ELSE raw END AS c, * FROM r WHERE length(raw) = 6 AND left(raw, 1) IN ('6','0','3','4','8','9')
   QUALIFY row_number() OVER (PARTITION BY raw ORDER BY seq DESC) = 1)
 SELECT c AS code, CASE WHEN left(c, 1) = '6' THEN 'sh' WHEN left(c, 1) IN ('0', '3') THEN 'sz' ELSE 'bj' END AS market, name, CAST(price AS DOUBLE) AS price,
@@ -561,7 +560,7 @@ def prj_snapshot_output(spark, d):
     k = F.col("k")
     raw_code = (
         F.when(k % 11 == 0, F.concat(F.lit("X"), F.col("sym")))
-        .when(k % 6 == 1, F.concat(F.lit("0"), F.right(F.col("sym"), F.lit(5))))
+        .when(k % 6 == 1, F.concat(F.lit("0"), F.substring(F.col("sym"), F.lit(2), F.length("sym"))))
         .otherwise(F.col("sym"))
     )
     # leading zeros get lost in some feeds
@@ -587,15 +586,15 @@ def k_even(c):
 
 @query(
     "prj_code_norm",
-    """WITH r AS (SELECT p_partkey AS k, CASE p_partkey % 7 WHEN 0 THEN CAST(p_partkey AS VARCHAR) || '.0' WHEN 1 THEN 'sh' || lpad(CAST(p_partkey AS VARCHAR), 6, '0')
-  WHEN 2 THEN ' ' || p_partkey || ' ' WHEN 3 THEN 'nan' WHEN 4 THEN p_name WHEN 5 THEN '12' || lpad(CAST(p_partkey AS VARCHAR), 6, '0') END AS raw FROM part)
-SELECT k, CASE k % 7 WHEN 3 THEN '' WHEN 4 THEN raw WHEN 6 THEN '' ELSE lpad(CAST(k % 1000000 AS VARCHAR), 6, '0') END AS daily,
- CASE k % 7 WHEN 1 THEN raw WHEN 3 THEN 'nan' WHEN 4 THEN raw WHEN 6 THEN '' ELSE lpad(CAST(k % 1000000 AS VARCHAR), 6, '0') END AS live FROM r""",
+    """WITH r AS (SELECT p_partkey AS k, CASE p_partkey % 7 WHEN 0 THEN CAST(p_partkey AS VARCHAR) || '.0' WHEN 1 THEN 'sh' || printf('%06d', CAST(p_partkey AS BIGINT))
+  WHEN 2 THEN ' ' || p_partkey || ' ' WHEN 3 THEN 'nan' WHEN 4 THEN p_name WHEN 5 THEN '12' || printf('%06d', CAST(p_partkey AS BIGINT)) END AS raw FROM part)
+SELECT k, CASE k % 7 WHEN 3 THEN '' WHEN 4 THEN raw WHEN 6 THEN '' ELSE printf('%06d', CAST(k % 1000000 AS BIGINT)) END AS daily,
+ CASE k % 7 WHEN 1 THEN raw WHEN 3 THEN 'nan' WHEN 4 THEN raw WHEN 6 THEN '' ELSE printf('%06d', CAST(k % 1000000 AS BIGINT)) END AS live FROM r""",
 )
 def prj_code_norm(spark, d):
     p = table(spark, d, "part")
     k = F.col("p_partkey")
-    padded = F.lpad(k.cast("string"), 6, "0")
+    padded = code_of(k)
     raw = (
         F.when(k % 7 == 0, F.concat(k.cast("string"), F.lit(".0")))
         .when(k % 7 == 1, F.concat(F.lit("sh"), padded))
@@ -609,7 +608,7 @@ def prj_code_norm(spark, d):
 
 @query(
     "prj_market",
-    """WITH c AS (SELECT o_orderkey AS k, lpad(CAST(o_orderkey * 7919 % 1000000 AS VARCHAR), 6, '0') AS code FROM orders),
+    """WITH c AS (SELECT o_orderkey AS k, printf('%06d', CAST(o_orderkey * 7919 % 1000000 AS BIGINT)) AS code FROM orders),
 m AS (SELECT *, CASE WHEN left(code, 1) = '6' THEN 'sh' WHEN left(code, 1) IN ('0', '3') THEN 'sz' WHEN left(code, 1) IN ('4', '8', '9') THEN 'bj' END AS market,
  left(code, 1) IN ('4', '8') OR left(code, 3) = '920' AS second, left(code, 1) IN ('6', '9', '5') AS first FROM c)
 SELECT k, code, market, coalesce(market, '') || code AS symbol, CASE WHEN second THEN 'bj' WHEN first THEN 'sh' ELSE 'sz' END || code AS prefix_symbol,
@@ -618,7 +617,7 @@ SELECT k, code, market, coalesce(market, '') || code AS symbol, CASE WHEN second
 )
 def prj_market(spark, d):
     o = table(spark, d, "orders")
-    code = F.lpad((F.col("o_orderkey") * 7919 % 1000000).cast("string"), 6, "0")
+    code = code_of((F.col("o_orderkey") * 7919 % 1000000))
     c = o.select(F.col("o_orderkey").alias("k"), code.alias("code"))
     return c.select(
         "k",
@@ -634,18 +633,18 @@ def prj_market(spark, d):
 
 @query(
     "prj_board",
-    """WITH c AS (SELECT o_orderkey AS k, lpad(CAST(o_orderkey * 7919 % 1000000 AS VARCHAR), 6, '0') AS code FROM orders)
+    """WITH c AS (SELECT o_orderkey AS k, printf('%06d', CAST(o_orderkey * 7919 % 1000000 AS BIGINT)) AS code FROM orders)
 SELECT k, CASE WHEN left(code, 1) IN ('4', '8', '9') THEN '北交所' WHEN left(code, 3) = '688' THEN '科创板' WHEN left(code, 3) IN ('300', '301') THEN '创业板' WHEN left(code, 3) = '002' THEN '中小板' ELSE '主板' END AS board FROM c""",
 )
 def prj_board(spark, d):
     o = table(spark, d, "orders")
-    code = F.lpad((F.col("o_orderkey") * 7919 % 1000000).cast("string"), 6, "0")
+    code = code_of((F.col("o_orderkey") * 7919 % 1000000))
     return o.select(F.col("o_orderkey").alias("k"), tx.board_of(code).alias("board"))
 
 
 @query(
     "prj_segment_universe",
-    """SELECT DISTINCT lpad(CAST(o_custkey * 7919 % 1000000 AS VARCHAR), 6, '0') AS code FROM orders WHERE left(lpad(CAST(o_custkey * 7919 % 1000000 AS VARCHAR), 6, '0'), 1) IN ('4', '8', '9')""",
+    """SELECT DISTINCT printf('%06d', CAST(o_custkey * 7919 % 1000000 AS BIGINT)) AS code FROM orders WHERE left(printf('%06d', CAST(o_custkey * 7919 % 1000000 AS BIGINT)), 1) IN ('4', '8', '9')""",
 )
 def prj_segment_universe(spark, d):
     o = table(spark, d, "orders")
@@ -659,7 +658,7 @@ def prj_segment_universe(spark, d):
 )
 def prj_segment_check(spark, d):
     k = F.col("c_custkey")
-    code = F.lpad(k.cast("string"), 6, "0")
+    code = code_of(k)
     return nz.universe_check(
         table(spark, d, "customer").select(F.when(k % 50 == 0, F.concat(code, F.lit("x"))).otherwise(code).alias("code"))
     )
@@ -752,7 +751,7 @@ def _requests(spark, d):
     c = table(spark, d, "customer")
     k = F.col("c_custkey")
     kind = k % 17
-    code = lambda x: F.concat(F.lit('"'), F.lpad(x.cast("string"), 6, "0"), F.lit('"'))
+    code = lambda x: F.concat(F.lit('"'), code_of(x), F.lit('"'))
     codes = (
         F.when(kind == 4, F.lit(""))
         .when(kind == 5, F.lit('"12345"'))
@@ -822,7 +821,7 @@ def _records(spark, d):
         F.lit("2.0.0").alias("schema_version"),
         blank(11, F.lit("2.0.0")).alias("execution_rule_version"),
         F.lit("2.0.0").alias("skill_version"),
-        F.lpad((k % 1000).cast("string"), 6, "0").alias("code"),
+        code_of((k % 1000)).alias("code"),
         F.col("o_orderdate").cast("string").alias("timestamp"),
         F.lit("snapshot").alias("action"),
         F.lit("unassessed").alias("state_before"),

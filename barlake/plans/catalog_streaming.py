@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from barlake.functions.numeric import dbl
 from barlake.operators import lifecycle as lc
-from barlake.plans.bindings import table, with_bindings
+from barlake.plans.bindings import code_of, table, with_bindings
 from barlake.plans.catalog_lifecycle import _ENTRY, _PATH, _at
 from barlake.plans.registry import query
 from barlake.session import scratch_dir
@@ -21,7 +21,7 @@ def _ticks(spark, d):
     price = F.col("value").cast("decimal(12,2)")
     volume = F.regexp_extract("props", "([0-9]+)", 1).cast("int")
     return _stream(spark, d, "events").select(
-        F.lpad((F.col("user_id") % 10).cast("string"), 6, "0").alias("code"),
+        code_of((F.col("user_id") % 10)).alias("code"),
         F.col("ts").cast("timestamp").alias("ts"),
         F.col("event_id").alias("seq"),
         price.alias("price"),
@@ -90,7 +90,7 @@ def strm_quality(spark, d):
     m = F.when(idx <= 120, idx + 570).otherwise(idx - 121 + 780)
     day = F.to_date(F.date_trunc("week", "ts")).cast("timestamp_ntz")
     ticks = ev.where(u >= 5).select(
-        F.lpad(u.cast("string"), 6, "0").alias("code"), (day + F.make_dt_interval(F.lit(0), F.lit(0), m)).alias("session_ts")
+        code_of(u).alias("code"), (day + F.make_dt_interval(F.lit(0), F.lit(0), m)).alias("session_ts")
     )
     ticks = ticks.select("code", jobs.trading_axis(F.col("session_ts")).alias("ts"))
     jobs.run_available(jobs.activity_sessions(ticks), path)

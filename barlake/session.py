@@ -56,11 +56,14 @@ _LOCAL_BASE: list[str] = []
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared checkpoint location.
 
-    The cluster names the location in ``spark.checkpoint.dir``.  Only where it
-    is unset (a local test run) a temporary folder takes its place.
+    The cluster names the location in ``spark.checkpoint.dir``.  Where it is
+    unset, a temporary folder takes its place if driver and executors are one
+    process; on a cluster that is an error, because executors would not see it.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         if not _LOCAL_BASE:
             _LOCAL_BASE.append(tempfile.mkdtemp(prefix="spark-"))
         base = _LOCAL_BASE[0]

@@ -10,8 +10,8 @@ from barlake.functions.ranking import latest_per_key
 from barlake.functions.text import market_of, pad_code
 
 # Payload patterns and field positions of the two quote formats.
-TILDE_QUOTE = r'v_bj(\d{6})="([^"]*)";'
-COMMA_QUOTE = r'var hq_str_bj(\d{6})="([^"]*)"'
+TILDE_QUOTE = r'v_bj(\d{6,})="([^"]*)";'
+COMMA_QUOTE = r'var hq_str_bj(\d{6,})="([^"]*)"'
 TILDE_FIELDS = {
     "price": 3, "pre_close": 4, "open": 5, "change_pct": 32, "high": 33, "low": 34, "turnover_rate": 38,
     "pe_ratio": 44, "total_mv": 45, "pb_ratio": 46, "circ_mv": 47,
