@@ -20,9 +20,9 @@ from barlake.functions.text import (
     plain_text,
 )
 
-# Provider column names, first existing alias wins.
+# The column names of each vendor, by the vendor's public name; the first existing alias wins.
 PROVIDER_ALIASES: dict[str, dict[str, tuple[str, ...]]] = {
-    "cn_terminal": {
+    "efinance": {
         "code": ("股票代码", "代码"),
         "name": ("股票名称", "名称"),
         "price": ("最新价",),
@@ -30,14 +30,29 @@ PROVIDER_ALIASES: dict[str, dict[str, tuple[str, ...]]] = {
         "amount": ("成交额",),
         "total_mv": ("总市值",),
         "circ_mv": ("流通市值",),
-        "pe_ratio": ("动态市盈率", "市盈率-动态", "市盈率(动)"),
+        "pe_ratio": ("动态市盈率", "市盈率(动)"),
         "pb_ratio": ("市净率",),
         "volume_ratio": ("量比",),
         "turnover_rate": ("换手率",),
         "industry": ("行业", "所属行业", "行业板块"),
         "concepts": ("概念", "概念题材", "题材"),
     },
-    "web_list": {
+    "akshare_em": {
+        "code": ("代码",),
+        "name": ("名称",),
+        "price": ("最新价",),
+        "change_pct": ("涨跌幅",),
+        "amount": ("成交额",),
+        "total_mv": ("总市值",),
+        "circ_mv": ("流通市值",),
+        "pe_ratio": ("市盈率-动态", "市盈率(动)"),
+        "pb_ratio": ("市净率",),
+        "volume_ratio": ("量比",),
+        "turnover_rate": ("换手率",),
+        "industry": ("行业", "所属行业", "行业板块"),
+        "concepts": ("概念", "概念题材", "题材"),
+    },
+    "sina": {
         "code": ("code",),
         "name": ("name",),
         "price": ("trade",),
@@ -53,7 +68,7 @@ PROVIDER_ALIASES: dict[str, dict[str, tuple[str, ...]]] = {
         "pb_ratio": ("pb",),
         "turnover_rate": ("turnoverratio",),
     },
-    "datacenter": {
+    "em_datacenter": {
         "code": ("SECURITY_CODE",),
         "name": ("SECURITY_NAME_ABBR",),
         "price": ("NEW_PRICE",),
@@ -72,7 +87,7 @@ PROVIDER_ALIASES: dict[str, dict[str, tuple[str, ...]]] = {
         "industry": ("INDUSTRY", "INDUSTRY_NAME", "BOARD_NAME"),
         "concepts": ("CONCEPT", "CONCEPT_NAME", "THEME_NAME"),
     },
-    "factor_api": {
+    "tushare": {
         "code": ("symbol", "code"),
         "name": ("name",),
         "price": ("close",),

@@ -517,7 +517,37 @@ def prj_provider_schema(spark, d):
         F.col("circ_mv").alias("流通市值"),
         F.col("industry").alias("所属行业"),
     )
-    return nz.provider_schema(vendor, "cn_terminal")
+    return nz.provider_schema(vendor, "akshare_em")
+
+
+_VENDORS = ("efinance", "akshare_em", "sina", "em_datacenter", "tushare")
+
+
+@query(
+    "prj_provider_tables",
+    with_bindings(
+        " UNION ALL ".join(
+            f"SELECT '{v}' AS vendor, code, name, CAST(price AS DOUBLE) AS price, CAST(amount AS DOUBLE) AS amount, "
+            f"circ_mv FROM fx_snapshot WHERE k % {len(_VENDORS)} = {i}"
+            for i, v in enumerate(_VENDORS)
+        ),
+        "fx_snapshot",
+    ),
+)
+def prj_provider_tables(spark, d):
+    """A part of the snapshot in each vendor's own columns (the last alias of each), normalised and put together."""
+    s = snapshot(spark, d)
+    parts = []
+    for i, vendor in enumerate(_VENDORS):
+        names = nz.PROVIDER_ALIASES[vendor]
+        shown = s.where(F.col("k") % len(_VENDORS) == i).select(
+            *[F.col(c).cast("string").alias(names[c][-1]) for c in ("code", "name", "price", "amount", "circ_mv")]
+        )
+        parts.append(nz.provider_schema(shown, vendor).withColumn("vendor", F.lit(vendor)))
+    both = parts[0]
+    for more in parts[1:]:
+        both = both.unionByName(more)
+    return both
 
 
 @query(

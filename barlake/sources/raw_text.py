@@ -54,8 +54,8 @@ def _last_per_code(rows: DataFrame) -> DataFrame:
     return latest_per_key(rows, ["code"], [F.col("seq").desc(), F.col("pos").desc()]).drop("_rn", "seq", "pos")
 
 
-def parse_tilde_quotes(raw: DataFrame) -> DataFrame:
-    """``v_bjNNNNNN="a~b~..."`` payloads (seq, text): price > 0 only, last quote per code."""
+def parse_tilde_quotes(raw: DataFrame, source: str = "tilde_feed") -> DataFrame:
+    """``v_bjNNNNNN="a~b~..."`` payloads (seq, text): price > 0 only, last quote per code; ``source`` labels the rows."""
     p = F.col("p")
     rows = _entries(raw, TILDE_QUOTE).withColumn("p", F.split("body", "~"))
     rows = rows.where(_number(p, 3) > 0)
@@ -66,13 +66,13 @@ def parse_tilde_quotes(raw: DataFrame) -> DataFrame:
         (_number(p, 36) * LOT).alias("volume"),
         quote_amount(p).alias("amount"),
         quote_time(p).alias("quote_time"),
-        F.lit("tilde_feed").alias("source"),
+        F.lit(source).alias("source"),
         F.lit("bj").alias("market"),
     )
 
 
-def parse_comma_quotes(raw: DataFrame) -> DataFrame:
-    """``var hq_str_bjNNNNNN="a,b,..."`` payloads (seq, text)."""
+def parse_comma_quotes(raw: DataFrame, source: str = "comma_feed") -> DataFrame:
+    """``var hq_str_bjNNNNNN="a,b,..."`` payloads (seq, text); ``source`` labels the rows."""
     p = F.col("p")
     rows = _entries(raw, COMMA_QUOTE).withColumn("p", F.split("body", ","))
     rows = rows.where((F.size("p") >= 3) & (_number(p, 3) > 0))
@@ -84,7 +84,7 @@ def parse_comma_quotes(raw: DataFrame) -> DataFrame:
         (_number(p, 8) * LOT).alias("volume"),
         _number(p, 9).alias("amount"),
         _number(p, 10).alias("turnover_rate"),
-        F.lit("comma_feed").alias("source"),
+        F.lit(source).alias("source"),
         F.lit("bj").alias("market"),
     )
 
