@@ -4,9 +4,9 @@ A state machine with a fixed set of states is replayed in parallel: an event is
 a map from state to state, maps compose associatively, so a long log is cut
 into blocks by sequence number, each block is reduced to one map, and the start
 state of every block follows from the maps before it.  An entity that owns a
-large part of the log is thereby spread over many tasks; no task ever sees more
-than ``BLOCK`` events or block maps of one entity at a time (the top level
-holds one small map per BLOCK**2 sequence numbers).
+large part of the log is thereby spread over many tasks.  Maps are reduced in
+``LEVELS`` levels, so what meets in one row is at most ``BLOCK`` items on every
+level and one map per BLOCK**LEVELS (268 million) sequence numbers at the top.
 
 An illegal event leaves the state unchanged, which is why comparing with the
 previous event's target is not enough.
@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from barlake.functions.numeric import count_if, dbl, flag_list, null0
 
 BLOCK = 128
+LEVELS = 4
 
 # States and allowed transitions of the two machines.
 ENTRY_START = "unassessed"
@@ -77,7 +78,9 @@ MAX_TRADE, MAX_SYMBOL, MAX_INDUSTRY = 0.05, 0.10, 0.15
 # -- generic parallel replay ------------------------------------------------------
 
 
-def scan_states(events: DataFrame, table: Sequence[Sequence[int]], start: int, block: int = BLOCK) -> DataFrame:
+def scan_states(
+    events: DataFrame, table: Sequence[Sequence[int]], start: int, block: int = BLOCK, levels: int = LEVELS
+) -> DataFrame:
     """Start and end state of every event.
 
     ``events``: entity, seq (whole number, unique per entity), op.  ``table[op][s]``
@@ -95,22 +98,23 @@ def scan_states(events: DataFrame, table: Sequence[Sequence[int]], start: int, b
     def compose(vectors: Column) -> Column:
         return F.aggregate(vectors, keep, lambda acc, v: F.transform(acc, lambda s: F.get(v, s)))
 
-    seq = F.col("seq")
-    ev = events.select(
-        "entity", "seq", F.col("op").cast("int").alias("op"), F.floor(seq / block).alias("b1"), F.floor(seq / (block * block)).alias("b2")
-    )
-    low = ev.groupBy("entity", "b2", "b1").agg(F.array_sort(F.collect_list(F.struct("seq", "op"))).alias("evs"))
-    vec1 = F.aggregate("evs", keep, lambda acc, e: F.transform(acc, lambda s: after(e["op"], s)))
-    mid = (
-        low.select("entity", "b2", "b1", vec1.alias("v"))
-        .groupBy("entity", "b2")
-        .agg(F.array_sort(F.collect_list(F.struct("b1", "v"))).alias("vs"))
-    )
-    top = (
-        mid.select("entity", "b2", compose(F.transform("vs", lambda x: x["v"])).alias("v"))
-        .groupBy("entity")
-        .agg(F.array_sort(F.collect_list(F.struct("b2", "v"))).alias("vs"))
+    low = (
+        events.select("entity", "seq", F.col("op").cast("int").alias("op"), F.floor(F.col("seq") / block).alias("b"))
+        .groupBy("entity", "b")
+        .agg(F.array_sort(F.collect_list(F.struct("seq", "op"))).alias("evs"))
     )
+    vec = F.aggregate("evs", keep, lambda acc, e: F.transform(acc, lambda s: after(e["op"], s)))
+    maps_below = low.select("entity", "b", vec.alias("v"))
+    groups = []  # one table for each level: (entity, up, vs), at most ``block`` maps in a row
+    for _ in range(levels - 1):
+        grouped = (
+            maps_below.withColumn("up", F.floor(F.col("b") / block))
+            .groupBy("entity", "up")
+            .agg(F.array_sort(F.collect_list(F.struct("b", "v"))).alias("vs"))
+        )
+        groups.append(grouped)
+        maps_below = grouped.select("entity", F.col("up").alias("b"), compose(F.transform("vs", lambda x: x["v"])).alias("v"))
+    top = maps_below.groupBy("entity").agg(F.array_sort(F.collect_list(F.struct("b", "v"))).alias("vs"))
 
     def starts(items: Column, key: str, first: Column) -> Column:
         """Array of (key, state before the item)."""
@@ -123,8 +127,11 @@ def scan_states(events: DataFrame, table: Sequence[Sequence[int]], start: int, b
 
         return F.aggregate(items, init, step, lambda acc: acc["out"])
 
-    s2 = top.select("entity", F.inline(starts(F.col("vs"), "b2", F.lit(start)))).withColumnRenamed("s", "s2")
-    s1 = mid.join(s2, ["entity", "b2"]).select("entity", "b2", F.inline(starts(F.col("vs"), "b1", F.col("s2")))).withColumnRenamed("s", "s1")
+    begin = top.select("entity", F.inline(starts(F.col("vs"), "b", F.lit(start))))
+    for grouped in reversed(groups):
+        known = begin.select("entity", F.col("b").alias("up"), F.col("s").alias("s0"))
+        begin = grouped.join(known, ["entity", "up"]).select("entity", F.inline(starts(F.col("vs"), "b", F.col("s0"))))
+    begin = begin.withColumnRenamed("s", "s1")
     kind = "struct<s:int,out:array<struct<seq:bigint,start_state:int,end_state:int>>>"
 
     def step(acc, e):
@@ -133,7 +140,7 @@ def scan_states(events: DataFrame, table: Sequence[Sequence[int]], start: int, b
         return F.struct(nxt.alias("s"), F.concat(acc["out"], F.array(item)).alias("out")).cast(kind)
 
     init = F.struct(F.col("s1").cast("int").alias("s"), F.array().cast("array<struct<seq:bigint,start_state:int,end_state:int>>").alias("out")).cast(kind)
-    rows = low.join(s1, ["entity", "b2", "b1"]).select("entity", F.aggregate("evs", init, step, lambda acc: acc["out"]).alias("rows"))
+    rows = low.join(begin, ["entity", "b"]).select("entity", F.aggregate("evs", init, step, lambda acc: acc["out"]).alias("rows"))
     return rows.select("entity", F.inline("rows"))
 
 

@@ -1,8 +1,9 @@
 """Per-key state handlers for ``transformWithStateInPandas``.
 
 The handlers hold one small value per key.  Rows of a key arrive per
-micro-batch, so what is sorted here is bounded by the source's rate limit
-(``maxFilesPerTrigger`` / ``maxOffsetsPerTrigger``), not by the log.
+micro-batch and are sorted there, so sources must deliver batches in event
+order; a deployment sets ``maxFilesPerTrigger`` or ``maxOffsetsPerTrigger`` to
+bound what is sorted at a time.
 """
 
 from __future__ import annotations
