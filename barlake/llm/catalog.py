@@ -72,4 +72,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLES: dict[str, str] = {
     "op3_exact_dedup": exact_dedup.ORACLE,
     "op5_mixing": mixing.ORACLE,
+    "op6_repeats": repeats.ORACLE,
+    "op8_near_dedup": near_dedup.ORACLE,
 }

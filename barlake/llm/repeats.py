@@ -144,7 +144,8 @@ def _bucketed(spark: SparkSession, df: DataFrame, key: str, name: str) -> DataFr
     writer = df.repartition(parts, key).write.format("parquet").option("compression", "zstd")
     writer.bucketBy(parts, key).option("path", scratch_dir(spark, name)).saveAsTable(table)
     found = spark.table(table)
-    found.schema  # noqa: B018  resolved before the name goes
+    # the plan above holds the files; only the name goes
+    spark.sql(f"DROP TABLE {table}")
     return found
 
 
@@ -328,3 +329,22 @@ def remove_repeats(docs: DataFrame, batches: tuple[float, ...] = BATCHES, with_t
 
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept binary" if with_text else "")
     return rows.select(*fields).mapInArrow(cut, schema)
+
+
+ORACLE = f"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+w AS (SELECT doc_id, s, substr(h, 2 * s + 1, {2 * MATCH}) AS x
+      FROM (SELECT doc_id, h, unnest(range(0, n - {MATCH} + 1)) AS s FROM d)),
+f AS (SELECT doc_id, s, row_number() OVER (PARTITION BY x ORDER BY doc_id, s) AS r FROM w),
+g AS (SELECT doc_id, s, coalesce(s - lag(s) OVER (PARTITION BY doc_id ORDER BY s) > {MATCH}, true) AS opens FROM f WHERE r > 1),
+i AS (SELECT *, sum(CAST(opens AS INT)) OVER (PARTITION BY doc_id ORDER BY s) AS run FROM g),
+p AS (SELECT doc_id, min(s) AS a, max(s) + {MATCH} AS b FROM i GROUP BY doc_id, run),
+q AS (SELECT *, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS z FROM p),
+k AS (SELECT q.doc_id, count(*) AS n_spans, sum(b - a) AS gone, max(b) AS last,
+        string_agg(substr(h, CAST(2 * z + 1 AS BIGINT), CAST(2 * (a - z) AS BIGINT)), '' ORDER BY a) AS head
+      FROM q JOIN d ON d.doc_id = q.doc_id GROUP BY q.doc_id)
+SELECT d.doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(gone, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(CASE WHEN k.doc_id IS NULL THEN h ELSE head || substr(h, CAST(2 * last + 1 AS BIGINT)) END)) AS kept_sha256
+FROM d LEFT JOIN k ON k.doc_id = d.doc_id
+"""

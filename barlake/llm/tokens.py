@@ -18,7 +18,7 @@ from collections.abc import Callable
 import numpy as np
 
 #: Pieces kept by one worker, in two generations of this size.
-CACHE = 300_000
+CACHE = 500_000
 #: White space other than space and line end, or two such in a row, or one at either end of a line.
 _ODD = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0 ᠎ -‍    ⁠　﻿]|<\\|")
 _GAPS = re.compile("  |\n\n|\n | \n|^[ \n]|[ \n]$")
@@ -120,7 +120,7 @@ class OffsetEncoder:
     A piece's spans are those of encoding it alone, moved to where it stands.
     """
 
-    def __init__(self, file: str, limit: int = CACHE // 2):
+    def __init__(self, file: str, limit: int = CACHE):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
