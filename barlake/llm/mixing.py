@@ -14,8 +14,10 @@ number of slots - serves all of them: the slot of a block follows from its
 number.  Positions inside a source come from running sums over ``BINS`` ranges
 of the hash, so no source, however large, is ordered in one task.
 
-Mixing ends where the first source runs out of blocks (the horizon).  Up to
-there the shares are the targets; what larger sources have beyond is surplus.
+Where the first source runs out of blocks (the horizon) the shares stop being
+the targets; ``mixture`` ends there.  ``whole_mixture`` keeps every document:
+slots of sources that have run out stay empty, so the others go on by their
+weights relative to each other.
 """
 
 from __future__ import annotations
@@ -36,7 +38,7 @@ DIGITS = 3
 
 
 def sources(docs: DataFrame, weights: dict[str, float] | None = None) -> DataFrame:
-    """(source, chars, slots): a row for each source, NULL as ''.  A source without a given weight gets one slot."""
+    """(source, chars, share, slots): a row for each source, NULL as ''.  A source without a given weight gets one slot."""
     sizes = docs.groupBy(F.coalesce("source", F.lit("")).alias("source")).agg(
         F.sum(F.greatest(F.lit(1), F.length(text_of()))).alias("chars")
     )
@@ -46,8 +48,9 @@ def sources(docs: DataFrame, weights: dict[str, float] | None = None) -> DataFra
         pairs = [x for k, v in weights.items() for x in (F.lit(k), F.lit(float(v)))]
         weight = F.coalesce(F.element_at(F.create_map(*pairs), F.col("source")), F.lit(0.0)) if pairs else F.lit(1.0)
     everything = Window.partitionBy(F.lit(1))
-    share = weight / F.sum(weight).over(everything)
-    return sizes.withColumn("slots", F.greatest(F.lit(1), F.round(F.coalesce(share, F.lit(0.0)) * RESOLUTION)).cast("long"))
+    share = F.coalesce(weight / F.sum(weight).over(everything), F.lit(0.0))
+    sizes = sizes.select("source", "chars", share.alias("share"))
+    return sizes.withColumn("slots", F.greatest(F.lit(1), F.round(F.col("share") * RESOLUTION)).cast("long"))
 
 
 def _release(i: Column, slots: Column, period: Column) -> Column:
@@ -103,7 +106,7 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None) -> DataFrame:
     character; NULL texts count as empty, a NULL source as ''.  Rows with one id
     follow in order of a digest of their text; an empty table gives no rows.
     """
-    return _mixed(docs, weights, {"doc_id": F.col("doc_id"), "source": F.col("source")})
+    return _mixed(docs, weights, {"doc_id": F.col("doc_id"), "source": F.col("source")}).drop("turn")
 
 
 def _mixed(docs: DataFrame, weights: dict[str, float] | None, keep: dict[str, Column]) -> DataFrame:
@@ -129,7 +132,10 @@ def _mixed(docs: DataFrame, weights: dict[str, float] | None, keep: dict[str, Co
         "place", F.col("_before") + F.coalesce(F.sum("_chars").over(inside), F.lit(0))
     )
     placed = placed.withColumn("block", F.floor(F.col("place") / BLOCK))
-    slots = known.select(F.col("source").alias("_source"), F.col("slots").alias("_n"))
+    # whole slots of a period stretched to the exact weight; a source of less than one block, to the time it takes
+    exact = F.when(F.col("share") > 0, F.col("slots") / (F.col("share") * RESOLUTION)).otherwise(1.0)
+    stretch = exact * F.least(F.lit(1.0), F.col("chars") / BLOCK)
+    slots = known.select(F.col("source").alias("_source"), F.col("slots").alias("_n"), stretch.alias("_stretch"))
     # one row for each source, and one for each slot of the period
     placed = placed.join(F.broadcast(slots), "_source").withColumn("_nth", F.col("block") % F.col("_n"))
     table = plan.select(
@@ -146,6 +152,7 @@ def _mixed(docs: DataFrame, weights: dict[str, float] | None, keep: dict[str, Co
         slot.alias("slot"),
         "place",
         (slot < F.col("horizon")).alias("in_mix"),
+        (slot * F.col("_stretch")).alias("turn"),
     )
 
 
@@ -156,6 +163,19 @@ def mixture(docs: DataFrame, weights: dict[str, float] | None = None) -> DataFra
     return found.repartitionByRange("slot").sortWithinPartitions("slot", "place").select("row.*")
 
 
+def whole_mixture(docs: DataFrame, weights: dict[str, float] | None = None) -> DataFrame:
+    """All rows of ``docs``, with their columns, in mixing order from file to file.
+
+    The order is that of the slots, stretched for each source from its whole
+    number of slots a period to its exact weight, so a source below one slot is
+    spread over the mixture like any other.
+    """
+    row = F.struct(*[F.col(c) for c in docs.columns])
+    found = _mixed(docs, weights, {"row": row}).select("turn", F.coalesce("row.source", F.lit("")).alias("source"), "place", "row")
+    order = ["turn", "source", "place"]
+    return found.repartitionByRange(*order).sortWithinPartitions(*order).select("row.*")
+
+
 ORACLE = f"""
 WITH RECURSIVE d AS (
   SELECT doc_id, source, coalesce(source, '') AS s, greatest(1, length(coalesce(text, ''))) AS chars,

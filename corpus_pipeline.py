@@ -27,8 +27,8 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents up to the point where the first source runs out, in mixing order from file to file."""
-    return mixing.mixture(docs)
+    """All documents in mixing order from file to file; sources go on by their weights when others have run out."""
+    return mixing.whole_mixture(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

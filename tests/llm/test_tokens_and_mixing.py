@@ -164,6 +164,30 @@ def test_mixing_follows_earliest_deadline_first(spark, docs, cases, empty, monke
         places[r.source or ""] += r.chars
 
 
+def test_a_tiny_source_ends_nothing(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "BLOCK", 100)
+    rows = [(i, "x" * 50, f"s{min(2, i % 6)}") for i in range(12000)] + [(90000, "one row", None), *[(90001 + i, "x" * 50, "few") for i in range(5)]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    assert mixing.mixture(docs).count() < len(rows) // 2  # the first source runs out early
+    got = [tuple(r) for r in dict(corpus_pipeline.STAGES)["mixing"](spark, docs, "").collect()]
+    assert sorted(got) == sorted(rows)
+    # each source is near its exact share as long as the three large ones last
+    sizes = Counter()
+    for _, t, s in rows:
+        sizes[s or ""] += len(t)
+    weights = {s: v**mixing.SMOOTHING for s, v in sizes.items()}
+    ends = min(sizes[s] / weights[s] for s in ("s0", "s1", "s2"))
+    served, total = Counter(), 0
+    for _, t, s in got:
+        served[s or ""] += len(t)
+        total += len(t)
+        if served["s0"] / weights["s0"] < 0.95 * ends and total > 5000:
+            pace = [served[s] / weights[s] for s in ("s0", "s1", "s2")]
+            assert max(pace) - min(pace) < 4 * mixing.BLOCK / min(weights[s] for s in ("s0", "s1", "s2"))
+    few = [i for i, r in enumerate(got) if r[2] == "few"]
+    assert few[-1] > len(got) // 10  # a source below one slot is not pulled to the front
+
+
 def test_every_source_stays_within_one_block_of_its_share(spark):
     rows = [(i, "x" * 50, f"s{min(6, i % 13)}") for i in range(600)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
