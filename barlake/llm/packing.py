@@ -30,8 +30,9 @@ def pack_histogram(counts: dict[int, int], capacity: int = SEQUENCE) -> list[tup
     """Patterns ((length, times), ...) with their counts; together they hold every piece exactly once.
 
     ``open_packs[room]`` holds the patterns with that much room.  Placing a
-    length either uses up a group of equal packs or splits one, so there are
-    never many more patterns than lengths.
+    length either uses up a group of equal packs or splits one; new packs take as
+    many pieces of the length as fit and at most one takes the rest.  So there
+    are never many more patterns than lengths.
     """
     open_packs: dict[int, dict[tuple[tuple[int, int], ...], int]] = {}
     for length in sorted(counts, reverse=True):
@@ -39,17 +40,21 @@ def pack_histogram(counts: dict[int, int], capacity: int = SEQUENCE) -> list[tup
         while left:
             room = max(open_packs, default=0)
             if room < length:
-                # new packs take as many as the worst fit would give them anyway
-                group, n, room = (), left, capacity
-            else:
-                group, n = next(iter(open_packs[room].items()))
-                del open_packs[room][group]
-                if not open_packs[room]:
-                    del open_packs[room]
+                # a new pack is the roomiest one until it is full: it takes the length as often as it fits
+                times = min(left, capacity // length)
+                packs = open_packs.setdefault(capacity - times * length, {})
+                fresh = ((length, times),)
+                packs[fresh] = packs.get(fresh, 0) + left // times
+                left %= times
+                continue
+            group, n = next(iter(open_packs[room].items()))
+            del open_packs[room][group]
+            if not open_packs[room]:
+                del open_packs[room]
             used = min(n, left)
-            if group and n > used:
+            if n > used:
                 open_packs.setdefault(room, {})[group] = n - used
-            if group and group[-1][0] == length:
+            if group[-1][0] == length:
                 grown = (*group[:-1], (length, group[-1][1] + 1))
             else:
                 grown = (*group, (length, 1))

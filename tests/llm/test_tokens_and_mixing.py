@@ -126,6 +126,23 @@ def test_histogram_packing_is_tight():
     assert sum(k * n for k, n in counts.items()) / (1024 * sum(n for _, n in patterns)) > 0.99
 
 
+@pytest.mark.parametrize("counts", [{100: 1000}, {300: 1000}, {512: 7}, {1: 5000}, {700: 10, 300: 400, 5: 30}, {300: 10, 200: 300, 100: 3}])
+def test_few_short_lengths_fill_their_packs(counts):
+    patterns = packing.pack_histogram(counts)
+    used = Counter()
+    for group, n in patterns:
+        assert sum(length * times for length, times in group) <= 1024
+        for length, times in group:
+            used[length] += times * n
+    assert used == counts
+    # no better than whole pieces allow: the best fill of one pack bounds them all
+    reach = {0}
+    for length in counts:
+        reach = {r + length * t for r in reach for t in range((1024 - r) // length + 1)}
+    least = -(-sum(k * n for k, n in counts.items()) // max(reach))
+    assert sum(n for _, n in patterns) <= (least if len(counts) == 1 else 1.25 * least + 1)
+
+
 def mixing_brute(cases):
     """Slot by slot over all blocks of all sources."""
     sizes = Counter()
