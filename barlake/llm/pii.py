@@ -1,7 +1,8 @@
 """Personal data: patterns propose spans, checksums confirm them, context words adjust a score.
 
 Every kind is one pattern.  Matches are leftmost and do not overlap within a
-kind.  ``regexp_extract_all`` gives the matches and ``split`` the gaps between
+kind; only account numbers are looked for at every start, as one that fails its
+check may reach into the next.  ``regexp_extract_all`` gives the matches and ``split`` the gaps between
 them, so start positions are prefix sums of lengths; they are summed in blocks,
 so that a text with very many matches costs no quadratic copying.
 
@@ -38,17 +39,29 @@ class Kind:
     score: float
     words: str
     base: bool
+    #: The pattern takes one character and looks ahead for the value, its first group.
+    ahead: bool = False
 
 
 # Possessive quantifiers and the look-behinds only forbid attempts that cannot
 # change the matches; they keep the time linear and the regex stack flat.
 _LOCAL = "[A-Za-z0-9._%+-]"
+#: Length of an account number by country (ISO 13616 registry).
+_IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+_IBAN = "|".join(rf"(?:{c.replace(' ', '|')})[0-9]{{2}}(?:\x20?[A-Z0-9]){{{n - 4}}}" for n, c in _IBAN_LENGTHS.items())
+# first the length of the country, then, as far as the text allows, any other
+_IBAN = rf"(?<![A-Za-z0-9])(?=((?:{_IBAN}|[A-Z]{{2}}[0-9]{{2}}(?:\x20?[A-Z0-9]){{11,30}})(?![A-Za-z0-9])))[A-Z]"
 KINDS = (
     Kind("email", rf"(?:(?<!{_LOCAL})|\G){_LOCAL}++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++", "@[A-Za-z0-9-]", 0.9, "mail|contact", True),
     Kind("ip", r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}", r"[0-9]\.[0-9]", 0.6, r"\bip\b|address|host|server", True),
     Kind("card", r"[0-9](?:[\x20-]?[0-9])++", r"[0-9][\x20-]?[0-9]", 0.8, "card|visa|master|credit|karte|carte|tarjeta", True),
     Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", r"\+[0-9]", 0.6, "phone|call|tel|mobil|fax", True),
-    Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+(?![A-Za-z0-9])", "[A-Z]{2}[0-9]{2}", 0.7, "iban|account|konto|compte|cuenta", False),
+    Kind("iban", _IBAN, "[A-Z]{2}[0-9]{2}", 0.7, "iban|account|konto|compte|cuenta", False, ahead=True),
     Kind("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", "[0-9]{3}-[0-9]", 0.3, "ssn|social security", False),
 )
 
@@ -119,8 +132,8 @@ def _scored(k: Kind, order: int) -> Callable[[Column], Column]:
     return span
 
 
-def _positions(matches: Column, gaps: Column) -> Column:
-    """array<(start, value)>: prefix sums of gap and match lengths, in blocks of SPAN_BLOCK."""
+def _positions(matches: Column, gaps: Column, ahead: bool) -> Column:
+    """array<(start, value)>: prefix sums of gap and match lengths (one each if ``ahead``), in blocks of SPAN_BLOCK."""
     n = F.size(matches)
     longs = F.zip_with(F.slice(gaps, F.lit(1), n), matches, lambda g, m: F.struct(F.length(g).alias("g"), m.alias("m")))
     blocks = F.transform(
@@ -131,7 +144,7 @@ def _positions(matches: Column, gaps: Column) -> Column:
     def grow(acc: Column, x: Column) -> Column:
         start = acc["at"] + x["g"]
         item = F.struct(start.alias("start"), x["m"].alias("value"))
-        return F.struct((start + F.length(x["m"])).alias("at"), F.concat(acc["out"], F.array(item)).alias("out"))
+        return F.struct((start + (F.lit(1) if ahead else F.length(x["m"]))).alias("at"), F.concat(acc["out"], F.array(item)).alias("out"))
 
     none = F.array().cast("array<struct<start:int,value:string>>")
 
@@ -160,13 +173,13 @@ def _found(rows: DataFrame, keep: list[str]) -> DataFrame:
     for k in KINDS:
         gate = F.contains("_text", F.lit("@")) if k.name == "email" else F.col("_digit")
         may = gate & F.col("_text").rlike(k.must)
-        rows = rows.withColumn(f"_m_{k.name}", F.when(may, F.regexp_extract_all("_text", F.lit(k.pattern), F.lit(0))))
+        rows = rows.withColumn(f"_m_{k.name}", F.when(may, F.regexp_extract_all("_text", F.lit(k.pattern), F.lit(int(k.ahead)))))
     for k in KINDS:
         some = F.size(f"_m_{k.name}") > 0
         if k.name not in ("email", "phone"):
             some = some & F.exists(f"_m_{k.name}", _valid_for(k.name))
         rows = rows.withColumn(
-            f"_s_{k.name}", F.when(some, _positions(F.col(f"_m_{k.name}"), F.split("_text", k.pattern, -1)))
+            f"_s_{k.name}", F.when(some, _positions(F.col(f"_m_{k.name}"), F.split("_text", k.pattern, -1), k.ahead))
         )
     found = []
     for order, k in enumerate(KINDS):

@@ -115,6 +115,29 @@ def test_personal_data_against_plain_regular_expressions(spark, docs, cases, emp
     assert clean[95].startswith("Mail [email] or [phone], card [card], ip [ip] and 1.2.3.256")
 
 
+IBANS = [
+    ("IBAN GB82WEST12345698765432 Please pay", "GB82WEST12345698765432"),
+    ("IBAN GB82 WEST 1234 5698 7654 32 Please pay", "GB82 WEST 1234 5698 7654 32"),
+    ("IBAN DE89370400440532013000 BIC COBADEFFXXX", "DE89370400440532013000"),
+    ("DE89 3704 0044 0532 0130 00 12345 PAID", "DE89 3704 0044 0532 0130 00"),
+    ("é😀 ref AB12 NO93 8601 1117 947 A", "NO93 8601 1117 947"),
+    ("NO12 AB34 DE89 370 DE89 3704 0044 0532 0130 00.", "DE89 3704 0044 0532 0130 00"),
+]
+
+
+def test_account_numbers_before_capitals_and_numbers(spark):
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(IBANS)], "doc_id long, text string")
+    found = {r.doc_id: [s for s in r.spans if s.kind == "iban"] for r in pii.find_pii(docs).collect()}
+    clean = {r.doc_id: r.text for r in pii.redact(docs).collect()}
+    for i, (text, number) in enumerate(IBANS):
+        at = text.index(number)
+        assert [(s.start, s.end, s.value) for s in found[i]] == [(at, at + len(number), number)]
+        assert clean[i] == text.replace(number, "[iban]")
+    two = "DE89370400440532013000 GB82WEST12345698765432"
+    pair = spark.createDataFrame([(1, two), (2, "AA11 " * 20000)], "doc_id long, text string")
+    assert {r.doc_id: r.text for r in pii.redact(pair).collect()} == {1: "[iban] [iban]", 2: "AA11 " * 20000}
+
+
 def test_toxicity_learns_from_positives_and_unlabelled(spark, empty, tmp_path):
     rnd = np.random.default_rng(1)
     words = ["".join(chr(97 + c) for c in rnd.integers(0, 18, n)) for n in rnd.integers(3, 8, 300)]
