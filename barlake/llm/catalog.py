@@ -7,7 +7,20 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from barlake.llm import exact_dedup, mixing, near_dedup, packing, pii, quality, repeats, token_counts, token_files, toxicity
+from barlake.llm import (
+    collocations,
+    exact_dedup,
+    mixing,
+    near_dedup,
+    packing,
+    pii,
+    quality,
+    repeats,
+    resampling,
+    token_counts,
+    token_files,
+    toxicity,
+)
 from barlake.llm.common import documents
 from barlake.session import scratch_dir
 
@@ -56,6 +69,14 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_pii": op2_pii,
@@ -67,6 +88,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_near_dedup": op8_near_dedup,
     "op9_packing": op9_packing,
     "op10_toxicity": op10_toxicity,
+    "op12_resampling": op12_resampling,
+    "op13_collocations": op13_collocations,
 }
 
 ORACLES: dict[str, str] = {
@@ -74,4 +97,5 @@ ORACLES: dict[str, str] = {
     "op5_mixing": mixing.ORACLE,
     "op6_repeats": repeats.ORACLE,
     "op8_near_dedup": near_dedup.ORACLE,
+    "op13_collocations": collocations.ORACLE,
 }
