@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from barlake.llm import (
     collocations,
     exact_dedup,
+    html_extraction,
     mixing,
     near_dedup,
     packing,
@@ -69,6 +70,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op11_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extraction.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resampling.resample(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
@@ -88,6 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_near_dedup": op8_near_dedup,
     "op9_packing": op9_packing,
     "op10_toxicity": op10_toxicity,
+    "op11_html_extraction": op11_html_extraction,
     "op12_resampling": op12_resampling,
     "op13_collocations": op13_collocations,
 }
