@@ -17,17 +17,16 @@ its exact count.
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barlake.llm.common import bounded_batches, text_of, written
-from barlake.llm.tokens import Cache
+from barlake.llm.spans import LOWER, copied, runs, span_crcs, spaced
 
 LONGEST = 3
 LEAST = 10
@@ -36,34 +35,51 @@ ABSORBED = 50
 TOP = 2000
 NO_LANG = "und"
 #: One of so many word pairs ends a chunk.
-EVERY = 8
+EVERY = 16
 #: Bits of the table of frequent pairs: 8 MiB for any corpus.
 BIT_TABLE = 1 << 26
 #: Parts of a language that choose their best phrases before these meet.
 PARTS = 64
-#: Runs in one Arrow batch.
+#: Rows of an Arrow batch of chunks or runs.
 OUT_ROWS = 1 << 15
 
-_LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
-_PIECES = re.compile(b"[.,;:!?\n-\r]")
-_WORD_HASH = Cache(zlib.crc32, 200_000)
-
-
-def chunks(text: str) -> Iterator[tuple[bytes, bool]]:
-    """The chunks of a text and whether they end their piece; words are joined by one space."""
-    for piece in _PIECES.split(text.encode("utf-8", "surrogatepass").translate(_LOWER)):
-        words = piece.split()
-        if len(words) > LONGEST:
-            start, before = 0, 0
-            for i, h in enumerate(map(_WORD_HASH.__getitem__, words)):
-                # the pair (i - 1, i); a chunk has a word before the pair that ends it
-                if i > start + 1 and (before * 31 + h) % EVERY == 0 and i + 1 < len(words):
-                    yield b" ".join(words[start : i + 1]), False
-                    start = i - 1
-                before = h
-            words = words[start:]
-        if words:
-            yield b" ".join(words), True
+_SEPARATOR = np.array([b in b".,;:!?\n\x0b\x0c\r" for b in range(256)])
+_BLANK = np.array([b in b" \t" for b in range(256)])
+
+
+def chunks(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(bytes, starts, ends, text, whether it ends its piece) of the chunks of the texts; words are joined by one space."""
+    raw = [t.encode("utf-8", "surrogatepass").translate(LOWER) for t in texts]
+    data = np.frombuffer(b"\n".join([*raw, b""]), np.uint8)
+    cut = _SEPARATOR[data]
+    inside = ~(cut | _BLANK[data])
+    starts, sizes = runs(inside)
+    if not len(starts):
+        none = np.empty(0, np.int64)
+        return data, none, none, none, none.astype(bool)
+    text = np.searchsorted(np.cumsum([len(r) + 1 for r in raw]), starts, side="right")
+    piece = np.cumsum(cut)[starts]
+    words, at = spaced(data, inside, sizes)
+    hashes = span_crcs(words, at, at + sizes)
+    first = np.concatenate(([True], piece[1:] != piece[:-1]))
+    last = np.concatenate((first[1:], [True]))
+    # the pair (i - 1, i) ends a chunk, unless the piece ends there anyway
+    trigger = np.zeros(len(at), bool)
+    trigger[1:] = ((hashes[:-1] * np.uint32(31) + hashes[1:]) >> np.uint32(7)) % np.uint32(EVERY) == 0
+    trigger &= ~(first | last)
+    trigger[1:] &= ~first[:-1]
+    begin = np.flatnonzero(first | np.concatenate((trigger[1:], [False])))
+    end = np.flatnonzero(trigger | last)
+    ends_piece = last[end]
+    # a chunk of the overlap alone has no run of its own
+    own = ends_piece | (end - begin + 1 >= LONGEST)
+    begin, end = begin[own], end[own]
+    return words, at[begin], at[end] + sizes[end], text[begin], ends_piece[own]
+
+
+def _binary(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
+    values, offsets = copied(data, starts, ends)
+    return pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(values)])
 
 
 def parse(docs: DataFrame) -> DataFrame:
@@ -72,14 +88,10 @@ def parse(docs: DataFrame) -> DataFrame:
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [
-                (lang, part, end)
-                for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
-                for part, end in chunks(text)
-            ]
-            for k in range(0, len(found), OUT_ROWS):
-                langs, parts, ends = zip(*found[k : k + OUT_ROWS], strict=True)
-                arrays = [pa.array(langs, pa.string()), pa.array(parts, pa.binary()), pa.array(ends, pa.bool_())]
+            data, starts, stops, text, ends = chunks(batch.column(1).to_pylist())
+            for k in range(0, len(starts), OUT_ROWS):
+                part = slice(k, k + OUT_ROWS)
+                arrays = [batch.column(0).take(pa.array(text[part])), _binary(data, starts[part], stops[part]), pa.array(ends[part])]
                 yield pa.RecordBatch.from_arrays(arrays, names=["lang", "chunk", "ends"])
 
     rows = docs.select(F.coalesce("lang", F.lit(NO_LANG)).alias("lang"), text_of().alias("t"))
@@ -87,13 +99,9 @@ def parse(docs: DataFrame) -> DataFrame:
     return cuts.groupBy("lang", "chunk", "ends").agg(F.count(F.lit(1)).alias("times"))
 
 
-def mark(lang: bytes, pair: bytes) -> int:
-    return zlib.crc32(lang + b"\t" + pair) & (BIT_TABLE - 1)
-
-
 def _marks(frequent: DataFrame) -> np.ndarray:
     """The bit table of the frequent pairs: at most BIT_TABLE / 64 rows reach the driver, however many pairs there are."""
-    bit = F.crc32(F.concat(F.col("lang").cast("binary"), F.lit(b"\t"), F.col("phrase"))).bitwiseAND(F.lit(BIT_TABLE - 1))
+    bit = F.crc32("phrase").bitwiseXOR(F.crc32(F.col("lang").cast("binary"))).bitwiseAND(F.lit(BIT_TABLE - 1))
     words = frequent.select(bit.alias("bit")).groupBy(F.shiftright("bit", 6).alias("at"))
     words = words.agg(F.bit_or(F.expr("shiftleft(1L, int(bit & 63))")).alias("bits"))
     table = np.zeros(BIT_TABLE // 64, np.int64)
@@ -109,48 +117,61 @@ def run_counts(dictionary: DataFrame, sizes: tuple[int, ...], pairs: np.ndarray
     """
     spark = dictionary.sparkSession
     bounded_batches(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(OUT_ROWS))
     table = spark.sparkContext.broadcast(pairs.tobytes()) if pairs is not None else None
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = table.value if table is not None else None
+        bits = np.frombuffer(table.value, np.uint8) if table is not None else None
         for batch in batches:
-            langs, numbers, phrases, times = [], [], [], []
-
-            def out() -> pa.RecordBatch:
-                kinds = (pa.string(), pa.int32(), pa.binary(), pa.int64())
-                arrays = [pa.array(v, k) for v, k in zip((langs, numbers, phrases, times), kinds, strict=True)]
-                for column in (langs, numbers, phrases, times):
-                    column.clear()
-                return pa.RecordBatch.from_arrays(arrays, names=["lang", "n_words", "phrase", "f"])
-
-            for lang, chunk, ends, n in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                words = chunk.split(b" ")
-                stop = len(words) if ends else len(words) - LONGEST + 1
+            if not batch.num_rows:
+                continue
+            _, offsets, values = batch.column(1).buffers()
+            low = batch.column(1).offset
+            edges = np.frombuffer(offsets, np.int32)[low : low + batch.num_rows + 1].astype(np.int64)
+            data = np.frombuffer(values, np.uint8)[edges[0] : edges[-1]]
+            edges = edges - edges[0]
+            # a chunk begins and ends with a word, words have one space between them
+            space = np.flatnonzero(data == 32)
+            starts, ends = np.sort(np.concatenate((edges[:-1], space + 1))), np.sort(np.concatenate((edges[1:], space)))
+            chunk = np.searchsorted(edges, starts, side="right") - 1
+            n_words = np.bincount(chunk, minlength=batch.num_rows)
+            stop = np.cumsum(n_words) - np.where(batch.column(2).to_numpy(zero_copy_only=False), 0, LONGEST - 1)
+            counted = np.arange(len(starts)) < stop[chunk]
+            if bits is not None:
+                same = np.flatnonzero(chunk[1:] == chunk[:-1])
+                lang = np.array([zlib.crc32(x.encode()) for x in batch.column(0).to_pylist()], np.uint32)
+                mark = (span_crcs(data, starts[same], ends[same + 1]) ^ lang[chunk[same]]) & np.uint32(BIT_TABLE - 1)
+                good = np.zeros(len(starts), bool)
+                good[same] = bits[mark >> np.uint32(3)] >> (mark & np.uint32(7)).astype(np.uint8) & 1
+            for size in sizes:
+                if len(starts) < size:
+                    continue
+                i = np.flatnonzero(counted[: len(starts) - size + 1] & (chunk[: len(chunk) - size + 1] == chunk[size - 1 :]))
                 if bits is not None:
-                    own = lang.encode()
-                    marks = [mark(own, a + b" " + b) for a, b in zip(words, words[1:])]
-                    good = [bits[m >> 3] >> (m & 7) & 1 for m in marks]
-                for size in sizes:
-                    last = min(stop, len(words) - size + 1)
-                    if bits is not None:
-                        found = [b" ".join(words[i : i + size]) for i in range(last) if all(good[i : i + size - 1])]
-                    elif size == 1:
-                        found = words[:last]
-                    else:
-                        found = [b" ".join(words[i : i + size]) for i in range(last)]
-                    phrases += found
-                    numbers += [size] * len(found)
-                    langs += [lang] * len(found)
-                    times += [n] * len(found)
-                if len(phrases) >= OUT_ROWS:
-                    yield out()
-            yield out()
+                    for k in range(size - 1):
+                        i = i[good[i + k]]
+                for k in range(0, len(i), OUT_ROWS):
+                    part = i[k : k + OUT_ROWS]
+                    rows = pa.array(chunk[part])
+                    arrays = [
+                        batch.column(0).take(rows),
+                        pa.array(np.full(len(part), size, np.int32)),
+                        _binary(data, starts[part], ends[part + size - 1]),
+                        batch.column(3).take(rows),
+                    ]
+                    yield pa.RecordBatch.from_arrays(arrays, names=["lang", "n_words", "phrase", "f"])
 
     rows = dictionary.select("lang", "chunk", "ends", "times")
     each = rows.mapInArrow(count, "lang string, n_words int, phrase binary, f long")
     return each.groupBy("lang", "n_words", "phrase").agg(F.sum("f").alias("f"))
 
 
+def score() -> Column:
+    """A million times a * a / (l * r), rounded down, from whole numbers below 10**15 and without rounding between."""
+    a, left, right = (F.col(c).cast("decimal(15,0)") for c in ("a", "l", "r"))
+    return F.call_function("div", F.lit(1_000_000).cast("decimal(7,0)") * (a * a), left * right)
+
+
 def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): the ``top`` phrases of each language.
 
@@ -198,9 +219,7 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP) -> DataFra
     known = found.select("lang", F.col("phrase").alias("part"), "a")
     cut = cut.join(known.select("lang", F.col("part").alias("first"), F.col("a").alias("l")), ["lang", "first"])
     cut = cut.join(known.select("lang", F.col("part").alias("rest"), F.col("a").alias("r")), ["lang", "rest"])
-    exact = lambda c: F.col(c).cast("decimal(15,0)")
-    score = F.call_function("div", F.lit(1_000_000).cast("decimal(7,0)") * (exact("a") * exact("a")), exact("l") * exact("r"))
-    scored = cut.withColumn("score", score)
+    scored = cut.withColumn("score", score())
     lowest = scored.groupBy("lang", "phrase", "a").agg(F.min(F.struct("score", "k", "l", "r")).alias("c"))
     rows = lowest.select("lang", "phrase", "a", "c.l", "c.r", "c.score")
 
