@@ -316,8 +316,8 @@ def indicator_meta(bars: DataFrame, as_of: Sequence[str], calculated_at: str) ->
 # -- history mode -----------------------------------------------------------
 
 
-def indicators_history(bars: DataFrame) -> DataFrame:
-    """Moving-window indicators for every bar (value known at that bar's close)."""
+def indicators_history(bars: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    """Moving-window indicators for every bar (value known at that bar's close); ``carry`` columns come along."""
     by_code = Window.partitionBy("code").orderBy("dt")
     running = by_code.rowsBetween(Window.unboundedPreceding, 0)
 
@@ -331,6 +331,7 @@ def indicators_history(bars: DataFrame) -> DataFrame:
         "dt",
         close.alias("close"),
         *[dbl(x).alias(x) for x in ("open", "high", "low")],
+        *carry,
         F.row_number().over(by_code).alias("bar_no"),
         F.sum(price_units("close")).over(running).alias("_units"),
         F.sum(c).over(running).alias("_sum"),
@@ -348,6 +349,7 @@ def indicators_history(bars: DataFrame) -> DataFrame:
         "dt",
         "close",
         "bar_no",
+        *carry,
         *[moving("_units", p).alias(f"_s{p}") for p in MA_PERIODS],
         moving("_sum", BOLL_N).alias("_d20"),
         moving("_sq", BOLL_N).alias("_q20"),
@@ -367,6 +369,7 @@ def indicators_history(bars: DataFrame) -> DataFrame:
         "dt",
         "close",
         "bar_no",
+        *carry,
         *[F.when(n >= p, mean_price(F.col(f"_s{p}"), p)).alias(f"ma{p}") for p in MA_PERIODS],
         *bollinger("boll_", F.col("close"), F.col("_d20"), F.col("_q20"), n >= BOLL_N),
         *[

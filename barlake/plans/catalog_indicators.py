@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from barlake.functions import session_time as st
 from barlake.functions.numeric import dbl
 from barlake.operators import indicators as ind
+from barlake.operators import recursions
 from barlake.plans.bindings import AS_OF, AS_OF_DATES, bars, dims, snapshot, ticks, with_bindings
 from barlake.plans.registry import query
 
@@ -195,10 +196,10 @@ def _as_of(spark, d, *cols):
 
 
 @query(
-    "ind_rsi",
+    "ind_rsi_as_of",
     with_bindings(f"WITH {_TAIL.strip()}, {_RSI.strip()} SELECT code, CAST(as_of AS VARCHAR) AS as_of, rsi14 FROM rsi", "fx_bars"),
 )
-def ind_rsi(spark, d):
+def ind_rsi_as_of(spark, d):
     return _as_of(spark, d, "rsi14")
 
 
@@ -207,7 +208,7 @@ def _recursive(sql: str) -> str:
 
 
 @query(
-    "ind_macd",
+    "ind_macd_as_of",
     _recursive(
         with_bindings(
             f"WITH {_TAIL.strip()}, {_MACD.strip()} SELECT s.code, CAST(s.as_of AS VARCHAR) AS as_of, dif AS macd_dif,"
@@ -216,12 +217,12 @@ def _recursive(sql: str) -> str:
         )
     ),
 )
-def ind_macd(spark, d):
+def ind_macd_as_of(spark, d):
     return _as_of(spark, d, "macd_dif", "macd_dea", "macd_hist")
 
 
 @query(
-    "ind_momentum",
+    "ind_momentum_as_of",
     _recursive(
         with_bindings(
             f"WITH {_TAIL.strip()}, {_MACD.strip()} SELECT s.code, CAST(s.as_of AS VARCHAR) AS as_of,"
@@ -232,24 +233,24 @@ def ind_macd(spark, d):
         )
     ),
 )
-def ind_momentum(spark, d):
+def ind_momentum_as_of(spark, d):
     return _as_of(spark, d, "momentum_delta_1", "momentum_delta_3", "momentum_improving")
 
 
 @query(
-    "ind_atr",
+    "ind_atr_as_of",
     with_bindings(
         f"WITH {_TAIL.strip()}, {_ATR.strip()} SELECT code, CAST(as_of AS VARCHAR) AS as_of, atr14,"
         " atr14 / nullif(last_close, 0) * 100 AS atr14_pct FROM atr",
         "fx_bars",
     ),
 )
-def ind_atr(spark, d):
+def ind_atr_as_of(spark, d):
     return _as_of(spark, d, "atr14", "atr14_pct")
 
 
 @query(
-    "ind_overheated",
+    "ind_overheated_as_of",
     with_bindings(
         f"""WITH {_TAIL.strip()}, {_RSI.strip()},
 b AS (SELECT code, as_of, count(*) AS n, CAST(sum(cd) AS DOUBLE) / 20 AS mid,
@@ -261,12 +262,12 @@ FROM rsi r JOIN b ON b.code = r.code AND b.as_of = r.as_of""",
         "fx_bars",
     ),
 )
-def ind_overheated(spark, d):
+def ind_overheated_as_of(spark, d):
     return _as_of(spark, d, "overheated")
 
 
 @query(
-    "ind_meta",
+    "ind_meta_as_of",
     with_bindings(
         f"""WITH {_TAIL.strip()},
 a AS (SELECT CAST(unnest(['{AS_OF_DATES[0]}','{AS_OF_DATES[1]}']) AS DATE) AS as_of),
@@ -280,7 +281,7 @@ FROM c LEFT JOIN t ON t.code = c.code AND t.as_of = c.as_of""",
         "fx_bars",
     ),
 )
-def ind_meta(spark, d):
+def ind_meta_as_of(spark, d):
     m = ind.indicator_meta(bars(spark, d), AS_OF_DATES, "2001-11-01 14:20:00")
     return m.select(
         "code",
@@ -295,6 +296,122 @@ def ind_meta(spark, d):
     )
 
 
+# -- every bar as an as-of date --------------------------------------------------
+
+_FRAMES = f"""
+ser AS (SELECT code, dt AS as_of, CAST(close AS DOUBLE) AS c,
+          list({{'h': CAST(high AS DOUBLE), 'l': CAST(low AS DOUBLE), 'c': CAST(close AS DOUBLE)}}) OVER ({_W.format(ind.MAX_BARS - 1)}) AS bars
+        FROM fx_bars)"""
+
+
+def _macd_fold() -> str:
+    fast, slow = (
+        f"(CASE WHEN a.i = 0 THEN x.c ELSE x.c * (2::DOUBLE/{n}) + a.{name} * (1::DOUBLE - 2::DOUBLE/{n}) END)"
+        for n, name in ((13, "fast"), (27, "slow"))
+    )
+    dif = f"({fast} - {slow})"
+    dea = f"(CASE WHEN a.i + 1 >= 26 THEN coalesce({dif} * 0.2::DOUBLE + a.dea * (1::DOUBLE - 0.2::DOUBLE), {dif}) END)"
+    none = ", ".join(f"'{x}': NULL::DOUBLE" for x in ("fast", "slow", "dif", "dea", "h0", "h1", "h2", "h3"))
+    return f"""list_reduce(bars, lambda a, x: {{'i': a.i + 1, 'fast': {fast}, 'slow': {slow},
+  'dif': CASE WHEN a.i + 1 >= 26 THEN {dif} END, 'dea': {dea},
+  'h0': CASE WHEN a.i + 1 >= 34 THEN ({dif} - {dea}) * 2 END, 'h1': a.h0, 'h2': a.h1, 'h3': a.h2}}, {{'i': 0, {none}}})"""
+
+
+_MACD_FRAMES = f"macd AS (SELECT code, as_of, {_macd_fold()} AS f FROM ser)"
+
+
+def _frame_sql(ctes: str, select: str) -> str:
+    return with_bindings(f"WITH {_FRAMES.strip()}, {ctes.strip()} {select}", "fx_bars")
+
+
+def _recursive_history(spark, d, *cols):
+    return recursions.recursive_history(bars(spark, d)).select("code", _day(), *cols)
+
+
+@query("ind_rsi", _frame_sql(_RSI, "SELECT code, CAST(as_of AS VARCHAR) AS dt, rsi14 FROM rsi"))
+def ind_rsi(spark, d):
+    return _recursive_history(spark, d, "rsi14")
+
+
+@query(
+    "ind_macd",
+    _frame_sql(
+        _MACD_FRAMES,
+        "SELECT code, CAST(as_of AS VARCHAR) AS dt, f.dif AS macd_dif, CASE WHEN f.i >= 34 THEN f.dea END AS macd_dea, f.h0 AS macd_hist FROM macd",
+    ),
+)
+def ind_macd(spark, d):
+    return _recursive_history(spark, d, "macd_dif", "macd_dea", "macd_hist")
+
+
+@query(
+    "ind_momentum",
+    _frame_sql(
+        _MACD_FRAMES,
+        "SELECT code, CAST(as_of AS VARCHAR) AS dt, f.h0 - f.h1 AS momentum_delta_1, f.h0 - f.h3 AS momentum_delta_3,"
+        " CASE WHEN f.h0 - f.h1 IS NOT NULL AND f.h0 - f.h3 IS NOT NULL THEN f.h0 > f.h1 AND f.h0 > f.h3 END AS momentum_improving FROM macd",
+    ),
+)
+def ind_momentum(spark, d):
+    return _recursive_history(spark, d, "momentum_delta_1", "momentum_delta_3", "momentum_improving")
+
+
+@query(
+    "ind_atr",
+    _frame_sql(
+        _ATR,
+        "SELECT code, CAST(as_of AS VARCHAR) AS dt, atr14, atr14 / nullif(last_close, 0) * 100 AS atr14_pct FROM atr",
+    ),
+)
+def ind_atr(spark, d):
+    return _recursive_history(spark, d, "atr14", "atr14_pct")
+
+
+@query(
+    "ind_overheated",
+    _frame_sql(
+        f"{_RSI.strip()}, {_BOLL.strip()}",
+        """SELECT r.code, CAST(r.as_of AS VARCHAR) AS dt,
+       r.rsi14 > 70 AND CASE WHEN b.code IS NULL THEN NULL WHEN wid = 0 THEN 0.5::DOUBLE
+            ELSE (CAST(b.close AS DOUBLE) - (mid - wid)) / ((mid + wid) - (mid - wid)) END > 0.8::DOUBLE AS overheated
+FROM rsi r LEFT JOIN band b ON b.code = r.code AND b.dt = r.as_of""",
+    ),
+)
+def ind_overheated(spark, d):
+    return recursions.overheated_history(bars(spark, d)).select("code", _day(), "overheated")
+
+
+_META_SQL = f"""SELECT code, CAST(dt AS VARCHAR) AS dt, count(*) OVER p AS input_rows, CAST(max(dt) OVER p AS VARCHAR) AS last_trade_date,
+  CASE WHEN k < count(*) OVER p THEN count(*) OVER p END AS truncated_from, CASE WHEN k < count(*) OVER p THEN k END AS truncated_to,
+  CAST(first_date AS VARCHAR) AS first_date, CAST(dt AS VARCHAR) AS last_date, frame_rows,
+  max(dt) OVER p = DATE '1998-11-27' AS includes_intraday_today
+FROM (SELECT code, dt, row_number() OVER (PARTITION BY code ORDER BY dt) AS k, min(dt) OVER w AS first_date, count(*) OVER w AS frame_rows
+      FROM fx_bars WINDOW w AS ({_W.format(ind.MAX_BARS - 1)})) WINDOW p AS (PARTITION BY code)"""
+
+
+@query("ind_meta", with_bindings(_META_SQL, "fx_bars"))
+def ind_meta(spark, d):
+    m = recursions.frame_meta(bars(spark, d), "1998-11-27 14:20:00")
+    days = ("dt", "last_trade_date", "first_date", "last_date")
+    return m.select(*[_day(c) if c in days else c for c in m.columns])
+
+
+@query(
+    "flt_cutoff_history",
+    with_bindings(
+        f"""SELECT code, CAST(dt AS VARCHAR) AS as_of, CAST(first_date AS VARCHAR) AS first_date, frame_rows, k - frame_rows AS older_rows
+FROM (SELECT code, dt, row_number() OVER (PARTITION BY code ORDER BY dt) AS k, min(dt) OVER w AS first_date, count(*) OVER w AS frame_rows
+      FROM fx_bars WINDOW w AS ({_W.format(ind.MAX_BARS - 1)}))""",
+        "fx_bars",
+    ),
+)
+def flt_cutoff_history(spark, d):
+    """The frame of every as-of date as bounds: a bar belongs to it from ``first_date`` on."""
+    m = recursions.frame_meta(bars(spark, d), "1998-11-27 14:20:00")
+    older = F.coalesce("truncated_to", "input_rows") - F.col("frame_rows")
+    return m.select("code", F.col("dt").cast("string").alias("as_of"), _day("first_date"), "frame_rows", older.alias("older_rows"))
+
+
 @query(
     "flt_cutoff",
     with_bindings(

@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -68,3 +70,20 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
             _LOCAL_BASE.append(tempfile.mkdtemp(prefix="spark-"))
         base = _LOCAL_BASE[0]
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Before Python work: workers import this package by name, so hand it to them once for each application."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    root = Path(__file__).parent
+    archive = Path(tempfile.mkdtemp(prefix="spark-")) / f"{root.name}.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for source in sorted(root.rglob("*.py")):
+            z.write(source, source.relative_to(root.parent))
+    context.addPyFile(str(archive))
+    _SHIPPED.add(context.applicationId)

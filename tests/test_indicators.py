@@ -114,3 +114,38 @@ def test_hot_code_does_not_change_the_result(spark):
     few = bars(spark, [float(x) for x in range(1, 6)], "000002")
     got = {r.code: (r.used_rows, r.ma5) for r in ind.indicators_as_of(many.unionByName(few), ["2030-01-01"]).collect()}
     assert got == {"000001": (250, 48.0), "000002": (5, 3.0)}
+
+
+def test_every_bar_has_the_value_of_its_as_of_date(spark):
+    from barlake.operators import recursions as rec
+
+    rnd = random.Random(8)
+    rows = []
+    for code, n in (("000001", 330), ("000002", 40), ("000003", 1)):
+        for i in range(n):
+            c = round(20 + rnd.uniform(-5, 5), 2)
+            h, low = c + rnd.random(), c - rnd.random()
+            gap = rnd.random()
+            rows.append((code, dt.date(2024, 1, 1) + dt.timedelta(days=i), c, None if gap < 0.03 else h, low, None if gap > 0.97 else c))
+    b = spark.createDataFrame(rows, "code string, dt date, open double, high double, low double, close double")
+    fields = ("rsi14", "macd_dif", "macd_dea", "macd_hist", "momentum_delta_1", "momentum_delta_3", "momentum_improving", "atr14", "atr14_pct")
+    old = rec.BLOCK
+    rec.BLOCK = 64  # frames reach across blocks
+    try:
+        got = {(r.code, r.dt): tuple(r[f] for f in fields) for r in rec.recursive_history(b.repartition(3)).collect()}
+    finally:
+        rec.BLOCK = old
+    assert len(got) == sum(r[5] is not None for r in rows)
+    for code, day in [(r[0], r[1]) for r in rows if r[5] is not None][::37]:
+        want = one(ind.indicators_as_of(b.where(F.col("code") == code), [str(day + dt.timedelta(days=1))]))
+        for f, x in zip(fields, got[code, day], strict=True):
+            assert x == want[f] if want[f] is None or isinstance(x, bool) else x == pytest.approx(want[f], rel=1e-12)
+
+
+def test_frames_of_short_histories(spark):
+    from barlake.operators import recursions as rec
+
+    m = {r.dt.day: r for r in rec.frame_meta(bars(spark, [1.0, 2.0, 3.0, 4.0]), "2024-01-04 10:00:00", keep=2).collect()}
+    assert [(m[k].frame_rows, m[k].truncated_to, m[k].first_date.day) for k in (1, 2, 3, 4)] == [(1, 1, 1), (2, 2, 1), (2, 3, 2), (2, None, 3)]
+    assert m[1].includes_intraday_today
+    assert rec.recursive_history(bars(spark, [1.0]).limit(0)).count() == 0
