@@ -110,6 +110,13 @@ def _marks(frequent: DataFrame) -> np.ndarray:
     return table
 
 
+def word_totals(dictionary: DataFrame) -> DataFrame:
+    """(lang, n): all word occurrences of a language, those of an overlap once."""
+    spaces = F.octet_length("chunk") - F.octet_length(F.replace(F.col("chunk"), F.lit(b" "), F.lit(b"")))
+    words = spaces + 1 - F.when(F.col("ends"), 0).otherwise(LONGEST - 1)
+    return dictionary.groupBy("lang").agg(F.sum(F.col("times") * words).alias("n"))
+
+
 def run_counts(dictionary: DataFrame, sizes: tuple[int, ...], pairs: np.ndarray | None = None) -> DataFrame:
     """(lang, n_words, phrase, f): occurrences of the runs of these sizes, from the distinct chunks.
 
@@ -182,10 +189,8 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP) -> DataFra
     below 10**15.
     """
     dictionary = written(parse(docs), "chunks")
-    short = written(run_counts(dictionary, (1, 2)), "short-runs")
-    totals = short.where("n_words = 1").groupBy("lang").agg(F.sum("f").alias("n"))
     # parts of candidates occur at least as often as these
-    short = written(short.where(F.col("f") >= least), "frequent-runs")
+    short = written(run_counts(dictionary, (1, 2)).where(F.col("f") >= least), "short-runs")
     long = run_counts(dictionary, tuple(range(3, LONGEST + 1)), _marks(short.where("n_words = 2")))
     long = written(long.where(F.col("f") >= least), "long-runs")
     text = F.col("phrase").cast("string")
@@ -228,7 +233,7 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP) -> DataFra
     rows = rows.withColumn("place", F.row_number().over(Window.partitionBy("lang", "part").orderBy(*best))).where(F.col("place") <= top)
     rows = rows.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*best))).where(F.col("rank") <= top)
     # one row for each language
-    return rows.join(totals, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
+    return rows.join(word_totals(dictionary), "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
 
 
 ORACLE = rf"""
