@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 
 from barlake.llm.common import bounded_batches, written
 from barlake.llm.page_tree import branches, features, judged_blocks, parse
+from barlake.session import scratch_dir
 
 #: Branches below are noise.
 IMPORTANCE = 0.7
@@ -120,9 +121,12 @@ def extract(pages: DataFrame) -> DataFrame:
     a tree.  Repeated rows count as pages of their own, an empty table gives no
     rows, other columns are ignored.
     """
-    read = written(parsed(pages), "parsed-pages")
+    path = scratch_dir(pages.sparkSession, "parsed-pages")
+    parsed(pages).write.option("compression", "zstd").parquet(path)
+    read = pages.sparkSession.read.parquet(path)
     low = importance(read).where(F.col("importance") < IMPORTANCE)
-    low = low.groupBy("host").agg(F.collect_list("node").alias("low")).withColumnRenamed("host", "_host")
+    # as a table its size is known: pages move only if the lists of all hosts are too large to send around
+    low = written(low.groupBy("host").agg(F.collect_list("node").alias("low")), "low-branches").withColumnRenamed("host", "_host")
     judged = read.select("page_id", "url", "host", "blocks").join(low, F.col("host") == F.col("_host"), "left")
     judged = judged.withColumn("low", F.coalesce("low", F.array().cast("array<long>")))
     judged = judged.withColumn(
