@@ -6,6 +6,9 @@ except the final rankings.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,7 +25,7 @@ from barlake.functions.numeric import (
 )
 from barlake.functions.ranking import attach_row
 from barlake.functions.text import BOARD_BSE, BOARD_CHINEXT, BOARD_STAR, board_of
-from barlake.operators.crosssection import industry_change
+from barlake.operators.crosssection import industry_change, market_mode
 
 # Name patterns, price limits, liquidity limits, fee rates, zone factors.
 ST_NAME = r"(?i)\*?ST|退市|PT"
@@ -32,6 +35,7 @@ DEFAULT_LIMIT, ST_LIMIT = 0.10, 0.05
 MIN_AMOUNT, MIN_CIRC_MV, TURNOVER_RANGE = 50_000_000, 3_000_000_000, (0.5, 15.0)
 COMMISSION, MIN_COMMISSION, STAMP_TAX, TRANSFER = 0.0003, 5.0, 0.0005, 0.00001
 TICK = 0.01
+NO_INDUSTRY = "未知"
 QUALITY_RANK = {"strong": 3, "moderate": 2, "weak": 1, "poor": 0}
 RISK_RANK = {"low": 0, "medium": 1, "high": 2}
 
@@ -80,8 +84,8 @@ def tradability(df: DataFrame, code: str = "code") -> DataFrame:
     return staged.withColumns({"is_limit_up": yes((pc > 0) & up), "is_limit_down": yes((pc > 0) & down)})
 
 
-def hard_filter(df: DataFrame, max_change: float = 9.9, min_days: int = 60) -> DataFrame:
-    """Drop ST, suspended, delisting, near-limit, second-market, untraded and newly listed rows."""
+def passes_hard(df: DataFrame, max_change: float = 9.9, min_days: int = 60) -> Column:
+    """Not ST, suspended, delisting, near its limit, on the second market, untraded or newly listed."""
     has = set(df.columns)
 
     def flag(c: str) -> Column:
@@ -100,24 +104,38 @@ def hard_filter(df: DataFrame, max_change: float = 9.9, min_days: int = 60) -> D
     )
     if "listed_days" in has:
         keep = keep & (F.col("listed_days").isNull() | (F.col("listed_days") >= min_days))
-    out = df.where(keep)
-    return out.withColumn("industry", F.coalesce("industry", F.lit("未知"))) if "industry" in has else out.withColumn("industry", F.lit("未知"))
+    return keep
+
+
+def hard_filter(df: DataFrame, max_change: float = 9.9, min_days: int = 60) -> DataFrame:
+    """Drop ST, suspended, delisting, near-limit, second-market, untraded and newly listed rows."""
+    out = df.where(passes_hard(df, max_change, min_days))
+    industry = F.coalesce("industry", F.lit(NO_INDUSTRY)) if "industry" in df.columns else F.lit(NO_INDUSTRY)
+    return out.withColumn("industry", industry)
+
+
+def is_liquid(
+    min_amount: float = MIN_AMOUNT, min_circ_mv: float = MIN_CIRC_MV, turnover: tuple[float, float] = TURNOVER_RANGE
+) -> Column:
+    return (num("amount") >= min_amount) & (num("circ_mv") >= min_circ_mv) & num("turnover_rate").between(*turnover)
 
 
 def liquidity_filter(
     df: DataFrame, min_amount: float = MIN_AMOUNT, min_circ_mv: float = MIN_CIRC_MV, turnover: tuple[float, float] = TURNOVER_RANGE
 ) -> DataFrame:
-    return df.where(
-        (num("amount") >= min_amount) & (num("circ_mv") >= min_circ_mv) & num("turnover_rate").between(*turnover)
-    )
+    return df.where(is_liquid(min_amount, min_circ_mv, turnover))
 
 
 TREND_NEEDS = ("ma5", "ma10", "ma20", "ma60", "rsi14", "atr14_pct", "boll_position")
 
 
+def rising_averages() -> Column:
+    return (F.col("ma5") > F.col("ma10")) & (F.col("ma10") > F.col("ma20"))
+
+
 def trend_flags(df: DataFrame) -> DataFrame:
     """Rows with all indicators; ``trend_near`` MA5>MA10>MA20, ``trend_aligned`` also MA20>MA60."""
-    near = (F.col("ma5") > F.col("ma10")) & (F.col("ma10") > F.col("ma20"))
+    near = rising_averages()
     return df.dropna(subset=list(TREND_NEEDS)).withColumns(
         {"trend_near": near, "trend_aligned": near & (F.col("ma20") > F.col("ma60"))}
     )
@@ -212,21 +230,25 @@ def scan_zones(df: DataFrame) -> DataFrame:
     ).drop("_atr", "_up", "_lo")
 
 
-def select_candidates(
-    scored: DataFrame, mode: DataFrame, min_rr: float = 1.5, official_score: int = 55, top: int = 20, watch: int = 15, fast: int = 85
-) -> DataFrame:
-    """Candidates by the market mode's thresholds with their list: official (top 20), watch (next 15), other.
-
-    Positions are numbered only within the two short lists; the candidates
-    themselves are never sorted as a whole.
-    """
-    one = mode.select("min_score", "max_tail_risk")  # one row
+def candidates(scored: DataFrame, mode: DataFrame, min_rr: float = 1.5) -> DataFrame:
+    """Scored rows within the market mode's thresholds (one row) in an industry that rises."""
+    one = mode.select("min_score", "max_tail_risk")
     cand = attach_row(scored, one).where(
         (F.col("opportunity_score") >= F.col("min_score"))
         & (F.col("tail_risk_count") <= F.col("max_tail_risk"))
         & (F.col("rr_ratio") >= min_rr)
         & (F.col("industry_chg") > 0)
     )
+    return cand.select(*scored.columns)
+
+
+def short_lists(cand: DataFrame, official_score: int = 55, top: int = 20, watch: int = 15, fast: int = 85) -> DataFrame:
+    """Candidates with their list: official (the best ``top`` without tail risk), watch (the next ``watch``), other.
+
+    Positions are numbered only within the two short lists; the candidates
+    themselves are never sorted as a whole.  ``cand`` is read three times and
+    should be a table.
+    """
     order = [F.col("opportunity_score").desc(), F.col("code")]
 
     def first(df: DataFrame, n: int, name: str) -> DataFrame:
@@ -239,20 +261,13 @@ def select_candidates(
     rest = cand.join(official.select("code"), "code", "left_anti")
     lists = official.unionByName(first(rest, watch, "watch"))
     return cand.join(F.broadcast(lists), "code", "left").select(  # at most top + watch rows
-        *[c for c in scored.columns],
+        *[c for c in cand.columns],
         F.coalesce("list", F.lit("other")).alias("list"),
         "position",
-        ((F.col("list") == "official") & (F.col("opportunity_score") >= fast)).alias("fast_entry"),
+        F.coalesce((F.col("list") == "official") & (F.col("opportunity_score") >= fast), F.lit(False)).alias("fast_entry"),
     )
 
 
-def funnel(initial: DataFrame, hard: DataFrame, selected: DataFrame) -> DataFrame:
-    """Rows surviving each step of the scan, one row."""
-    n = lambda df, name: df.agg(F.count(F.lit(1)).alias(name))
-    last = selected.agg(F.count(F.lit(1)).alias("candidates"), count_if(F.col("list") == "official").alias("official"))
-    return attach_row(attach_row(n(initial, "initial"), n(hard, "after_hard")), last)
-
-
 def scan_scores(df: DataFrame, base: DataFrame) -> DataFrame:
     """Trend filter, industry change of the filtered market, scores, risk tags and zones."""
     chg = industry_change(base)
@@ -260,6 +275,40 @@ def scan_scores(df: DataFrame, base: DataFrame) -> DataFrame:
     return scan_zones(scan_tail_risk(opportunity_score(trend)))
 
 
+#: What the steps of a scan after the hard filter read.
+SCAN_COLUMNS = (
+    "code name industry price change_pct volume amount turnover_rate circ_mv volume_ratio ma5 ma10 ma20 ma60 rsi14 atr14 atr14_pct "
+    "boll_position boll_upper boll_lower upper_shadow_ratio return_5d return_20d"
+).split()
+
+
+def market_scan(quotes: DataFrame, stage: Callable[[DataFrame, str], DataFrame]) -> tuple[DataFrame, DataFrame]:
+    """(candidates with their lists, rows after each step as one row) of a scan over tradable quotes with indicators.
+
+    ``stage(frame, name)`` writes a table and reads it back.  There are two: the
+    quotes with the verdict of the hard filter, and the candidates.  Everything
+    else starts from one of them, so each step is planned and run once however
+    many results read it.
+    """
+    table = stage(quotes.select(*SCAN_COLUMNS, yes(passes_hard(quotes)).alias("passes_hard")), "scan-quotes")
+    hard = table.where("passes_hard").withColumn("industry", F.coalesce("industry", F.lit(NO_INDUSTRY)))
+    scored = scan_scores(liquidity_filter(hard), hard)
+    chosen = short_lists(stage(candidates(scored, market_mode(hard)), "scan-candidates"))
+    liquid = F.col("passes_hard") & is_liquid()
+    complete = liquid & reduce(Column.__and__, [F.col(c).isNotNull() for c in TREND_NEEDS])
+    steps = table.agg(
+        F.count(F.lit(1)).alias("initial"),
+        count_if(F.col("passes_hard")).alias("after_hard"),
+        count_if(liquid).alias("after_liquidity"),
+        count_if(complete).alias("with_indicators"),
+        count_if(complete & rising_averages()).alias("after_trend"),
+    )
+    lists = chosen.agg(
+        F.count(F.lit(1)).alias("candidates"), count_if(F.col("list") == "official").alias("official"), count_if(F.col("list") == "watch").alias("watch")
+    )
+    return chosen, attach_row(steps, lists)
+
+
 # -- first-generation record ----------------------------------------------------------
 
 

@@ -39,7 +39,7 @@ def _packed_order():
     return (head.cast("decimal(16,0)") * hundred_billion + wide(tail + cents.cast("decimal(9,0)"))).cast("decimal(38,0)")
 
 
-def bars(spark: SparkSession, sf_dir: str, key: str = "l_suppkey") -> DataFrame:
+def bars(spark: SparkSession, sf_dir: str, key: str | Column = "l_suppkey") -> DataFrame:
     """Daily bars, unique per (code, dt).
 
     First and last trade follow (order, line, part, price).  The four keys are
@@ -47,7 +47,7 @@ def bars(spark: SparkSession, sf_dir: str, key: str = "l_suppkey") -> DataFrame:
     aggregation, a number keeps it hash-based with a map-side combine.
     """
     li = table(spark, sf_dir, "lineitem").select(
-        code_of(F.col(key)).alias("code"),
+        code_of(F.col(key) if isinstance(key, str) else key).alias("code"),
         F.col("l_shipdate").cast("date").alias("dt"),
         F.col("l_extendedprice").cast("decimal(12,2)").alias("px"),
         F.col("l_quantity").cast("decimal(6,0)").alias("qty"),
@@ -181,10 +181,10 @@ def last_bars(b: DataFrame) -> DataFrame:
     )
 
 
-def snapshot(spark: SparkSession, sf_dir: str, daily: DataFrame | None = None) -> DataFrame:
+def snapshot(spark: SparkSession, sf_dir: str, daily: DataFrame | None = None, listed: DataFrame | None = None) -> DataFrame:
     """Quote snapshot: last bar joined with the reference dimensions."""
     last = last_bars(bars(spark, sf_dir) if daily is None else daily)
-    d = dims(spark, sf_dir)
+    d = dims(spark, sf_dir) if listed is None else listed
     price, pre = F.col("price").cast("double"), F.col("pre_close").cast("double")
     k = F.col("k")
     name = (
@@ -228,7 +228,34 @@ def calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def universe(spark: SparkSession, sf_dir: str) -> DataFrame:
+def calm_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bars whose prices move like real ones: 50 plus a part of 20,000 of the stand-in price, whole ticks of 0.01.
+
+    Eight securities share a supplier.  The mapping never falls, so first, highest,
+    lowest and last price stay what they are.  Volumes count lots of 100,000.
+    """
+
+    def calm(c: str) -> Column:
+        cents = F.floor((F.col(c) * 100).cast("bigint") / 20_000) + 5000
+        return (cents.cast("decimal(10,0)") * F.lit("0.01").cast("decimal(3,2)")).cast("decimal(12,2)").alias(c)
+
+    b = bars(spark, sf_dir, F.col("l_suppkey") * 8 + F.col("l_partkey") % 8)
+    volume = (F.col("volume") * 100_000).cast("decimal(22,0)").alias("volume")
+    b = b.select("code", "dt", *[calm(c) for c in ("open", "high", "low", "close")], volume)
+    return b.withColumn("amount", (F.col("close") * F.col("volume")).cast("decimal(30,2)"))
+
+
+def scan_universe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Input of the market scan: the screening columns over the calm bars, sized like listed companies."""
+    k = F.explode(F.transform(F.sequence(F.lit(0), F.lit(7)), lambda i: F.col("k") * 8 + i))
+    listed = dims(spark, sf_dir).withColumn("k", k).withColumn("code", code_of(F.col("k")))
+    u = universe(spark, sf_dir, calm_bars(spark, sf_dir), listed, 1)
+    return u.withColumns({"turnover_rate": F.col("volume") / 1_000_000, "circ_mv": F.col("circ_mv") * 100_000})
+
+
+def universe(
+    spark: SparkSession, sf_dir: str, b: DataFrame | None = None, listed: DataFrame | None = None, damping: int = 20
+) -> DataFrame:
     """Screening input: snapshot, indicator record and relative strength of one as-of date.
 
     The stand-in prices jump far more than real ones, so changes are divided by 20.
@@ -236,10 +263,11 @@ def universe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from barlake.functions.ranking import percent_rank_average
     from barlake.operators.indicators import indicators_as_of
 
-    b = bars(spark, sf_dir)  # read by the snapshot and by the indicators: one shuffle, reused
+    # read by the snapshot and by the indicators: one shuffle, reused
+    b = bars(spark, sf_dir) if b is None else b
     rec = indicators_as_of(b, [AS_OF]).drop("used_rows", "first_date", "last_date", "last_close")
     rec = percent_rank_average(rec, ["as_of"], "return_20d", "rps20").drop("as_of")
-    s = snapshot(spark, sf_dir, b).withColumn("change_pct", F.col("change_pct") / 20)
+    s = snapshot(spark, sf_dir, b, listed).withColumn("change_pct", F.col("change_pct") / damping)
     for c in ("price", "pre_close", "open", "high", "low", "volume", "amount"):
         s = s.withColumn(c, F.col(c).cast("double"))
     return s.drop("board").join(rec, "code", "left")
@@ -362,7 +390,25 @@ SELECT s.code, s.k, s.sym, s.name, s.market, s.industry, s.trade_date, CAST(s.pr
   CAST(s.high AS DOUBLE) AS high, CAST(s.low AS DOUBLE) AS low, s.change_pct / 20 AS change_pct, CAST(s.volume AS DOUBLE) AS volume, CAST(s.amount AS DOUBLE) AS amount,
   s.turnover_rate, s.source, s.circ_mv, s.volume_ratio, i.* EXCLUDE (code, n, last_close), r.rps20
 FROM fx_snapshot s LEFT JOIN fx_ind i ON i.code = s.code LEFT JOIN fx_rps r ON r.code = s.code"""
+_CALM = "CAST((CAST({0} * 100 AS BIGINT) // 20000 + 5000) * CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(12,2)) AS {0}"
+_SQL["fx_cbars"] = f"""
+SELECT *, CAST(close * volume AS DECIMAL(30,2)) AS amount
+FROM (SELECT code, dt, {", ".join(_CALM.format(c) for c in ("open", "high", "low", "close"))}, CAST(volume * 100000 AS DECIMAL(22,0)) AS volume
+ FROM ({_SQL["fx_bars"].replace("CAST(l_suppkey AS BIGINT)", "CAST(l_suppkey * 8 + l_partkey % 8 AS BIGINT)")}))"""
+_SQL["fx_cdims"] = "SELECT printf('%06d', CAST(k * 8 + i AS BIGINT)) AS code, k * 8 + i AS k, * EXCLUDE (code, k) FROM fx_dims, unnest(range(8)) t(i)"
+for _name in ("snapshot", "ind", "rps", "univ"):
+    _SQL[f"fx_c{_name}"] = (
+        _SQL[f"fx_{_name}"].replace("fx_bars", "fx_cbars").replace("fx_snapshot", "fx_csnapshot").replace("fx_ind", "fx_cind").replace("fx_rps", "fx_crps").replace("fx_dims", "fx_cdims")
+    )
+_SQL["fx_cuniv"] = _SQL["fx_cuniv"].replace("s.change_pct / 20", "s.change_pct")
+_SQL["fx_scan"] = "SELECT * REPLACE (volume / 1000000 AS turnover_rate, circ_mv * 100000 AS circ_mv) FROM fx_cuniv"
 _NEEDS = {
+    "fx_cdims": ["fx_dims"],
+    "fx_cind": ["fx_cbars"],
+    "fx_crps": ["fx_cind"],
+    "fx_csnapshot": ["fx_cbars", "fx_cdims"],
+    "fx_cuniv": ["fx_csnapshot", "fx_cind", "fx_crps"],
+    "fx_scan": ["fx_cuniv"],
     "fx_ind": ["fx_bars"],
     "fx_rps": ["fx_ind"],
     "fx_univ": ["fx_snapshot", "fx_ind", "fx_rps"],

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import functions as F
 
 from barlake.functions.numeric import round_dec
@@ -9,12 +11,13 @@ from barlake.operators import crosssection as cs
 from barlake.operators import indicators as ind
 from barlake.operators import merges as mg
 from barlake.operators import screening as sc
-from barlake.plans.bindings import AS_OF, bars, code_of, r2, snapshot, table, universe, with_bindings
+from barlake.plans.bindings import AS_OF, bars, code_of, r2, scan_universe, snapshot, table, universe, with_bindings
 from barlake.plans.registry import query
+from barlake.session import materialize
 
 
-def _trad(spark, d):
-    s = universe(spark, d).withColumn("listing_date", F.when(F.col("k") % 5 != 0, F.date_sub(F.lit("2001-12-01").cast("date"), (F.col("k") % 300).cast("int")).cast("string")))
+def _trad(spark, d, quotes=None):
+    s = (universe(spark, d) if quotes is None else quotes).withColumn("listing_date", F.when(F.col("k") % 5 != 0, F.date_sub(F.lit("2001-12-01").cast("date"), (F.col("k") % 300).cast("int")).cast("string")))
     t = sc.tradability(s, "sym")
     return mg.listing_days(t.drop("listing_date"), s.select("code", "listing_date"), "2001-12-01")
 
@@ -107,34 +110,40 @@ def scr_zones(spark, d):
     return _scored(spark, d).select("code", *_ZONES)
 
 
+# the scan itself: every filter before the scores, the thresholds of the rules
+_SCAN = (
+    _TRAD.replace("FROM fx_univ", "FROM fx_scan").replace("amount >= 300000 AND circ_mv >= 20000000", "amount >= 50000000 AND circ_mv >= 3000000000")
+    + ", " + _SCORE.replace("FROM tr u LEFT JOIN", "FROM (SELECT * FROM trd WHERE trend_near) u LEFT JOIN")
+)
 _SELECT = """md AS (SELECT count(CASE WHEN change_pct > 0 THEN 1 END) / count(*)::DOUBLE AS r FROM hard WHERE change_pct IS NOT NULL),
-cd AS (SELECT z3.* FROM z3, md WHERE opportunity_score >= CASE WHEN r < 0.45::DOUBLE THEN 45 ELSE 40 END - 25 AND tail_risk_count <= CASE WHEN r > 0.6::DOUBLE THEN 2 ELSE 1 END + 1 AND rr_ratio >= 0.1::DOUBLE AND industry_chg > 0),
-of AS (SELECT code, CAST(row_number() OVER (ORDER BY opportunity_score DESC, code) AS INT) AS position FROM cd WHERE opportunity_score >= 30 AND tail_risk_count = 0 QUALIFY position <= 20),
+cd AS (SELECT z3.* FROM z3, md WHERE opportunity_score >= CASE WHEN r < 0.45::DOUBLE THEN 45 ELSE 40 END AND tail_risk_count <= CASE WHEN r > 0.6::DOUBLE THEN 2 ELSE 1 END AND rr_ratio >= 1.5::DOUBLE AND industry_chg > 0),
+of AS (SELECT code, CAST(row_number() OVER (ORDER BY opportunity_score DESC, code) AS INT) AS position FROM cd WHERE opportunity_score >= 55 AND tail_risk_count = 0 QUALIFY position <= 20),
 wt AS (SELECT code, CAST(row_number() OVER (ORDER BY opportunity_score DESC, code) AS INT) AS position FROM cd WHERE code NOT IN (SELECT code FROM of) QUALIFY position <= 15),
-sel AS (SELECT cd.code, opportunity_score, CASE WHEN of.code IS NOT NULL THEN 'official' WHEN wt.code IS NOT NULL THEN 'watch' ELSE 'other' END AS list, coalesce(of.position, wt.position) AS position,
- of.code IS NOT NULL AND opportunity_score >= 50 AS fast_entry FROM cd LEFT JOIN of ON of.code = cd.code LEFT JOIN wt ON wt.code = cd.code)"""
+sel AS (SELECT cd.code, opportunity_score, tail_risk_count, rr_ratio, CASE WHEN of.code IS NOT NULL THEN 'official' WHEN wt.code IS NOT NULL THEN 'watch' ELSE 'other' END AS list, coalesce(of.position, wt.position) AS position,
+ of.code IS NOT NULL AND opportunity_score >= 85 AS fast_entry FROM cd LEFT JOIN of ON of.code = cd.code LEFT JOIN wt ON wt.code = cd.code)"""
 
 
-def _selected(spark, d, t=None):
-    """Thresholds lowered to what random stand-in prices can reach."""
-    t = _trad(spark, d) if t is None else t
-    mode = cs.market_mode(_hard(spark, d, t))
-    mode = mode.select((F.col("min_score") - 25).alias("min_score"), (F.col("max_tail_risk") + 1).alias("max_tail_risk"))
-    return sc.select_candidates(_scored(spark, d, t), mode, min_rr=0.1, official_score=30, fast=50)
+def _scan(spark, d):
+    return sc.market_scan(_trad(spark, d, scan_universe(spark, d)), partial(materialize, spark))
 
 
-@query("scr_select", with_bindings(f"WITH {_TRAD}, {_SCORE}, {_SELECT} SELECT * FROM sel", "fx_univ"))
+@query("scr_select", with_bindings(f"WITH {_SCAN}, {_SELECT} SELECT * FROM sel", "fx_scan"))
 def scr_select(spark, d):
-    return _selected(spark, d).select("code", "opportunity_score", "list", "position", F.coalesce("fast_entry", F.lit(False)).alias("fast_entry"))
+    chosen, _ = _scan(spark, d)
+    return chosen.select("code", "opportunity_score", "tail_risk_count", "rr_ratio", "list", "position", "fast_entry")
 
 
 @query(
     "scr_funnel",
-    with_bindings(f"WITH {_TRAD}, {_SCORE}, {_SELECT} SELECT (SELECT count(*) FROM tr) AS initial, (SELECT count(*) FROM hard) AS after_hard, count(*) AS candidates, count(CASE WHEN list = 'official' THEN 1 END) AS official FROM sel", "fx_univ"),
+    with_bindings(
+        f"""WITH {_SCAN}, {_SELECT} SELECT (SELECT count(*) FROM tr) AS initial, (SELECT count(*) FROM hard) AS after_hard, (SELECT count(*) FROM liq) AS after_liquidity,
+ (SELECT count(*) FROM trd) AS with_indicators, (SELECT count(*) FROM trd WHERE trend_near) AS after_trend, count(*) AS candidates,
+ count(CASE WHEN list = 'official' THEN 1 END) AS official, count(CASE WHEN list = 'watch' THEN 1 END) AS watch FROM sel""",
+        "fx_scan",
+    ),
 )
 def scr_funnel(spark, d):
-    t = _trad(spark, d)
-    return sc.funnel(t, _hard(spark, d, t), _selected(spark, d, t))
+    return _scan(spark, d)[1]
 
 
 # -- first generation ---------------------------------------------------------------
