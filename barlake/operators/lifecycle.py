@@ -144,18 +144,23 @@ def scan_states(
     return rows.select("entity", F.inline("rows"))
 
 
+def machine(transitions: Mapping[str, Sequence[str]]) -> tuple[list[str], list[list[int]], list[list[bool]]]:
+    """States, state after (event, state), and whether (event, state) is legal; events are named by their target."""
+    names = list(transitions)
+    index = {s: i for i, s in enumerate(names)}
+    table = [[index[to] if to in transitions[s] else index[s] for s in names] for to in names]
+    return names, table, [[to in transitions[s] for s in names] for to in names]
+
+
 def replay(events: DataFrame, transitions: Mapping[str, Sequence[str]], start: str) -> DataFrame:
     """Every event with the state it met, the state it left and whether it was legal.
 
     ``events``: entity, seq, to_state.
     """
-    names = list(transitions)
-    index = {s: i for i, s in enumerate(names)}
-    table = [[index[to] if to in transitions[s] else index[s] for s in names] for to in names]
-    legal = [[to in transitions[s] for s in names] for to in names]
+    names, table, legal = machine(transitions)
     position = F.array_position(F.array(*[F.lit(s) for s in names]), F.col("to_state")) - 1
     op = F.when(position >= 0, position).cast("int")
-    scanned = scan_states(events.select("entity", "seq", op.alias("op")), table, index[start])
+    scanned = scan_states(events.select("entity", "seq", op.alias("op")), table, names.index(start))
     words = F.array(*[F.lit(s) for s in names])
     allowed = F.array(*[F.array(*[F.lit(x) for x in row]) for row in legal])
     j = events.withColumn("_op", op).join(scanned, ["entity", "seq"])

@@ -8,9 +8,56 @@ from barlake.functions.numeric import dbl
 from barlake.operators import lifecycle as lc
 from barlake.plans.bindings import code_of, table, with_bindings
 from barlake.plans.catalog_lifecycle import _ENTRY, _PATH, _at
-from barlake.plans.registry import query
-from barlake.session import scratch_dir
+from barlake.plans.catalog_minutes import _s, cumulative
+from barlake.plans.registry import ORACLES, query
+from barlake.session import materialize, scratch_dir
 from barlake.streaming import jobs
+from barlake.streaming import ordered as od
+
+#: An instant after all rows: with it the input ends.
+END = "9000-01-01"
+
+
+def run_lifecycle(events, path, block, delay, closing=True):
+    """Entry states of a stream of (entity, seq, to_state, ts) in the order of ``seq``, which rises with ``ts``."""
+    names, table, legal = lc.machine(lc.ENTRY_TRANSITIONS)
+
+    def job(where):
+        return od.closed_blocks(od.with_end_marks(events, "ts", where), "entity", "ts", block, ["seq"], ["to_state"], delay)
+
+    summary = od.machine_summary(names, table)
+    view = od.run_ordered(job, "entity", "ts", summary, "state", names.index(lc.ENTRY_START), END, path, closing)
+    return od.machine_view(view, names, table, legal)
+
+
+def run_health(calls, path, block, delay, closing=True):
+    """Cool-downs of a stream of (source, seq, ts, ok)."""
+
+    def job(where):
+        return od.closed_blocks(od.with_end_marks(calls, "ts", where), "source", "ts", block, ["ts", "seq"], ["ok"], delay)
+
+    return od.health_view(od.run_ordered(job, "source", "ts", od.failure_summary(), "failures", 0, END, path, closing))
+
+
+def run_increments(rows, path, block, delay, closing=True):
+    """Bars of a stream of cumulative rows (code, trade_date, ts, price, volume, amount), a key for each code and day."""
+    wide = "decimal(28,4)"
+    rows = rows.select(
+        F.struct("code", "trade_date").alias("who"), F.col("ts").cast("timestamp").alias("ts"),
+        F.col("price").cast(wide).alias("price"), F.col("volume").cast("bigint").alias("volume"), F.col("amount").cast(wide).alias("amount"),
+    )
+    rows = rows.withColumn("key", F.concat_ws("|", "who.code", F.col("who.trade_date").cast("string"))).drop("who")
+
+    def job(where):
+        return od.closed_blocks(od.with_end_marks(rows, "ts", where), "key", "ts", block, ["ts"], ["price", "volume", "amount"], delay)
+
+    view = od.run_ordered(job, "key", "ts", od.last_summary(["price", "volume", "amount"]), "last", None, END, path, closing)
+    bars = od.increments_view(view, "key", "ts", "price", ["volume", "amount"])
+    return bars.select(
+        F.substring_index("key", "|", 1).alias("code"), F.substring_index("key", "|", -1).alias("trade_date"), F.col("ts").cast("timestamp_ntz").alias("ts"),
+        F.col("prev_price").alias("open"), F.greatest("prev_price", "price").alias("high"), F.least("prev_price", "price").alias("low"),
+        F.col("price").alias("close"), F.col("d_volume").alias("volume"), F.col("d_amount").alias("amount"), F.col("volume").alias("cum_volume"),
+    )
 
 
 def _stream(spark, d, name):
@@ -33,14 +80,14 @@ def _ticks(spark, d):
 @query(
     "strm_minutes",
     with_bindings(
-        """SELECT code, CAST(ts_min AS VARCHAR) AS ts_min, CAST(open AS DOUBLE) AS open, CAST(high AS DOUBLE) AS high, CAST(low AS DOUBLE) AS low, CAST(close AS DOUBLE) AS close, volume, CAST(amount AS DOUBLE) AS amount FROM fx_minutes
-WHERE ts_min + INTERVAL 1 MINUTE <= (SELECT date_trunc('milliseconds', max(ts)) FROM events) - INTERVAL 10 MINUTE""",
+        """SELECT code, CAST(ts_min AS VARCHAR) AS ts_min, CAST(open AS DOUBLE) AS open, CAST(high AS DOUBLE) AS high, CAST(low AS DOUBLE) AS low, CAST(close AS DOUBLE) AS close, volume, CAST(amount AS DOUBLE) AS amount FROM fx_minutes""",
         "fx_minutes",
     ),
 )
 def strm_minutes(spark, d):
     path = scratch_dir(spark, "strm-minutes")
-    jobs.run_available(jobs.minute_bars(_ticks(spark, d)), path)
+    job = lambda: jobs.minute_bars(od.with_end_marks(_ticks(spark, d), "ts", path))
+    od.run_to_end(job, "ts", END, path)
     out = spark.read.parquet(f"{path}/data")
     return out.select(
         "code", F.col("ts_min").cast("string").alias("ts_min"), *[dbl(c).alias(c) for c in ("open", "high", "low", "close")], "volume", dbl("amount").alias("amount")
@@ -73,12 +120,12 @@ def strm_late(spark, d):
 @query(
     "strm_quality",
     with_bindings(
-        """WITH t AS (SELECT code, trade_date, CAST(least(greatest(m - 570, 0), 120) + least(greatest(m - 780, 0), 120) AS INT) AS i FROM fx_sticks WHERE code <> '000000'),
+        """WITH t AS (SELECT code, trade_date, CAST(least(greatest(m - 570, 0), 120) + least(greatest(m - 780, 0), 120) AS INT) AS i FROM fx_sticks),
 g AS (SELECT *, CASE WHEN i - lag(i) OVER w > 2 OR lag(i) OVER w IS NULL THEN 1 ELSE 0 END AS b FROM t WINDOW w AS (PARTITION BY code, trade_date ORDER BY i)),
 s AS (SELECT *, sum(b) OVER (PARTITION BY code, trade_date ORDER BY i ROWS UNBOUNDED PRECEDING) AS sid FROM (SELECT *, row_number() OVER (PARTITION BY code, trade_date ORDER BY i, b DESC) AS rn FROM g)),
 x AS (SELECT code, CAST(trade_date AS TIMESTAMP) + to_minutes(CAST(min(i) AS INT)) AS f, CAST(trade_date AS TIMESTAMP) + to_minutes(CAST(max(i) AS INT)) AS l, count(*) AS ticks FROM
   (SELECT g.code, g.trade_date, g.i, (SELECT count(DISTINCT h.i) FROM g h WHERE h.code = g.code AND h.trade_date = g.trade_date AND h.b = 1 AND h.i <= g.i) AS sid FROM g) GROUP BY code, trade_date, sid)
-SELECT code, CAST(f AS VARCHAR) AS first_ts, CAST(l AS VARCHAR) AS last_ts, ticks FROM x WHERE l + INTERVAL 120 SECOND < (SELECT max(CAST(trade_date AS TIMESTAMP) + to_minutes(i)) FROM t) - INTERVAL 10 MINUTE""",
+SELECT code, CAST(f AS VARCHAR) AS first_ts, CAST(l AS VARCHAR) AS last_ts, ticks FROM x""",
         "fx_sticks",
     ),
 )
@@ -89,11 +136,11 @@ def strm_quality(spark, d):
     idx = F.floor((F.hour("ts") * 3600 + F.minute("ts") * 60 + F.floor(F.second("ts"))) * 242 / 86400).cast("int")
     m = F.when(idx <= 120, idx + 570).otherwise(idx - 121 + 780)
     day = F.to_date(F.date_trunc("week", "ts")).cast("timestamp_ntz")
-    ticks = ev.where(u >= 5).select(
-        code_of(u).alias("code"), (day + F.make_dt_interval(F.lit(0), F.lit(0), m)).alias("session_ts")
+    ticks = ev.select(
+        code_of(F.when(u < 5, 0).otherwise(u)).alias("code"), (day + F.make_dt_interval(F.lit(0), F.lit(0), m)).alias("session_ts")
     )
     ticks = ticks.select("code", jobs.trading_axis(F.col("session_ts")).alias("ts"))
-    jobs.run_available(jobs.activity_sessions(ticks), path)
+    od.run_to_end(lambda: jobs.activity_sessions(od.with_end_marks(ticks, "ts", path)), "ts", END, path)
     out = spark.read.parquet(f"{path}/data")
     return out.select("code", F.col("first_ts").cast("string").alias("first_ts"), F.col("last_ts").cast("string").alias("last_ts"), "ticks")
 
@@ -107,8 +154,9 @@ def strm_lifecycle(spark, d):
     ev = _stream(spark, d, "conversations").select(
         e.alias("entity"), n.alias("seq"), F.when((e + n) % 4 == 3, jump).otherwise(step).alias("to_state")
     )
-    jobs.run_keyed(spark, jobs.replay_stream(ev, lc.ENTRY_TRANSITIONS, lc.ENTRY_START), path)
-    return spark.read.parquet(f"{path}/data")
+    # a turn counts as a second; a block has eight turns
+    ev = ev.withColumn("ts", F.timestamp_seconds("seq"))
+    return run_lifecycle(ev, path, "8 seconds", "1 hour")
 
 
 @query(
@@ -128,5 +176,20 @@ def strm_health(spark, d):
         F.col("o_orderdate").cast("timestamp").alias("ts"),
         (F.col("o_orderstatus") != "F").alias("ok"),
     )
-    jobs.run_keyed(spark, jobs.health_stream(calls), path)
-    return spark.read.parquet(f"{path}/data").withColumn("disabled_until", F.col("disabled_until").cast("string"))
+    return run_health(calls, path, "7 days", "1 day").withColumn("disabled_until", F.col("disabled_until").cast("string"))
+
+
+@query(
+    "strm_increments",
+    ORACLES["min_to_ohlcv"],
+)
+def strm_increments(spark, d):
+    """The cumulative rows of the minute feed, read as a stream."""
+    path = scratch_dir(spark, "strm-increments")
+    feed = materialize(spark, cumulative(spark, d), "cumulative-feed")
+    rows = spark.readStream.schema(feed.schema).parquet(feed.inputFiles()[0].rsplit("/", 1)[0])
+    out = run_increments(rows, path, "1 hour", "1 day")
+    out = out.select("code", "trade_date", "ts", "open", "high", "low", "close", "volume", "amount", "cum_volume")
+    for c in ("open", "high", "low", "close", "amount"):
+        out = out.withColumn(c, dbl(c))
+    return _s(out, "ts")

@@ -6,20 +6,17 @@ a production deployment starts the same query with a processing-time trigger.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barlake.functions import session_time as st
-from barlake.streaming import processors
-
-# The state handlers travel with the job instead of being imported on the executors.
-cloudpickle.register_pickle_by_value(processors)
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+#: The column that tells an end mark from a row.
+MARK = "_end_mark"
 
 
 def file_stream(spark: SparkSession, folder: str, pattern: str, schema, files_per_trigger: int | None = None) -> DataFrame:
@@ -55,10 +52,17 @@ def run_keyed(spark: SparkSession, stream: DataFrame, path: str) -> None:
 # -- minutes ---------------------------------------------------------------------
 
 
+def watermarked(rows: DataFrame, ts: str, delay: str) -> DataFrame:
+    """Rows behind a watermark; end marks (``ordered.with_end_marks``) move it and go no further."""
+    marked = rows.withWatermark(ts, delay)
+    # a mark has a time; a condition on the time itself is never moved below the watermark
+    return marked.where(~F.col(MARK) | F.col(ts).isNull()).drop(MARK) if MARK in rows.columns else marked
+
+
 def minute_bars(ticks: DataFrame, delay: str = "10 minutes") -> DataFrame:
     """Tumbling one-minute OHLCV per code; a minute is emitted once the watermark has passed it."""
     return (
-        ticks.withWatermark("ts", delay)
+        watermarked(ticks, "ts", delay)
         .groupBy(F.window("ts", "1 minute").alias("w"), "code")
         .agg(
             F.min_by("price", "seq").alias("open"),
@@ -86,7 +90,7 @@ def activity_sessions(ticks: DataFrame, max_gap_minutes: int = 2, delay: str = "
     """
     gap = f"{max_gap_minutes * 60} seconds 1 microsecond"
     return (
-        ticks.withWatermark("ts", delay)
+        watermarked(ticks, "ts", delay)
         .groupBy(F.session_window("ts", gap).alias("w"), "code")
         .agg(F.count(F.lit(1)).alias("ticks"), F.max("ts").alias("last_ts"))
         .select("code", F.col("w.start").alias("first_ts"), "last_ts", "ticks")
@@ -130,26 +134,3 @@ def run_newest(stream: DataFrame, path: str, keys: Sequence[str]) -> None:
 def newest_view(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
     rows = spark.read.parquet(f"{path}/data")
     return rows.groupBy(*keys).agg(F.max(F.struct("generated_at", "run_id")).alias("b")).select(*keys, "b.generated_at", "b.run_id")
-
-
-# -- keyed state -----------------------------------------------------------------
-
-
-def replay_stream(events: DataFrame, transitions: Mapping[str, Sequence[str]], start: str) -> DataFrame:
-    """State machine over a stream of (entity, seq, to_state)."""
-    return events.groupBy("entity").transformWithStateInPandas(
-        statefulProcessor=processors.ReplayProcessor(dict(transitions), start),
-        outputStructType=processors.REPLAY_OUTPUT,
-        outputMode="Append",
-        timeMode="None",
-    )
-
-
-def health_stream(calls: DataFrame, threshold: int = 3, cooldown: int = 300) -> DataFrame:
-    """Cool-down events of sources from a stream of (source, seq, ts, ok)."""
-    return calls.groupBy("source").transformWithStateInPandas(
-        statefulProcessor=processors.HealthProcessor(threshold, cooldown),
-        outputStructType=processors.HEALTH_OUTPUT,
-        outputMode="Append",
-        timeMode="None",
-    )
