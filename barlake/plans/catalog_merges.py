@@ -62,7 +62,7 @@ def jn_live_reference(spark, d):
 @query(
     "jn_bse_merge",
     with_bindings(
-        """WITH a AS (SELECT code, market, name, 0 AS o FROM fx_snapshot WHERE k % 3 <> 0), b AS (SELECT code, 'bj' AS market, name || '!' AS name, 1 AS o FROM fx_snapshot WHERE k % 2 = 0)
+        """WITH a AS (SELECT code, market, name, 0 AS o FROM fx_snapshot WHERE k % 3 <> 0), b AS (SELECT code, 'bj' AS market, name || '!' AS name, 1 AS o FROM fx_snapshot WHERE k % 2 = 0 OR k % 3 = 0)
 SELECT code, market, name FROM (SELECT * FROM a UNION ALL SELECT * FROM b) QUALIFY row_number() OVER (PARTITION BY code ORDER BY o DESC) = 1""",
         "fx_snapshot",
     ),
@@ -70,7 +70,7 @@ SELECT code, market, name FROM (SELECT * FROM a UNION ALL SELECT * FROM b) QUALI
 def jn_bse_merge(spark, d):
     s = snapshot(spark, d)
     a = s.where(F.col("k") % 3 != 0).select("code", "market", "name")
-    b = s.where(F.col("k") % 2 == 0).select("code", F.concat("name", F.lit("!")).alias("name"))
+    b = s.where("k % 2 = 0 OR k % 3 = 0").select("code", F.concat("name", F.lit("!")).alias("name"))
     return mg.segment_merge(a, b).select("code", "market", "name")
 
 
@@ -108,14 +108,14 @@ def jn_refresh_expectation(spark, d):
     "jn_carry_forward",
     with_bindings(
         """SELECT code, CASE WHEN k % 3 = 0 THEN 0 ELSE CAST(volume AS DOUBLE) END AS volume, CASE WHEN k % 3 = 0 THEN '' ELSE '10:00' END AS quote_time, CASE WHEN k % 3 = 0 THEN coalesce(CASE WHEN k % 2 = 0 THEN source END, 'suspended') ELSE source END AS source,
- k % 3 = 0 AS is_carried FROM fx_snapshot WHERE k % 3 <> 0 OR k % 5 <> 0""",
+ k % 3 = 0 AS is_carried FROM fx_snapshot""",
         "fx_snapshot",
     ),
 )
 def jn_carry_forward(spark, d):
     s = snapshot(spark, d).select("code", "k", dbl("volume").alias("volume"), F.lit("10:00").alias("quote_time"), "source")
     cur = s.where(F.col("k") % 3 != 0)
-    prev = s.where(F.col("k") % 5 != 0).withColumn("source", F.when(F.col("k") % 2 == 0, F.col("source")))
+    prev = s.where("k % 5 <> 0 OR k % 3 = 0").withColumn("source", F.when(F.col("k") % 2 == 0, F.col("source")))
     return mg.carry_forward(cur.drop("k"), prev.drop("k"), "T").drop("observed_at")
 
 
@@ -189,13 +189,13 @@ def jn_class_enrich(spark, d):
 @query(
     "jn_class_accumulate",
     with_bindings(
-        """SELECT code, CASE WHEN k % 3 = 0 THEN industry ELSE 'N-' || industry END AS industry FROM fx_dims WHERE k % 3 = 0 OR k % 2 = 0""", "fx_dims"
+        """SELECT code, CASE WHEN k % 3 = 0 THEN industry ELSE 'N-' || industry END AS industry FROM fx_dims""", "fx_dims"
     ),
 )
 def jn_class_accumulate(spark, d):
     s = dims(spark, d)
     old = s.where(F.col("k") % 3 == 0).select("code", "industry")
-    new = s.where(F.col("k") % 2 == 0).select(F.col("k").alias("seq"), "code", F.concat(F.lit("N-"), F.col("industry")).alias("industry"))
+    new = s.where("k % 3 <> 0 OR k % 2 = 0").select(F.col("k").alias("seq"), "code", F.concat(F.lit("N-"), F.col("industry")).alias("industry"))
     twice = new.unionByName(new.select((F.col("seq") + 1000000).alias("seq"), "code", F.lit("late").alias("industry")))
     return mg.insert_only(old, twice, "seq")
 
@@ -215,14 +215,14 @@ def jn_class_coverage(spark, d):
 @query(
     "jn_supply_chain",
     """WITH e AS (SELECT p_brand AS theme, printf('%06d', CAST(p_partkey AS BIGINT)) AS code, p_type AS role FROM part WHERE p_partkey % 2 = 0),
-n AS (SELECT 'T' || p_size AS theme, printf('%06d', CAST(p_partkey AS BIGINT)) AS code, '' AS role FROM part WHERE p_partkey % 5 = 0)
+n AS (SELECT 'T' || p_size AS theme, printf('%06d', CAST(p_partkey AS BIGINT)) AS code, '' AS role FROM part WHERE p_partkey % 2 = 1 OR p_partkey % 5 = 0)
 SELECT * FROM e UNION ALL SELECT * FROM n WHERE code NOT IN (SELECT code FROM e)""",
 )
 def jn_supply_chain(spark, d):
     p = table(spark, d, "part")
     code = code_of(F.col("p_partkey")).alias("code")
     old = p.where("p_partkey % 2 = 0").select(F.col("p_brand").alias("theme"), code, F.col("p_type").alias("role"))
-    new = p.where("p_partkey % 5 = 0").select(F.col("p_partkey").alias("seq"), F.concat(F.lit("T"), F.col("p_size").cast("string")).alias("theme"), code)
+    new = p.where("p_partkey % 2 = 1 OR p_partkey % 5 = 0").select(F.col("p_partkey").alias("seq"), F.concat(F.lit("T"), F.col("p_size").cast("string")).alias("theme"), code)
     return mg.supply_chain_merge(old, new, "seq")
 
 
@@ -340,15 +340,15 @@ def jn_bars_upsert(spark, d):
 @query(
     "jn_minutes_upsert",
     with_bindings(
-        """SELECT code, CAST(ts_min AS VARCHAR) AS ts, CASE WHEN mod % 3 = 0 THEN CAST(close AS DOUBLE) + 1 ELSE CAST(close AS DOUBLE) END AS price FROM fx_minutes WHERE mod % 2 = 0 OR mod % 3 = 0""",
+        """SELECT code, CAST(ts_min AS VARCHAR) AS ts, CASE WHEN mod % 2 = 1 OR mod % 3 = 0 THEN CAST(close AS DOUBLE) + 1 ELSE CAST(close AS DOUBLE) END AS price FROM fx_minutes""",
         "fx_minutes",
     ),
 )
 def jn_minutes_upsert(spark, d):
     m = minutes(spark, d).select("code", F.col("ts_min").alias("ts"), dbl("close").alias("price"), (F.hour("ts_min") * 60 + F.minute("ts_min")).alias("m"))
     old = m.where(F.col("m") % 2 == 0).select("code", "ts", "price", F.lit(5).alias("seq"))
-    new = m.where(F.col("m") % 3 == 0).select("code", "ts", (F.col("price") + 1).alias("price"), F.lit(2).alias("seq"))
-    first = m.where(F.col("m") % 3 == 0).select("code", "ts", (F.col("price") + 9).alias("price"), F.lit(1).alias("seq"))
+    new = m.where("m % 2 = 1 OR m % 3 = 0").select("code", "ts", (F.col("price") + 1).alias("price"), F.lit(2).alias("seq"))
+    first = m.where("m % 2 = 1 OR m % 3 = 0").select("code", "ts", (F.col("price") + 9).alias("price"), F.lit(1).alias("seq"))
     out = mg.upsert_minutes(old, new.unionByName(first), "seq")
     return out.select("code", F.col("ts").cast("string").alias("ts"), "price")
 
