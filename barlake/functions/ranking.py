@@ -10,6 +10,8 @@ only; the result is exact for any edges.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -70,6 +72,49 @@ def exact_median(df: DataFrame, keys: list[str], value: str, out: str) -> DataFr
     return pos.where(low | high).groupBy(*keys).agg((both / 2).alias(out))
 
 
+def leading_bytes(text: Column, n: int = 6) -> Column:
+    """The first bytes of a text as a number that never falls when the text rises in byte order."""
+    digits = F.rpad(F.substring(F.hex(F.encode(text, "UTF-8")), 1, 2 * n), 2 * n, "0")
+    return F.conv(digits, 16, 10).cast("double")
+
+
+def binned_row_number(df: DataFrame, keys: list[str], lead: Column, second: Column, order: list[Column], out: str, bins: int = BINS) -> DataFrame:
+    """``out`` = exact row number within ``keys`` by ``order``, without ordering a whole key in one task.
+
+    ``lead`` and ``second`` are numbers that never fall along ``order`` (``second``
+    only among rows with equal ``lead``).  Sketched edges cut a key into bins that
+    follow each other; a value that is an edge itself has a bin of its own, cut
+    again by ``second``, so that a very frequent value is spread too.  Edges steer
+    balance only.
+    """
+    cuts = [i / bins for i in range(1, bins)]
+    staged = df.withColumns({"_lead": lead, "_second": second})
+    edges = staged.groupBy(*keys).agg(
+        F.array_distinct(F.percentile_approx("_lead", cuts, 1000)).alias("_e1"), F.percentile_approx("_second", cuts, 1000).alias("_e2")
+    )
+    edges = edges.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "_e1", "_e2")
+    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)])
+    alone = F.array_contains("_e1", F.col("_lead"))
+    below = lambda e, v: F.size(F.filter(e, lambda x: x < F.col(v)))
+    binned = staged.join(edges, same).withColumns(
+        {
+            "_b1": 2 * below("_e1", "_lead") + F.when(alone, 1).otherwise(0),
+            "_b2": F.when(alone, below("_e2", "_second")).otherwise(0),
+        }
+    )
+    binned = binned.select(*df.columns, "_b1", "_b2")
+    # at most 2 * bins * bins rows per key are ordered here
+    before = Window.partitionBy(*keys).orderBy("_b1", "_b2").rowsBetween(Window.unboundedPreceding, -1)
+    totals = binned.groupBy(*keys, "_b1", "_b2").agg(F.count(F.lit(1)).alias("_n"))
+    totals = totals.select(
+        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_b1").alias("_c1"), F.col("_b2").alias("_c2"),
+        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
+    )
+    inside = F.row_number().over(Window.partitionBy(*keys, "_b1", "_b2").orderBy(*order))
+    rows = binned.withColumn("_inside", inside).join(totals, same & (F.col("_b1") == F.col("_c1")) & (F.col("_b2") == F.col("_c2")))
+    return rows.select(*df.columns, (F.col("_before") + F.col("_inside")).cast("int").alias(out))
+
+
 def latest_per_key(df: DataFrame, keys: list[str], order: list[Column], keep: int = 1, rn: str = "_rn") -> DataFrame:
     """At most ``keep`` rows per key, best first.
 

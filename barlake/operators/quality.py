@@ -8,10 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barlake.functions import session_time as st
-from barlake.functions.numeric import blank_to_null, count_if, flag_list, num, present
+from barlake.functions.numeric import blank_to_null, count_if, dbl, flag_list, null0, num, present
 from barlake.functions.ranking import attach_row
 from barlake.functions.text import CODE_PATTERN, MARKETS, neutral_text
-from barlake.operators.crosssection import exact_avg
 
 # Audited columns and limits.
 AUDITED_FIELDS = (
@@ -416,36 +415,70 @@ def refresh_plan(cache: DataFrame, observed_at: str, lookback: int, trading: boo
     )
 
 
+#: A call log is merged by these units of time, then over all time: no row gathers more than a day's minutes or a year's days.
+HEALTH_LEVELS = ("minute", "day", "year", None)
+
+
+def _run_after_success(items: Column) -> Column:
+    """(has, tail, last) of summaries in order: any success, failures after the last one, rows of the last one."""
+    kind = "struct<has:boolean,tail:bigint,last:bigint>"
+
+    def step(acc: Column, x: Column) -> Column:
+        return F.struct(
+            (acc["has"] | x["has"]).alias("has"),
+            F.when(x["has"], x["tail"]).otherwise(acc["tail"] + x["tail"]).alias("tail"),
+            F.when(x["has"], x["last"]).otherwise(acc["last"]).alias("last"),
+        ).cast(kind)
+
+    init = F.struct(F.lit(False).alias("has"), F.lit(0).alias("tail"), F.lit(None).alias("last")).cast(kind)
+    return F.aggregate(items, init, step)
+
+
 def source_health(calls: DataFrame, now: str, threshold: int = 3, cooldown: int = 300) -> DataFrame:
-    """Health per source from a call log (source, ts, seq, ok, rows).
+    """Health per source from a call log (source, ts, seq, ok, rows), read once.
 
-    With few sources every source owns a large share of the log, so nothing is
-    ordered per source: the last success is found with one aggregate, and the
-    failures after it are counted with a second one.
+    Failures after the last success compose: of two neighbouring stretches of the
+    log the later one decides if it has a success, else the failures add up.  So
+    the log is reduced minute by minute and the minutes' summaries are merged
+    level by level; a source that owns most of the log is spread over its minutes.
     """
-    order = F.struct("ts", "seq")
-    last_ok = calls.where(F.col("ok")).groupBy("source").agg(F.max(order).alias("_lo"))
-    base = calls.groupBy("source").agg(
-        count_if(F.col("ok")).alias("successes"),
-        count_if(~F.col("ok")).alias("total_failures"),
-        F.max_by(F.when(F.col("ok"), F.col("rows")), F.when(F.col("ok"), order)).alias("last_rows"),
-        exact_avg(F.when(F.col("ok"), F.col("rows"))).alias("avg_rows"),
-        F.max(F.when(F.col("ok"), F.col("ts"))).alias("last_success_at"),
-        F.max(F.when(~F.col("ok"), F.col("ts"))).alias("last_failure_at"),
+    ok = F.coalesce("ok", F.lit(False))
+    level = calls.select(
+        "source",
+        F.col("ts").alias("at"),
+        F.struct(F.col("ts").cast("timestamp_ntz").alias("t"), F.col("seq").cast("bigint").alias("n")).alias("o"),
+        F.struct(ok.alias("has"), F.when(ok, 0).otherwise(1).cast("bigint").alias("tail"), F.when(ok, F.col("rows")).cast("bigint").alias("last")).alias("s"),
+        F.when(ok, 1).otherwise(0).cast("bigint").alias("successes"),
+        F.when(~ok, 1).otherwise(0).cast("bigint").alias("total_failures"),
+        F.when(ok, F.col("rows")).cast("decimal(28,10)").alias("sum_rows"),
+        F.when(ok & F.col("rows").isNotNull(), 1).otherwise(0).cast("bigint").alias("n_rows"),
+        F.when(ok, F.col("ts")).alias("last_success_at"),
+        F.when(~ok, F.col("ts")).alias("last_failure_at"),
     )
-    after = calls.join(last_ok, "source", "left").where(~F.col("ok") & (F.col("_lo").isNull() | (order > F.col("_lo"))))
-    run = after.groupBy("source").agg(F.count(F.lit(1)).alias("failures"), F.max("ts").alias("_lf"))
+    for unit in HEALTH_LEVELS:
+        keys = ["source"] if unit is None else ["source", F.date_trunc(unit, "at").alias("at")]
+        level = (
+            level.groupBy(*keys)
+            .agg(
+                F.array_sort(F.collect_list(F.struct("o", "s"))).alias("items"),
+                *[F.sum(c).alias(c) for c in ("successes", "total_failures", "sum_rows", "n_rows")],
+                *[F.max(c).alias(c) for c in ("last_success_at", "last_failure_at")],
+            )
+            .withColumns({"s": _run_after_success(F.transform("items", lambda x: x["s"])), "o": F.element_at("items", -1)["o"]})
+            .drop("items")
+        )
     t = st.ntz(now)
-    j = base.join(run, "source", "left").withColumn("failures", F.coalesce("failures", F.lit(0)))
-    left = cooldown - (F.unix_timestamp(t.cast("timestamp")) - F.unix_timestamp(F.col("_lf").cast("timestamp")))
-    off = (F.col("failures") >= threshold) & (left > 0)
-    return j.select(
+    failures = F.col("s.tail")
+    # the last failures in a row include the latest one
+    left = cooldown - (F.unix_timestamp(t.cast("timestamp")) - F.unix_timestamp(F.col("last_failure_at").cast("timestamp")))
+    off = (failures >= threshold) & (left > 0)
+    return level.select(
         "source",
         "successes",
-        "failures",
+        failures.alias("failures"),
         "total_failures",
-        F.coalesce("last_rows", F.lit(0)).alias("last_rows"),
-        F.coalesce("avg_rows", F.lit(0.0)).alias("avg_rows"),
+        F.coalesce("s.last", F.lit(0)).alias("last_rows"),
+        F.coalesce(dbl(F.col("sum_rows")) / null0(F.col("n_rows")), F.lit(0.0)).alias("avg_rows"),
         F.coalesce(off, F.lit(False)).alias("disabled"),
         F.when(off, left).otherwise(0).cast("bigint").alias("cooldown_remaining_seconds"),
         "last_success_at",

@@ -23,7 +23,7 @@ from barlake.functions.numeric import (
     tick_ceil,
     tick_floor,
 )
-from barlake.functions.ranking import attach_row
+from barlake.functions.ranking import attach_row, binned_row_number, leading_bytes
 from barlake.functions.text import BOARD_BSE, BOARD_CHINEXT, BOARD_STAR, board_of
 from barlake.operators.crosssection import industry_change, market_mode
 
@@ -766,16 +766,17 @@ def rank_substitutes(df: DataFrame, keys: list[str], top: int | None = None) ->
     """Candidates of one profile and date: quality down, tail risk up, reward / risk down, code up.
 
     Unknown words rank worst.  ``top`` limits the report, and with it the rows
-    that reach the ordering task of a large group.
+    that reach the ordering task of a group; a full ranking is numbered in bins.
     """
-    w = Window.partitionBy(*keys).orderBy(
-        _rank("opportunity_quality", QUALITY_RANK, 0).desc(),
-        _rank("tail_risk", RISK_RANK, 2).asc(),
-        F.coalesce(dbl("reward_risk_ratio"), F.lit(0.0)).desc(),
-        F.coalesce("code", F.lit("999999")),
-    )
-    ranked = df.withColumn("position", F.row_number().over(w))
-    return ranked if top is None else ranked.where(F.col("position") <= top)
+    quality, risk = _rank("opportunity_quality", QUALITY_RANK, 0), _rank("tail_risk", RISK_RANK, 2)
+    ratio, code = F.coalesce(dbl("reward_risk_ratio"), F.lit(0.0)), F.coalesce("code", F.lit("999999"))
+    order = [quality.desc(), risk.asc(), ratio.desc(), code]
+    if top is not None:
+        ranked = df.withColumn("position", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+        return ranked.where(F.col("position") <= top)
+    # the words make a class, a falling ratio a rising number between 0 and 1
+    lead = (max(QUALITY_RANK.values()) - quality) * len(RISK_RANK) + risk + (F.lit(0.5) - F.atan(ratio) / F.pi())
+    return binned_row_number(df, keys, lead, leading_bytes(code), order, "position")
 
 
 def migrate_records(raw: DataFrame, schema: str) -> DataFrame:

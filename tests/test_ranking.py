@@ -1,7 +1,9 @@
 import random
 import statistics
 
-from barlake.functions.ranking import exact_median, percent_rank_average, value_positions
+from pyspark.sql import functions as F
+
+from barlake.functions.ranking import binned_row_number, exact_median, leading_bytes, percent_rank_average, value_positions
 
 
 def data(spark, hot=600):
@@ -32,3 +34,25 @@ def test_median_and_rank(spark):
 def test_median_without_keys(spark):
     df = spark.createDataFrame([(float(x),) for x in (4, 1, 3, 2)], "v double")
     assert exact_median(df, [], "v", "m").collect()[0].m == 2.5
+
+
+def test_binned_row_number_equals_a_window(spark):
+    rnd = random.Random(5)
+    rows = [("a" if rnd.random() < 0.9 else None, rnd.choice([0.0] * 8 + [rnd.uniform(-9, 9) for _ in range(4)]), f"{rnd.randrange(4000):06d}") for _ in range(3000)]
+    rows = [(k, v, c, i) for i, (k, v, c) in enumerate(rows)]
+    df = spark.createDataFrame(rows, "key string, v double, code string, tie long").repartition(4)
+    order = [F.col("v").desc(), F.col("code"), F.col("tie")]
+    lead = F.lit(0.5) - F.atan("v") / F.pi()
+    got = binned_row_number(df, ["key"], lead, leading_bytes(F.col("code")), order, "n", bins=8)
+    want = {}
+    for key in ("a", None):
+        for n, r in enumerate(sorted((r for r in rows if r[0] == key), key=lambda r: (-r[1], r[2], r[3])), 1):
+            want[r[3]] = n
+    assert {r.tie: r.n for r in got.collect()} == want
+    assert binned_row_number(df.limit(0), ["key"], lead, leading_bytes(F.col("code")), order, "n").count() == 0
+
+
+def test_leading_bytes_keep_the_order(spark):
+    texts = sorted(["", "a", "ab", "abcdefgh", "abcdefgi", "b", "é", "中", "0", "000001"], key=str.encode)
+    got = [r.x for r in spark.createDataFrame([(t,) for t in texts], "t string").select("t", leading_bytes(F.col("t")).alias("x")).collect()]
+    assert got == sorted(got) and got[1] < got[-1]
