@@ -385,52 +385,130 @@ def reusable_snapshot(snapshots: DataFrame, keys: Sequence[str], now: str, fresh
     return newest.select(*keys, "created_at", F.coalesce(ok, F.lit(False)).alias("reuse"))
 
 
-def fulfil_requests(requests: DataFrame, indicators: DataFrame, minutes: DataFrame) -> DataFrame:
-    """One row per requested code and scope with its data or an error.
+#: Minutes of a bin of the interval join.
+BIN_MINUTES = 30
+MAX_LOOKBACK = 250
+DAILY_FIELDS = {
+    "ma": ("ma5", "ma10", "ma20", "ma60", "ma120", "ma250"),
+    "rsi": ("rsi14",),
+    "macd": ("macd_dif", "macd_dea", "macd_hist"),
+    "atr": ("atr14", "atr14_pct"),
+}
 
-    ``requests``: request_id, codes, has_daily, has_minute, start, end.
-    ``indicators``: one record per code.  ``minutes``: code, time (HH:MM),
-    cumulative volume in shares and amount of the current date.
+
+def _minute_of(hhmm: Column) -> Column:
+    return F.left(hhmm, F.lit(2)).cast("int") * 60 + F.right(hhmm, F.lit(2)).cast("int")
+
+
+def interval_facts(asks: DataFrame, minutes: DataFrame) -> DataFrame:
+    """(ask, n, volume, amount) of every interval that holds minutes: their number and the last cumulative values.
+
+    ``asks``: ask, code, date, low, high (minutes of the day, inclusive).
+    ``minutes``: code, date, minute, price, volume, amount, unique per minute.
+    Minutes are summed up in bins; an interval reads the sums of the bins that it
+    covers and single minutes of the bins at its two ends only.
+    """
+    binned = minutes.withColumn("bin", F.floor(F.col("minute") / BIN_MINUTES))
+    sums = binned.groupBy("code", "date", "bin").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.max("minute").alias("minute"),
+        F.max_by("volume", "minute").alias("volume"),
+        F.max_by("amount", "minute").alias("amount"),
+    )
+    bins = F.sequence(F.floor(F.col("low") / BIN_MINUTES), F.floor(F.col("high") / BIN_MINUTES))
+    cut = asks.where("low <= high").select("*", F.explode(bins).alias("bin"))
+    first = F.col("bin") * BIN_MINUTES
+    covered = (first >= F.col("low")) & (first + BIN_MINUTES - 1 <= F.col("high"))
+    keys = ["code", "date", "bin"]
+    values = ["ask", "n", "minute", "volume", "amount"]
+    inner = cut.where(covered).join(sums, keys).select(values)
+    ends = cut.where(~covered).join(binned, keys).where(F.col("minute").between(F.col("low"), F.col("high")))
+    parts = inner.unionByName(ends.withColumn("n", F.lit(1).cast("bigint")).select(values))
+    return parts.groupBy("ask").agg(
+        F.sum("n").alias("n"), F.max_by("volume", "minute").alias("volume"), F.max_by("amount", "minute").alias("amount")
+    )
+
+
+def interval_rows(asks: DataFrame, minutes: DataFrame) -> DataFrame:
+    """(ask, raw): the minutes of every interval in order, at most a day's."""
+    binned = minutes.withColumn("bin", F.floor(F.col("minute") / BIN_MINUTES))
+    bins = F.sequence(F.floor(F.col("low") / BIN_MINUTES), F.floor(F.col("high") / BIN_MINUTES))
+    hits = asks.where("low <= high").select("*", F.explode(bins).alias("bin")).join(binned, ["code", "date", "bin"])
+    hits = hits.where(F.col("minute").between(F.col("low"), F.col("high")))
+    item = F.struct("minute", "price", "volume", "amount")
+    return hits.groupBy("ask").agg(F.array_sort(F.collect_list(item)).alias("minute_raw"))
+
+
+def fulfil_requests(
+    requests: DataFrame, indicators: DataFrame, bars: DataFrame, minutes: DataFrame, today: str | None = None
+) -> DataFrame:
+    """One row per requested code and scope: what its fields ask for, or an error.
+
+    ``requests``: request_id, codes, daily (lookback, fields), minute (date, start,
+    end, fields).  ``indicators``: one record per code.  ``bars``: the bars of a code
+    before the observation date, ``k`` = 1 the newest.  ``minutes``: code, date,
+    minute, price and cumulative volume (in shares) and amount.  With ``today``
+    minutes of any other date are refused.  A field that was not asked for is NULL.
     """
     want = requests.select("*", F.explode("codes").alias("code")).drop("codes")
-    rec = indicators.select("code", F.lit(True).alias("_hit"), "ma5", "rsi14", "atr14", F.col("used_rows").alias("_rows"))
+    want = want.withColumn("ask", F.concat_ws("|", "request_id", "code"))
+
+    def asked(scope: str, field: str) -> Column:
+        return F.coalesce(F.array_contains(F.col(f"{scope}.fields"), field), F.lit(False))
+
+    rec = indicators.select("code", F.lit(True).alias("_hit"), F.col("used_rows").alias("_rows"), *[c for f in DAILY_FIELDS.values() for c in f])
+    ask_daily = want.where(F.col("daily").isNotNull())
+    # only codes whose bars somebody asks for are gathered, each at most MAX_LOOKBACK of them
+    tails = bars.where(F.col("k") <= MAX_LOOKBACK).join(ask_daily.where(asked("daily", "raw")).select("code").distinct(), "code", "left_semi")
+    tails = tails.groupBy("code").agg(F.array_sort(F.collect_list(F.struct("dt", "open", "high", "low", "close", "volume"))).alias("_tail"))
+    lookback = F.col("daily.lookback")
+    raw = F.slice("_tail", F.greatest(F.size("_tail") - lookback, F.lit(0)) + 1, lookback)
     daily = (
-        want.where(F.col("has_daily"))
-        .join(rec, "code", "left")
+        ask_daily.join(rec, "code", "left")
+        .join(tails, "code", "left")
         .select(
             "request_id",
             "code",
             F.lit("daily").alias("scope"),
             F.coalesce("_hit", F.lit(False)).alias("ok"),
-            F.coalesce("_rows", F.lit(0)).alias("rows"),
-            "ma5",
-            "rsi14",
-            "atr14",
-            F.lit(None).cast("double").alias("vwap"),
+            F.coalesce("_rows", F.lit(0)).cast("bigint").alias("rows"),
+            *[F.when(asked("daily", field), F.col(c)).alias(c) for field, cols in DAILY_FIELDS.items() for c in cols],
+            F.when(asked("daily", "raw"), raw).alias("daily_raw"),
             F.when(F.col("_hit").isNull(), "daily data unavailable").alias("error"),
         )
     )
-    ask = want.where(F.col("has_minute"))
-    hits = ask.join(minutes, "code").where(F.col("time").between(F.col("start"), F.col("end")))
-    per = hits.groupBy("request_id", "code").agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.max_by("volume", "time").alias("_v"),
-        F.max_by("amount", "time").alias("_a"),
-    )
-    none = F.lit(None).cast("double")
-    minute = ask.join(per, ["request_id", "code"], "left").select(
+    ask_minute = want.where(F.col("minute").isNotNull()).select(
         "request_id",
         "code",
-        F.lit("minute").alias("scope"),
-        F.col("_n").isNotNull().alias("ok"),
-        F.coalesce("_n", F.lit(0)).alias("rows"),
-        none.alias("ma5"),
-        none.alias("rsi14"),
-        none.alias("atr14"),
-        (dbl("_a") / null0(dbl("_v"))).alias("vwap"),
-        F.when(F.col("_n").isNull(), "no minute rows in requested interval").alias("error"),
+        "ask",
+        F.col("minute.date").try_cast("date").alias("date"),
+        _minute_of(F.col("minute.start")).alias("low"),
+        _minute_of(F.col("minute.end")).alias("high"),
+        asked("minute", "raw").alias("_raw"),
+        asked("minute", "vwap").alias("_vwap"),
+    )
+    right_day = F.lit(True) if today is None else F.coalesce(F.col("date") == F.lit(today).cast("date"), F.lit(False))
+    ask_minute = ask_minute.withColumn("_day", right_day)
+    keys = ["ask", "code", "date", "low", "high"]
+    facts = interval_facts(ask_minute.where("_day").select(keys), minutes)
+    raws = interval_rows(ask_minute.where("_day AND _raw").select(keys), minutes)
+    minute = (
+        ask_minute.join(facts, "ask", "left")
+        .join(raws, "ask", "left")
+        .select(
+            "request_id",
+            "code",
+            F.lit("minute").alias("scope"),
+            F.col("n").isNotNull().alias("ok"),
+            F.coalesce("n", F.lit(0)).alias("rows"),
+            F.when(F.col("_vwap"), dbl("amount") / null0(dbl("volume"))).alias("vwap"),
+            "minute_raw",
+            F.when(~F.col("_day"), "minute request date does not match current date")
+            .when(F.col("n").isNull(), "no minute rows in requested interval")
+            .alias("error"),
+        )
     )
-    return daily.unionByName(minute)
+    return daily.unionByName(minute, allowMissingColumns=True)
 
 
 def request_audit(fulfilled: DataFrame) -> DataFrame:

@@ -181,13 +181,12 @@ mlast AS (SELECT code, as_of, max(CASE WHEN k = 1 THEN dif END) AS dif, max(CASE
           max(CASE WHEN k = 1 THEN hist END) AS h0, max(CASE WHEN k = 2 THEN hist END) AS h1, max(CASE WHEN k = 4 THEN hist END) AS h3
   FROM macd GROUP BY code, as_of)"""
 
-_ATR = """
-atr AS (SELECT code, as_of, CASE WHEN f.i >= 14 THEN f.v END AS atr14, f.prev AS last_close FROM (
-  SELECT code, as_of, list_reduce(bars, lambda a, x: {'i': a.i + 1, 'prev': x.c,
+_ATR_FOLD = """list_reduce(bars, lambda a, x: {'i': a.i + 1, 'prev': x.c,
     'v': CASE WHEN a.i + 1 < 14 THEN a.v + coalesce(greatest(x.h - x.l, abs(x.h - a.prev), abs(x.l - a.prev)), x.h - x.l)
               WHEN a.i + 1 = 14 THEN (a.v + coalesce(greatest(x.h - x.l, abs(x.h - a.prev), abs(x.l - a.prev)), x.h - x.l)) / 14
               ELSE (a.v * 13 + coalesce(greatest(x.h - x.l, abs(x.h - a.prev), abs(x.l - a.prev)), x.h - x.l)) / 14 END},
-    {'i': 0, 'prev': NULL::DOUBLE, 'v': 0::DOUBLE}) AS f FROM ser))"""
+    {'i': 0, 'prev': NULL::DOUBLE, 'v': 0::DOUBLE})"""
+_ATR = f"atr AS (SELECT code, as_of, CASE WHEN f.i >= 14 THEN f.v END AS atr14, f.prev AS last_close FROM (SELECT code, as_of, {_ATR_FOLD} AS f FROM ser))"
 
 
 def _as_of(spark, d, *cols):

@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 from barlake.functions.numeric import dbl
 from barlake.operators import indicators as ind
 from barlake.operators import merges as mg
-from barlake.operators import normalize as nz
-from barlake.plans.bindings import bars, code_of, dims, minutes, snapshot, table, with_bindings
+from barlake.plans.bindings import AS_OF, bars, code_of, dims, minutes, snapshot, table, with_bindings
+from barlake.plans.catalog_indicators import _ATR_FOLD, _RSI_FOLD, _macd_fold
 from barlake.plans.catalog_minutes import _CUM, cumulative
-from barlake.plans.catalog_sources import _MASTER, _WATCH, _master_raw, _requests, _runs, _watchlists
+from barlake.plans.catalog_sources import _MASTER, _WATCH, _master_raw, _runs, _watchlists
 from barlake.plans.registry import query
 from barlake.sources import documents as docs
 from barlake.sources import raw_text as rt
@@ -449,40 +449,89 @@ def jn_last_good_reuse(spark, d):
     return r.select("key", F.to_date("created_at").cast("string").alias("created_on"), "reuse")
 
 
-def _fulfilled(spark, d):
-    v = nz.validate_requests(_requests(spark, d), "2024-01-10").where(F.size("errors") == 0)
-    req = v.select(
-        F.col("req.request_id").alias("request_id"),
-        F.col("req.codes").alias("codes"),
-        F.col("req.daily").isNotNull().alias("has_daily"),
-        F.col("req.minute").isNotNull().alias("has_minute"),
-        F.col("req.minute.start").alias("start"),
-        F.col("req.minute.end").alias("end"),
+def _asks(spark, d):
+    """A request per customer: two of thirteen codes, every set of fields, lookbacks from 1 to 250, minutes of five dates."""
+    k = F.col("c_custkey")
+    day = F.date_add(F.lit("2024-01-08").cast("date"), (k % 5 * 7).cast("int")).cast("string")
+    low = 570 + k % 7 * 20
+    hhmm = lambda m: F.concat_ws(":", F.lpad(F.floor(m / 60).cast("string"), 2, "0"), F.lpad((m % 60).cast("string"), 2, "0"))
+
+    def some(names):
+        bits = (k % 2 ** len(names)).cast("int")
+        return F.array_compact(F.array(*[F.when(F.shiftright(bits, i) % 2 == 1, F.lit(n)) for i, n in enumerate(names)]))
+
+    daily = F.struct((k % 250 + 1).cast("int").alias("lookback"), some(("raw", "ma", "rsi", "macd", "atr")).alias("fields"))
+    minute = F.struct(day.alias("date"), hhmm(low).alias("start"), hhmm(low + k % 11 * 17).alias("end"), some(("raw", "vwap")).alias("fields"))
+    return table(spark, d, "customer").select(
+        k.cast("string").alias("request_id"),
+        F.array(code_of(k % 12), code_of(k % 12 + 1)).alias("codes"),
+        F.when(k % 3 != 0, daily).alias("daily"),
+        F.when(k % 4 != 1, minute).alias("minute"),
     )
-    rec = ind.indicators_as_of(bars(spark, d), ["2001-12-01"])
-    cum = cumulative(spark, d).where(F.col("trade_date") == F.lit("2024-01-08").cast("date"))
-    cum = cum.select("code", F.date_format("ts", "HH:mm").alias("time"), "volume", "amount")
-    return mg.fulfil_requests(req, rec, cum)
 
 
-_FULFIL = f"""{_CUM},
-rq AS (SELECT CAST(c_custkey AS VARCHAR) AS request_id, printf('%06d', CAST(unnest([c_custkey, c_custkey + 1]) AS BIGINT)) AS code FROM customer WHERE c_custkey % 17 = 0),
-t AS (SELECT code, close, row_number() OVER (PARTITION BY code ORDER BY dt DESC) AS k FROM fx_bars WHERE dt < DATE '2001-12-01'),
-m5 AS (SELECT code, least(count(*), 250) AS n, CASE WHEN count(*) >= 5 THEN CAST(sum(CASE WHEN k <= 5 THEN close END) AS DOUBLE) / 5 END AS ma5 FROM t GROUP BY code),
-mv AS (SELECT code, count(*) AS n, max_by(volume, m) AS v, max_by(amount, m) AS a FROM cum WHERE trade_date = DATE '2024-01-08' AND m BETWEEN 570 AND 600 GROUP BY code),
-ff AS (SELECT request_id, rq.code, 'daily' AS scope, m5.code IS NOT NULL AS ok, coalesce(n, 0) AS rows, ma5, NULL::DOUBLE AS vwap, CASE WHEN m5.code IS NULL THEN 'daily data unavailable' END AS error FROM rq LEFT JOIN m5 ON m5.code = rq.code
- UNION ALL SELECT request_id, rq.code, 'minute', mv.code IS NOT NULL, coalesce(n, 0), NULL, CAST(a AS DOUBLE) / nullif(CAST(v AS DOUBLE), 0), CASE WHEN mv.code IS NULL THEN 'no minute rows in requested interval' END FROM rq LEFT JOIN mv ON mv.code = rq.code)"""
+def _fulfilled(spark, d, today=None):
+    b = bars(spark, d)
+    rec = ind.indicators_as_of(b, [AS_OF])
+    tail = ind.cutoff(b, [AS_OF])
+    cum = cumulative(spark, d).select(
+        "code", F.col("trade_date").alias("date"), (F.hour("ts") * 60 + F.minute("ts")).alias("minute"), dbl("price").alias("price"), "volume", "amount"
+    )
+    return mg.fulfil_requests(_asks(spark, d), rec, tail, cum, today)
+
+
+_ASKED = lambda scope, names, n: f"(CAST(k % {2 ** len(names)} AS INT) >> {names.index(n)}) % 2 = 1"
+_D, _M = ("raw", "ma", "rsi", "macd", "atr"), ("raw", "vwap")
+_AVGS = ", ".join(f"CASE WHEN count(*) >= {p} THEN CAST(sum(CASE WHEN k <= {p} THEN close END) AS DOUBLE) / {p} END AS ma{p}" for p in (5, 10, 20, 60, 120, 250))
+_SHOWN = ", ".join(f"CASE WHEN {_ASKED('daily', _D, 'ma')} THEN ma{p} END AS ma{p}" for p in (5, 10, 20, 60, 120, 250))
+
+
+def _fulfil_sql(day: str) -> str:
+    return f"""{_CUM},
+rq AS (SELECT c_custkey AS k, CAST(c_custkey AS VARCHAR) AS request_id, printf('%06d', CAST(unnest([c_custkey % 12, c_custkey % 12 + 1]) AS BIGINT)) AS code, CAST(c_custkey % 250 + 1 AS INT) AS lookback,
+ DATE '2024-01-08' + CAST(c_custkey % 5 * 7 AS INT) AS day, 570 + c_custkey % 7 * 20 AS low, 570 + c_custkey % 7 * 20 + c_custkey % 11 * 17 AS high FROM customer),
+t AS (SELECT *, row_number() OVER (PARTITION BY code ORDER BY dt DESC) AS k FROM fx_bars WHERE dt < DATE '{AS_OF}'),
+s0 AS (SELECT code, count(*) AS n, {_AVGS}, max(CASE WHEN k = 1 THEN CAST(close AS DOUBLE) END) AS c1,
+  list({{'h': CAST(high AS DOUBLE), 'l': CAST(low AS DOUBLE), 'c': CAST(close AS DOUBLE)}} ORDER BY dt) AS bars,
+  list(CAST(dt AS VARCHAR) || '=' || CAST(close AS VARCHAR) ORDER BY dt) AS tail FROM t WHERE k <= 250 GROUP BY code),
+s1 AS (SELECT *, {_RSI_FOLD} AS rf, {_macd_fold()} AS mf, {_ATR_FOLD} AS af FROM s0),
+s2 AS (SELECT *, CASE WHEN rf.i < 14 THEN NULL WHEN rf.dn = 0 THEN CASE WHEN rf.up > 0 THEN 100::DOUBLE ELSE 50::DOUBLE END ELSE 100 - 100 / (1 + rf.up / rf.dn) END AS rsi,
+  CASE WHEN mf.i >= 34 THEN mf.dea END AS dea, CASE WHEN af.i >= 14 THEN af.v END AS atr FROM s1),
+mv AS (SELECT request_id, rq.code, count(*) AS n, max_by(volume, m) AS v, max_by(amount, m) AS a, string_agg(m || '=' || CAST(volume AS VARCHAR), ',' ORDER BY m) AS raw
+  FROM rq JOIN cum ON cum.code = rq.code AND cum.trade_date = rq.day AND m BETWEEN low AND high WHERE k % 4 <> 1 AND {day} GROUP BY request_id, rq.code),
+ff AS (SELECT request_id, rq.code, 'daily' AS scope, s2.code IS NOT NULL AS ok, coalesce(n, 0) AS rows, {_SHOWN},
+  CASE WHEN {_ASKED('daily', _D, 'rsi')} THEN rsi END AS rsi14, CASE WHEN {_ASKED('daily', _D, 'macd')} THEN mf.dif END AS macd_dif, CASE WHEN {_ASKED('daily', _D, 'macd')} THEN dea END AS macd_dea,
+  CASE WHEN {_ASKED('daily', _D, 'macd')} THEN mf.h0 END AS macd_hist, CASE WHEN {_ASKED('daily', _D, 'atr')} THEN atr END AS atr14, CASE WHEN {_ASKED('daily', _D, 'atr')} THEN atr / nullif(c1, 0) * 100 END AS atr14_pct,
+  CASE WHEN {_ASKED('daily', _D, 'raw')} THEN array_to_string(tail[greatest(len(tail) - lookback, 0) + 1:], ',') END AS daily_raw, NULL::DOUBLE AS vwap, NULL::VARCHAR AS minute_raw,
+  CASE WHEN s2.code IS NULL THEN 'daily data unavailable' END AS error FROM rq LEFT JOIN s2 ON s2.code = rq.code WHERE k % 3 <> 0
+ UNION ALL SELECT rq.request_id, rq.code, 'minute', mv.code IS NOT NULL, coalesce(n, 0), {", ".join(["NULL"] * 13)}, CASE WHEN {_ASKED('minute', _M, 'vwap')} THEN CAST(a AS DOUBLE) / nullif(CAST(v AS DOUBLE), 0) END,
+  CASE WHEN {_ASKED('minute', _M, 'raw')} THEN raw END, CASE WHEN NOT ({day}) THEN 'minute request date does not match current date' WHEN mv.code IS NULL THEN 'no minute rows in requested interval' END
+  FROM rq LEFT JOIN mv ON mv.request_id = rq.request_id AND mv.code = rq.code WHERE k % 4 <> 1)"""
+
+
+def _answers(df):
+    """Arrays as text: date=close and minute=volume."""
+    daily = F.transform("daily_raw", lambda r: F.concat_ws("=", r["dt"].cast("string"), r["close"].cast("string")))
+    minute = F.transform("minute_raw", lambda r: F.concat_ws("=", r["minute"].cast("string"), r["volume"].cast("string")))
+    return df.withColumns({"daily_raw": F.array_join(daily, ","), "minute_raw": F.array_join(minute, ",")})
+
+
+@query("jn_request_fulfil", with_bindings(f"WITH {_fulfil_sql('true')} SELECT * FROM ff", "fx_bars", "fx_session"))
+def jn_request_fulfil(spark, d):
+    """Requests for any date."""
+    return _answers(_fulfilled(spark, d))
 
 
-@query("jn_request_fulfil", with_bindings(f"WITH {_FULFIL} SELECT * FROM ff", "fx_bars", "fx_session"))
-def jn_request_fulfil(spark, d):
-    return _fulfilled(spark, d).select("request_id", "code", "scope", "ok", "rows", "ma5", "vwap", "error")
+@query("jn_request_today", with_bindings(f"""WITH {_fulfil_sql("day = DATE '2024-01-15'")} SELECT * FROM ff""", "fx_bars", "fx_session"))
+def jn_request_today(spark, d):
+    """The same requests where only one date is current."""
+    return _answers(_fulfilled(spark, d, "2024-01-15"))
 
 
 @query(
     "jn_request_audit",
     with_bindings(
-        f"WITH {_FULFIL} SELECT request_id, scope, count(*) AS requested, count(CASE WHEN ok THEN 1 END) AS success, count(CASE WHEN NOT ok THEN 1 END) AS failed, CAST(sum(rows) AS BIGINT) AS rows FROM ff GROUP BY request_id, scope",
+        f"WITH {_fulfil_sql('true')} SELECT request_id, scope, count(*) AS requested, count(CASE WHEN ok THEN 1 END) AS success, count(CASE WHEN NOT ok THEN 1 END) AS failed, CAST(sum(rows) AS BIGINT) AS rows FROM ff GROUP BY request_id, scope",
         "fx_bars",
         "fx_session",
     ),
