@@ -13,6 +13,7 @@ from barlake.plans import (  # noqa: F401
     catalog_lifecycle,
     catalog_merges,
     catalog_minutes,
+    catalog_outcomes,
     catalog_quality,
     catalog_screening,
     catalog_sources,
