@@ -79,12 +79,13 @@ MAX_TRADE, MAX_SYMBOL, MAX_INDUSTRY = 0.05, 0.10, 0.15
 
 
 def scan_states(
-    events: DataFrame, table: Sequence[Sequence[int]], start: int, block: int = BLOCK, levels: int = LEVELS
+    events: DataFrame, table: Sequence[Sequence[int]], start: int, block: int = BLOCK, levels: int = LEVELS, carry: Sequence[str] = ()
 ) -> DataFrame:
     """Start and end state of every event.
 
     ``events``: entity, seq (whole number, unique per entity), op.  ``table[op][s]``
     is the state after ``op`` in state ``s``; ops outside the table change nothing.
+    ``carry`` columns come along.
     """
     n = len(table[0])
     ident = list(range(n))
@@ -99,9 +100,9 @@ def scan_states(
         return F.aggregate(vectors, keep, lambda acc, v: F.transform(acc, lambda s: F.get(v, s)))
 
     low = (
-        events.select("entity", "seq", F.col("op").cast("int").alias("op"), F.floor(F.col("seq") / block).alias("b"))
+        events.select("entity", "seq", F.col("op").cast("int").alias("op"), F.floor(F.col("seq") / block).alias("b"), *carry)
         .groupBy("entity", "b")
-        .agg(F.array_sort(F.collect_list(F.struct("seq", "op"))).alias("evs"))
+        .agg(F.array_sort(F.collect_list(F.struct("seq", "op", *carry))).alias("evs"))
     )
     vec = F.aggregate("evs", keep, lambda acc, e: F.transform(acc, lambda s: after(e["op"], s)))
     maps_below = low.select("entity", "b", vec.alias("v"))
@@ -132,16 +133,21 @@ def scan_states(
         known = begin.select("entity", F.col("b").alias("up"), F.col("s").alias("s0"))
         begin = grouped.join(known, ["entity", "up"]).select("entity", F.inline(starts(F.col("vs"), "b", F.col("s0"))))
     begin = begin.withColumnRenamed("s", "s1")
-    kind = "struct<s:int,out:array<struct<seq:bigint,start_state:int,end_state:int>>>"
+    kind = "struct<s:int,out:array<int>>"
 
     def step(acc, e):
-        nxt = after(e["op"], acc["s"]).cast("int")
-        item = F.struct(e["seq"].cast("bigint").alias("seq"), acc["s"].alias("start_state"), nxt.alias("end_state"))
-        return F.struct(nxt.alias("s"), F.concat(acc["out"], F.array(item)).alias("out")).cast(kind)
-
-    init = F.struct(F.col("s1").cast("int").alias("s"), F.array().cast("array<struct<seq:bigint,start_state:int,end_state:int>>").alias("out")).cast(kind)
-    rows = low.join(begin, ["entity", "b"]).select("entity", F.aggregate("evs", init, step, lambda acc: acc["out"]).alias("rows"))
-    return rows.select("entity", F.inline("rows"))
+        return F.struct(after(e["op"], acc["s"]).cast("int").alias("s"), F.concat(acc["out"], F.array(acc["s"])).alias("out")).cast(kind)
+
+    init = F.struct(F.col("s1").cast("int").alias("s"), F.array().cast("array<int>").alias("out")).cast(kind)
+    met = F.aggregate("evs", init, step, lambda acc: acc["out"])
+    rows = low.join(begin, ["entity", "b"]).select("entity", F.inline(F.arrays_zip(F.col("evs").alias("e"), met.alias("start_state"))))
+    return rows.select(
+        "entity",
+        F.col("e.seq").cast("bigint").alias("seq"),
+        "start_state",
+        after(F.col("e.op"), F.col("start_state")).cast("int").alias("end_state"),
+        *[F.col(f"e.{c}").alias(c) for c in carry],
+    )
 
 
 def machine(transitions: Mapping[str, Sequence[str]]) -> tuple[list[str], list[list[int]], list[list[bool]]]:
@@ -158,15 +164,21 @@ def replay(events: DataFrame, transitions: Mapping[str, Sequence[str]], start: s
     ``events``: entity, seq, to_state.
     """
     names, table, legal = machine(transitions)
-    position = F.array_position(F.array(*[F.lit(s) for s in names]), F.col("to_state")) - 1
-    op = F.when(position >= 0, position).cast("int")
-    scanned = scan_states(events.select("entity", "seq", op.alias("op")), table, names.index(start))
+
+    def op_of(column: str) -> Column:
+        position = F.array_position(F.array(*[F.lit(s) for s in names]), F.col(column)) - 1
+        return F.when(position >= 0, position).cast("int")
+
+    # blocks are cut by the place in the entity's own log, so that they are full however sparse its numbers are
+    placed = running_count(events.withColumn("_op", op_of("to_state")), ["entity"], "seq", F.lit(True), "_place")
+    row = F.struct(*[c for c in events.columns if c != "entity"]).alias("_row")
+    blocks = placed.select("entity", row, F.col("_place").alias("seq"), F.col("_op").alias("op"))
+    j = scan_states(blocks, table, names.index(start), carry=["_row"]).withColumn("_op", op_of("_row.to_state"))
     words = F.array(*[F.lit(s) for s in names])
     allowed = F.array(*[F.array(*[F.lit(x) for x in row]) for row in legal])
-    j = events.withColumn("_op", op).join(scanned, ["entity", "seq"])
     ok = F.coalesce(F.get(F.get(allowed, F.col("_op")), F.col("start_state")), F.lit(False))
     return j.select(
-        *events.columns,
+        *[F.col(c if c == "entity" else f"_row.{c}").alias(c) for c in events.columns],
         F.get(words, F.col("start_state")).alias("from_state"),
         ok.alias("legal"),
         F.get(words, F.col("end_state")).alias("state_after"),
