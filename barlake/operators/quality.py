@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -282,11 +283,18 @@ def classification_audit(snapshot: DataFrame, classification: DataFrame) -> Data
 
 
 def minute_quality(audit: DataFrame) -> DataFrame:
-    """full / partial / static_only / failed / not_requested per minute audit row."""
+    """full / partial / static_only / failed / not_requested per minute audit row.
+
+    ``append_error`` and ``sequence_error`` (texts, both optional) fail a run that
+    was requested, whatever its minutes look like.
+    """
+    errors = [F.coalesce(F.col(c), F.lit("")) != "" for c in ("append_error", "sequence_error") if c in audit.columns]
+    broken = reduce(Column.__or__, errors, F.lit(False))
     a, e = F.col("actual_minutes"), F.col("total_expected_minutes")
     miss, brk = F.col("missing_minute_count"), F.col("continuity_break_count")
     grade = (
         F.when(F.coalesce(F.col("status"), F.lit("not_requested")) == "not_requested", "not_requested")
+        .when(broken, "failed")
         .when(F.col("status") != "collected", "failed")
         .when(a.isNull(), "partial")
         .when(a == 0, "failed")

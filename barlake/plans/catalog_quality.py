@@ -300,7 +300,7 @@ def dq_upstream_dups(spark, d):
     )
 
 
-_MQ = """CASE WHEN status = 'not_requested' THEN 'not_requested' WHEN status <> 'collected' THEN 'failed' WHEN actual = 0 THEN 'failed' WHEN actual < 240 * 0.2::DOUBLE THEN 'static_only'
+_MQ = """CASE WHEN status = 'not_requested' THEN 'not_requested' WHEN append_error <> '' OR sequence_error <> '' THEN 'failed' WHEN status <> 'collected' THEN 'failed' WHEN actual = 0 THEN 'failed' WHEN actual < 240 * 0.2::DOUBLE THEN 'static_only'
  WHEN actual >= greatest(240 * 0.83::DOUBLE, 200) AND miss <= 40 AND brk <= 3 THEN 'full' ELSE 'partial' END"""
 
 
@@ -312,7 +312,8 @@ n AS (SELECT b.code, b.trade_date, x.m FROM b JOIN (SELECT unnest(range(570, 901
 ms AS (SELECT n.code, n.trade_date, count(*) AS miss FROM n LEFT JOIN fx_session s ON s.code = n.code AND s.trade_date = n.trade_date AND s.m = n.m WHERE s.m IS NULL GROUP BY n.code, n.trade_date),
 gp AS (SELECT code, trade_date, m - lag(m) OVER (PARTITION BY code, trade_date ORDER BY m) AS g FROM fx_session),
 bk AS (SELECT code, trade_date, count(CASE WHEN g > 2 AND g <> 90 THEN 1 END) AS brk FROM gp GROUP BY code, trade_date),
-q AS (SELECT b.code, b.trade_date, actual, coalesce(miss, 0) AS miss, brk, CASE WHEN b.code = '000005' THEN 'error' WHEN b.code = '000006' THEN 'not_requested' ELSE 'collected' END AS status
+q AS (SELECT b.code, b.trade_date, actual, coalesce(miss, 0) AS miss, brk, CASE WHEN b.code = '000005' THEN 'error' WHEN b.code = '000006' THEN 'not_requested' ELSE 'collected' END AS status,
+  CASE WHEN b.code IN ('000006', '000007') AND day(b.trade_date) % 2 = 0 THEN 'append refused' END AS append_error, CASE WHEN b.code = '000008' THEN CASE WHEN day(b.trade_date) > 20 THEN 'unreadable sequence' ELSE '' END END AS sequence_error
   FROM b JOIN bk ON bk.code = b.code AND bk.trade_date = b.trade_date LEFT JOIN ms ON ms.code = b.code AND ms.trade_date = b.trade_date)
 SELECT code, CAST(trade_date AS VARCHAR) AS trade_date, actual AS actual_minutes, {_MQ} AS minute_quality FROM q""",
         "fx_session",
@@ -325,7 +326,12 @@ def dq_minute_quality(spark, d):
     audit = mn.sequence_audit(b.withColumn("trade_date", key))
     parts = F.split("trade_date", r"\|")
     status = F.when(parts[0] == "000005", "error").when(parts[0] == "000006", "not_requested").otherwise("collected")
-    q = dq.minute_quality(audit.withColumn("status", status))
+    day = F.dayofmonth(parts[1].cast("date"))
+    errors = {
+        "append_error": F.when(parts[0].isin("000006", "000007") & (day % 2 == 0), "append refused"),
+        "sequence_error": F.when(parts[0] == "000008", F.when(day > 20, "unreadable sequence").otherwise("")),
+    }
+    q = dq.minute_quality(audit.withColumns({"status": status, **errors}))
     return q.select(parts[0].alias("code"), parts[1].alias("trade_date"), "actual_minutes", "minute_quality")
 
 

@@ -748,6 +748,23 @@ def prj_neutral_text(spark, d):
     return t.select("doc_id", F.md5(clean.cast("binary")).alias("digest"), F.length(clean).cast("bigint").alias("n"))
 
 
+@query(
+    "prj_neutral_columns",
+    f"""SELECT o_orderkey AS k, regexp_replace(trim(o_orderpriority || ' BuySignal', {_SPACES}), '{_TERMS}', 'data', 'gi') AS "data", regexp_replace(o_clerk, '{_TERMS}', 'data', 'gi') AS data_2,
+ o_totalprice AS data_3, o_orderdate AS note_data FROM (SELECT o_orderkey, o_orderpriority, 'SCORE ' || o_orderstatus AS o_clerk, o_totalprice, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS o_orderdate FROM orders)""",
+)
+def prj_neutral_columns(spark, d):
+    """Clashing names get numbers, text columns are cleaned, others stay."""
+    o = table(spark, d, "orders").select(
+        F.col("o_orderkey").alias("k"),
+        F.concat("o_orderpriority", F.lit(" BuySignal")).alias("score"),
+        F.concat(F.lit("SCORE "), F.col("o_orderstatus")).alias(" Score"),
+        F.col("o_totalprice").alias("SCORE "),
+        F.to_date("o_orderdate").cast("string").alias("note_Score"),
+    )
+    return tx.neutral_columns(o)
+
+
 @query(
     "prj_required_columns",
     """SELECT * FROM (VALUES ('absent_column', 'absent'), ('void', 'all_null')) t(column_name, problem)
