@@ -44,11 +44,6 @@ def minute_index(m: Column) -> Column:
     return (morning + afternoon).cast("int")
 
 
-def minute_from_index(i: Column) -> Column:
-    half = LUNCH_START - OPEN
-    return F.when(i < half, i + OPEN).otherwise(i - half + LUNCH_END).cast("int")
-
-
 def hhmm(m: Column) -> Column:
     return F.concat(
         F.lpad(F.floor(m / 60).cast("string"), 2, "0"), F.lit(":"), F.lpad((m % 60).cast("string"), 2, "0")

@@ -263,10 +263,3 @@ def report_counts(report: DataFrame, dims: Sequence[str]) -> DataFrame:
         .groupBy("dimension", "key")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-
-
-def counts_map(counts: DataFrame) -> DataFrame:
-    """One map column per dimension from :func:`report_counts` (keys are a short fixed vocabulary)."""
-    return counts.groupBy("dimension").agg(
-        F.map_from_entries(F.array_sort(F.collect_list(F.struct("key", "n")))).alias("counts")
-    )

@@ -21,7 +21,6 @@ from barlake.plans import (  # noqa: F401
 )
 from barlake.plans.bindings import AS_OF_DATES, bars
 from barlake.plans.registry import ORACLES, QUERIES
-from barlake.session import materialize
 
 __all__ = ["ORACLES", "QUERIES", "flagship"]
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from barlake.functions.numeric import round_dec
 from barlake.operators import crosssection as cs
 from barlake.operators import indicators as ind
-from barlake.plans.bindings import bars, calls, dims, r2, snapshot, table, with_bindings
+from barlake.plans.bindings import bars, dims, r2, snapshot, with_bindings
 from barlake.plans.registry import query
 
 
