@@ -99,13 +99,13 @@ def session_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     One code collects half of all ticks, so some sessions are dense and some have gaps.
     """
-    # written with few repetitions: filters on the time copy the whole expression into generated code
-    idx = F.expr("(hour(ts) * 3600 + minute(ts) * 60 + second(ts)) * 242 div 86400")
+    # min_audit: filters copy this into code too long to compile, and Spark falls back; a shorter form compiled, but ran 4 x slower
+    idx = F.floor((F.hour("ts") * 3600 + F.minute("ts") * 60 + F.floor(F.second("ts"))) * 242 / 86400).cast("int")
     u = F.col("user_id") % 10
     ev = table(spark, sf_dir, "events")
     price = F.col("value").cast("decimal(12,2)")
     volume = F.regexp_extract("props", "([0-9]+)", 1).cast("int")
-    m = (idx + 570 + F.when(idx > 120, 89).otherwise(0)).cast("int")  # 11:30 and 15:00 included
+    m = F.when(idx <= 120, idx + 570).otherwise(idx - 121 + 780)  # 11:30 and 15:00 included
     day = F.to_date(F.date_trunc("week", "ts"))
     return ev.select(
         F.when(u < 5, F.lit("000000")).otherwise(code_of(u)).alias("code"),
