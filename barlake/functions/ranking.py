@@ -5,7 +5,11 @@ written as a window partitioned by the date, which sorts the whole date in one
 task.  Here equal values are counted first (map-side combine), the distinct
 values are spread over bins whose edges come from a mergeable sketch, and only
 the short list of bin totals is accumulated per key.  Bin edges steer balance
-only; the result is exact for any edges.
+only; the result is exact for any edges, if rows and totals use the same ones.
+
+A sketch depends on the order in which parts arrive, so a plan that works it out
+twice can get two sets of edges.  Edges and the totals of their bins therefore
+travel together, in one struct per key that every row of the key reads.
 """
 
 from __future__ import annotations
@@ -31,26 +35,31 @@ def value_positions(df: DataFrame, keys: list[str], value: str, bins: int = BINS
     counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("cnt"))
     cuts = [i / bins for i in range(1, bins)]
     edges = counts.groupBy(*keys).agg(F.percentile_approx(F.col(value), cuts, 1000).alias("_edges"))
-    # without keys the edges are one row of at most `bins` numbers
-    binned = counts.join(edges, keys) if keys else attach_row(counts, edges)
-    binned = binned.withColumn("_bin", F.size(F.filter("_edges", lambda e: e < F.col(value)))).drop("_edges")
-    # at most `bins` rows per key are ordered here
-    over_bins = Window.partitionBy(*keys).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
-    totals = (
-        binned.groupBy(*keys, "_bin")
-        .agg(F.sum("cnt").alias("_rows"))
-        .select(
-            *keys,
-            "_bin",
-            F.coalesce(F.sum("_rows").over(over_bins), F.lit(0)).alias("_before"),
-            F.sum("_rows").over(Window.partitionBy(*keys)).alias("n"),
-        )
+
+    def attached(rows: DataFrame, per_key: DataFrame) -> DataFrame:
+        # without keys there is one row of at most `bins` numbers
+        return rows.join(per_key, keys) if keys else attach_row(rows, per_key)
+
+    def bin_of(e: Column) -> Column:
+        return F.size(F.filter(e, lambda x: x < F.col(value)))
+
+    # at most `bins` totals per key
+    totals = attached(counts, edges).groupBy(*keys, bin_of(F.col("_edges")).alias("_bin")).agg(
+        F.sum("cnt").alias("_rows"), F.first("_edges").alias("_edges")
     )
+    per_bin = totals.groupBy(*keys).agg(F.collect_list(F.struct("_bin", "_rows")).alias("_bins"), F.first("_edges").alias("_edges"))
+
+    def rows_of(part: Column) -> Column:
+        return F.aggregate(part, F.lit(0).cast("bigint"), lambda n, t: n + t["_rows"])
+
+    before = F.transform(F.sequence(F.lit(0), F.lit(bins - 1)), lambda i: rows_of(F.filter("_bins", lambda t: t["_bin"] < i)))
+    guide = per_bin.select(*keys, F.struct("_edges", before.alias("_before"), rows_of(F.col("_bins")).alias("n")).alias("_guide"))
     in_bin = Window.partitionBy(*keys, "_bin").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    local = binned.withColumn("_inside", F.coalesce(F.sum("cnt").over(in_bin), F.lit(0)))
-    return local.join(totals, [*keys, "_bin"]).select(
-        *keys, value, "cnt", (F.col("_before") + F.col("_inside")).alias("below"), "n"
+    binned = attached(counts, guide).withColumn("_bin", bin_of(F.col("_guide._edges"))).select(
+        *keys, value, "cnt", "_bin", F.get("_guide._before", F.col("_bin")).alias("_before"), F.col("_guide.n").alias("n")
     )
+    inside = F.coalesce(F.sum("cnt").over(in_bin), F.lit(0))
+    return binned.select(*keys, value, "cnt", (F.col("_before") + inside).alias("below"), "n")
 
 
 def percent_rank_average(df: DataFrame, keys: list[str], value: str, out: str, scale: float = 100.0) -> DataFrame:
@@ -92,27 +101,32 @@ def binned_row_number(df: DataFrame, keys: list[str], lead: Column, second: Colu
     edges = staged.groupBy(*keys).agg(
         F.array_distinct(F.percentile_approx("_lead", cuts, 1000)).alias("_e1"), F.percentile_approx("_second", cuts, 1000).alias("_e2")
     )
-    edges = edges.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "_e1", "_e2")
-    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)])
-    alone = F.array_contains("_e1", F.col("_lead"))
+    names = [f"_k{i}" for i in range(len(keys))]
+    edges = edges.select(*[F.col(k).alias(n) for k, n in zip(keys, names, strict=True)], "_e1", "_e2")
+    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(keys, names, strict=True)])
     below = lambda e, v: F.size(F.filter(e, lambda x: x < F.col(v)))
-    binned = staged.join(edges, same).withColumns(
-        {
-            "_b1": 2 * below("_e1", "_lead") + F.when(alone, 1).otherwise(0),
-            "_b2": F.when(alone, below("_e2", "_second")).otherwise(0),
-        }
+
+    def place(e1: Column, e2: Column) -> Column:
+        """The number of a row's bin."""
+        alone = F.array_contains(e1, F.col("_lead"))
+        first = 2 * below(e1, "_lead") + F.when(alone, 1).otherwise(0)
+        return first * bins + F.when(alone, below(e2, "_second")).otherwise(0)
+
+    # at most 2 * bins * bins bins per key are ordered here
+    totals = staged.join(edges, same).groupBy(*names, place(F.col("_e1"), F.col("_e2")).alias("_place")).agg(
+        F.count(F.lit(1)).alias("_n"), F.first("_e1").alias("_e1"), F.first("_e2").alias("_e2")
+    )
+    before = Window.partitionBy(*names).orderBy("_place").rowsBetween(Window.unboundedPreceding, -1)
+    totals = totals.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    guide = totals.groupBy(*names).agg(
+        F.array_sort(F.collect_list(F.struct("_place", "_before"))).alias("_bins"), F.first("_e1").alias("_e1"), F.first("_e2").alias("_e2")
     )
-    binned = binned.select(*df.columns, "_b1", "_b2")
-    # at most 2 * bins * bins rows per key are ordered here
-    before = Window.partitionBy(*keys).orderBy("_b1", "_b2").rowsBetween(Window.unboundedPreceding, -1)
-    totals = binned.groupBy(*keys, "_b1", "_b2").agg(F.count(F.lit(1)).alias("_n"))
-    totals = totals.select(
-        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_b1").alias("_c1"), F.col("_b2").alias("_c2"),
-        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
-    )
-    inside = F.row_number().over(Window.partitionBy(*keys, "_b1", "_b2").orderBy(*order))
-    rows = binned.withColumn("_inside", inside).join(totals, same & (F.col("_b1") == F.col("_c1")) & (F.col("_b2") == F.col("_c2")))
-    return rows.select(*df.columns, (F.col("_before") + F.col("_inside")).cast("int").alias(out))
+    guide = guide.select(*names, F.struct("_e1", "_e2", F.col("_bins._place").alias("places"), F.col("_bins._before").alias("before")).alias("_guide"))
+    binned = staged.join(guide, same).withColumn("_place", place(F.col("_guide._e1"), F.col("_guide._e2")))
+    before = F.get("_guide.before", F.array_position("_guide.places", F.col("_place")).cast("int") - 1)
+    binned = binned.select(*df.columns, "_place", before.alias("_before"))
+    inside = F.row_number().over(Window.partitionBy(*keys, "_place").orderBy(*order))
+    return binned.select(*df.columns, (F.col("_before") + inside).cast("int").alias(out))
 
 
 def latest_per_key(df: DataFrame, keys: list[str], order: list[Column], keep: int = 1, rn: str = "_rn") -> DataFrame:

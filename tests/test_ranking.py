@@ -3,6 +3,7 @@ import statistics
 
 from pyspark.sql import functions as F
 
+from barlake.functions import ranking
 from barlake.functions.ranking import binned_row_number, exact_median, leading_bytes, percent_rank_average, value_positions
 
 
@@ -56,3 +57,40 @@ def test_leading_bytes_keep_the_order(spark):
     texts = sorted(["", "a", "ab", "abcdefgh", "abcdefgi", "b", "é", "中", "0", "000001"], key=str.encode)
     got = [r.x for r in spark.createDataFrame([(t,) for t in texts], "t string").select("t", leading_bytes(F.col("t")).alias("x")).collect()]
     assert got == sorted(got) and got[1] < got[-1]
+
+
+def loose_edges(column, cuts, accuracy):
+    """Sketched edges that come out differently each time they are worked out, as those of many executors do."""
+
+    @F.udf("array<double>")
+    def some(values):
+        return sorted(random.SystemRandom().sample(values, min(len(values), len(cuts))))
+
+    return some(F.collect_list(column))
+
+
+def test_positions_do_not_rest_on_equal_edges(spark, monkeypatch):
+    monkeypatch.setattr(ranking.F, "percentile_approx", loose_edges)
+    rows = [("ab"[i % 2], float(i * 37 % 501)) for i in range(1200)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    for keys in (["k"], []):
+        # a broadcast side would be reused and hide the fault
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        try:
+            got = value_positions(df, keys, "v", bins=8).collect()
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        for r in got:
+            vals = [v for k, v in rows if not keys or k == r.k]
+            assert (r.cnt, r.below, r.n) == (vals.count(r.v), sum(x < r.v for x in vals), len(vals))
+        assert len(got) == len({(k if keys else "", v) for k, v in rows})
+
+
+def test_row_numbers_do_not_rest_on_equal_edges(spark, monkeypatch):
+    monkeypatch.setattr(ranking.F, "percentile_approx", loose_edges)
+    rows = [("k", float(i * 37 % 101), f"{i * 7919 % 4000:06d}", i) for i in range(1500)]
+    df = spark.createDataFrame(rows, "key string, v double, code string, tie long")
+    order = [F.col("v"), F.col("code"), F.col("tie")]
+    got = binned_row_number(df, ["key"], F.col("v"), leading_bytes(F.col("code")), order, "n", bins=8)
+    want = {r[3]: n for n, r in enumerate(sorted(rows, key=lambda r: r[1:]), 1)}
+    assert {r.tie: r.n for r in got.collect()} == want
