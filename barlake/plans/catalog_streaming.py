@@ -61,7 +61,8 @@ def run_increments(rows, path, block, delay, closing=True):
 
 
 def _stream(spark, d, name):
-    return jobs.file_stream(spark, d, f"{name}.parquet", table(spark, d, name).schema)
+    # a table is one file or a folder of part files: a file is streamed only if a pattern finds it, a pattern on names misses the parts
+    return spark.readStream.schema(table(spark, d, name).schema).parquet(f"{d}/{name}.parque[t]")
 
 
 def _ticks(spark, d):

@@ -114,3 +114,14 @@ def test_minute_bars_drop_late_ticks(spark, tmp_path):
     jobs.run_available(jobs.minute_bars(stream), out)
     rows = spark.read.parquet(f"{out}/data").select(F.date_format("ts_min", "HH:mm").alias("m"), "open", "close", "volume").collect()
     assert sorted(map(tuple, rows)) == [("09:30", 10.0, 12.0, 10), ("09:50", 11.0, 11.0, 1), ("09:51", 11.0, 11.0, 1)]
+
+
+def test_a_table_stream_reads_a_file_and_a_folder_of_parts(spark, tmp_path):
+    from barlake.plans.catalog_streaming import _stream
+
+    spark.range(40).repartition(3).write.parquet(str(tmp_path / "parts.parquet"))
+    spark.range(40).coalesce(1).write.parquet(str(tmp_path / "one"))
+    next((tmp_path / "one").glob("*.parquet")).rename(tmp_path / "file.parquet")
+    for name in ("parts", "file"):
+        jobs.run_available(_stream(spark, str(tmp_path), name), str(tmp_path / f"{name}-out"))
+        assert spark.read.schema("id long").parquet(str(tmp_path / f"{name}-out/data")).count() == 40
