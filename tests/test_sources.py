@@ -81,3 +81,42 @@ def test_evidence_hash_matches_sorted_json(spark):
     want = hashlib.sha256(json.dumps(rec, sort_keys=True).encode()).hexdigest()[:16]
     df = spark.createDataFrame([(1, "x", None)], "b int, a string, c string")
     assert dq.evidence_hash(df, ["b", "a", "c"]).collect()[0].evidence_id == want
+
+
+def _one_supplier(spark, folder, k):
+    """Tables with one supplier of the given key and two bars."""
+    import datetime as dt
+
+    con = {
+        "region": ([(0, "AFRICA")], "r_regionkey int, r_name string"),
+        "nation": ([(0, "NATION_0", 0)], "n_nationkey int, n_name string, n_regionkey int"),
+        "supplier": ([(k, "S", 0, 1.0)], "s_suppkey long, s_name string, s_nationkey int, s_acctbal double"),
+        "lineitem": (
+            [(i, 1, k, 1, 5.0, 10.0 + i, dt.datetime(2001, 1, 1 + i)) for i in (1, 2)],
+            "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_shipdate timestamp_ntz",
+        ),
+    }
+    for name, (rows, schema) in con.items():
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{folder}/{name}.parquet")
+
+
+def test_snapshot_checks_hold_for_keys_of_four_digits(spark, tmp_path):
+    import duckdb
+
+    from barlake.plans import catalog
+
+    # 1006: symbol 4301006, too long; 1003, 1009: shown without the leading zeros of 0011003 and 0001009; 6: 430006
+    for k, shown in ((1003, {"011003"}), (1006, set()), (1009, {"001009"}), (6, {"430006"})):
+        d = str(tmp_path / f"k{k}")
+        _one_supplier(spark, d, k)
+        duck = duckdb.connect()
+        for t in ("region", "nation", "supplier", "lineitem"):
+            duck.execute(f"CREATE VIEW {t} AS SELECT * FROM '{d}/{t}.parquet/*.parquet'")
+        for name in ("src_snapshot_docs", "prj_snapshot_output"):
+            df = catalog.QUERIES[name](spark, d)
+            cur = duck.execute(catalog.ORACLES[name])
+            at = [[c[0] for c in cur.description].index(c) for c in df.columns]
+            got = sorted(map(tuple, df.collect()))
+            assert got == sorted(tuple(r[i] for i in at) for r in cur.fetchall())
+            if name == "prj_snapshot_output":
+                assert {r[0] for r in got} == shown
