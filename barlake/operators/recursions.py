@@ -4,14 +4,16 @@ The value at a bar is that of a recursion over its last ``keep`` bars only, so
 every bar has a seed of its own and no running state can be carried from bar to
 bar.  The bars of a code are shuffled once and sorted; a task then advances the
 recursions of all bars of an Arrow batch together, step by step through their
-frames, in the order of operations of the as-of folds.  Between batches only the
+frames, in the order of operations of the as-of folds.  Bars stand in the order of
+falling frame lengths, so those still advancing are a prefix, and only the
+recursions asked for are worked out.  Between batches only the
 last ``keep - 1`` bars are kept, so the memory does not depend on how long a
 history is or how many codes a task has.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -27,74 +29,118 @@ FAST, SLOW, SIGNAL = 12, 26, 9
 BLOCK = 1 << 13
 
 VALUES = ("rsi14", "macd_dif", "macd_dea", "macd_hist", "macd_hist_1", "macd_hist_3", "atr14")
-_FIELDS = ", ".join(f"{v} double" for v in VALUES)
 
 
-def frame_values(start: np.ndarray, o: int, close: np.ndarray, high: np.ndarray, low: np.ndarray, keep: int) -> dict[str, np.ndarray]:
-    """The recursions over ``[start, bar]`` for the bars from ``o`` on; NaN marks what is missing.
+def _frames(start: np.ndarray, o: int, live: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Frames of the bars from ``o`` on over the live bars alone, longest first.
 
-    A bar without a close takes no part in any recursion, one without high or low
-    none in the true range.
+    Order of the bars, first live bar of each frame, its length, and how many frames are longer than each step.
     """
-    bars = np.arange(o, len(close))
-    first = start[o:]
-    n, nan = len(bars), np.nan
-    whole = ~(np.isnan(close) | np.isnan(high) | np.isnan(low))
-    none = lambda: np.full(n, nan)
-    prev, up, down, i = none(), np.zeros(n), np.zeros(n), np.zeros(n, np.int64)
-    fast, slow, dif, dea, count = none(), none(), none(), none(), np.zeros(n, np.int64)
-    hist = [none() for _ in range(4)]
-    atr_prev, atr, atr_count = none(), np.zeros(n), np.zeros(n, np.int64)
-    for step in range(int((bars - first).max(initial=-1)) + 1):
-        at = np.minimum(first + step, bars)
-        inside = first + step <= bars
-        live = inside & ~np.isnan(close[at])
-        x = close[at]
-        # gains and losses
-        change = x - prev
-        seeded = live & ~np.isnan(prev)
-        i = np.where(seeded, i + 1, i)
-        for total, part in ((up, np.maximum(change, 0.0)), (down, np.maximum(-change, 0.0))):
-            new = np.where(i < WILDER, total + part, np.where(i == WILDER, (total + part) / WILDER, (total * (WILDER - 1) + part) / WILDER))
-            np.copyto(total, new, where=seeded)
-        np.copyto(prev, x, where=live)
-        # averages that weigh by age
-        count = np.where(live, count + 1, count)
-        for total, span in ((fast, FAST), (slow, SLOW)):
-            alpha = 2.0 / (span + 1)
-            np.copyto(total, np.where(count == 1, x, x * alpha + total * (1.0 - alpha)), where=live)
-        ready = live & (count >= SLOW)
-        np.copyto(dif, fast - slow, where=ready)
-        alpha = 2.0 / (SIGNAL + 1)
-        np.copyto(dea, np.where(np.isnan(dea), dif, dif * alpha + dea * (1.0 - alpha)), where=ready)
-        for k in (3, 2, 1):
-            np.copyto(hist[k], hist[k - 1], where=live)
-        np.copyto(hist[0], (dif - dea) * 2, where=live & (count >= SLOW + SIGNAL - 1))
-        # true range
-        live = inside & whole[at]
-        span = high[at] - low[at]
-        true_range = np.where(np.isnan(atr_prev), span, np.maximum(span, np.maximum(np.abs(high[at] - atr_prev), np.abs(low[at] - atr_prev))))
-        atr_count = np.where(live, atr_count + 1, atr_count)
-        new = np.where(
-            atr_count < WILDER, atr + true_range, np.where(atr_count == WILDER, (atr + true_range) / WILDER, (atr * (WILDER - 1) + true_range) / WILDER)
-        )
-        np.copyto(atr, new, where=live)
-        np.copyto(atr_prev, x, where=live)
+    upto = np.concatenate(([0], np.cumsum(live)))
+    first, length = upto[start[o:]], upto[o + 1 :] - upto[start[o:]]
+    order = np.argsort(-length, kind="stable")
+    first, length = first[order], length[order]
+    return order, first, length, np.searchsorted(-length, -np.arange(length[0] if len(length) else 0), "left")
+
+
+def _smoothed(total: np.ndarray, part: np.ndarray, i: int) -> None:
+    """Advance Wilder's mean by its ``i``-th part: a sum up to the first whole period, a smoothed mean after it."""
+    if i > WILDER:
+        total *= WILDER - 1
+    total += part
+    if i >= WILDER:
+        total /= WILDER
+
+
+def _gains(frames: tuple, close: np.ndarray) -> dict[str, np.ndarray]:
+    _, first, length, running = frames
+    up, down, prev = np.zeros(len(first)), np.zeros(len(first)), None
+    for step, m in enumerate(running):
+        x = close[first[:m] + step]
+        if step:
+            change = x - prev[:m]
+            _smoothed(up[:m], np.maximum(change, 0.0), step)
+            _smoothed(down[:m], np.maximum(-change, 0.0), step)
+        prev = x
     flat = np.where(up > 0, 100.0, 50.0)
     rsi = np.where(down == 0, flat, 100.0 - 100.0 / (1.0 + up / np.where(down == 0, 1.0, down)))
-    return {
-        "rsi14": np.where(i >= WILDER, rsi, nan),
-        "macd_dif": np.where(count >= SLOW, dif, nan),
-        "macd_dea": np.where(count >= SLOW + SIGNAL - 1, dea, nan),
-        "macd_hist": hist[0],
-        "macd_hist_1": hist[1],
-        "macd_hist_3": hist[3],
-        "atr14": np.where(atr_count >= WILDER, atr, nan),
-    }
+    return {"rsi14": np.where(length > WILDER, rsi, np.nan)}
+
 
+def _averages(frames: tuple, close: np.ndarray) -> dict[str, np.ndarray]:
+    _, first, length, running = frames
+    fast, slow, dif, dea, *hist = (np.full(len(first), np.nan) for _ in range(8))
+    for step, m in enumerate(running):
+        x = close[first[:m] + step]
+        for total, span in ((fast[:m], FAST), (slow[:m], SLOW)):
+            alpha = 2.0 / (span + 1)
+            if step:
+                total *= 1.0 - alpha
+                total += x * alpha
+            else:
+                total[:] = x
+        count = step + 1
+        if count < SLOW:
+            continue
+        now, signal = dif[:m], dea[:m]
+        np.subtract(fast[:m], slow[:m], out=now)
+        alpha = 2.0 / (SIGNAL + 1)
+        if count == SLOW:
+            signal[:] = now
+        else:
+            signal *= 1.0 - alpha
+            signal += now * alpha
+        if count >= SLOW + SIGNAL - 1:
+            for k in (3, 2, 1):
+                hist[k][:m] = hist[k - 1][:m]
+            hist[0][:m] = (now - signal) * 2
+    dea = np.where(length >= SLOW + SIGNAL - 1, dea, np.nan)
+    return {"macd_dif": dif, "macd_dea": dea, "macd_hist": hist[0], "macd_hist_1": hist[1], "macd_hist_3": hist[3]}
+
+
+def _ranges(frames: tuple, close: np.ndarray, high: np.ndarray, low: np.ndarray) -> dict[str, np.ndarray]:
+    _, first, length, running = frames
+    atr, prev = np.zeros(len(first)), None
+    for step, m in enumerate(running):
+        at = first[:m] + step
+        h, w = high[at], low[at]
+        part = h - w
+        if step:
+            part = np.maximum(part, np.maximum(np.abs(h - prev[:m]), np.abs(w - prev[:m])))
+        _smoothed(atr[:m], part, step + 1)
+        prev = close[at]
+    return {"atr14": np.where(length >= WILDER, atr, np.nan)}
+
+
+def frame_values(start: np.ndarray, o: int, close: np.ndarray, high: np.ndarray, low: np.ndarray, wanted: Collection[str]) -> dict[str, np.ndarray]:
+    """The wanted recursions over ``[start, bar]`` for the bars from ``o`` on; NaN marks what is missing.
 
-def with_recursions(bars: DataFrame, keep: int = MAX_BARS) -> DataFrame:
-    """All columns of ``bars`` and the recursive values over the last ``keep`` bars of the code up to each bar.
+    A bar without a close takes no part in any recursion, one without high or low
+    none in the true range.
+    """
+    out: dict[str, np.ndarray] = {}
+
+    def add(frames: tuple, values: dict[str, np.ndarray]) -> None:
+        for name, v in values.items():
+            out[name] = np.empty(len(v))
+            out[name][frames[0]] = v
+
+    live = ~np.isnan(close)
+    if set(wanted) - {"atr14"}:
+        frames, closes = _frames(start, o, live), close[live]
+        if "rsi14" in wanted:
+            add(frames, _gains(frames, closes))
+        if set(wanted) - {"atr14", "rsi14"}:
+            add(frames, _averages(frames, closes))
+    if "atr14" in wanted:
+        whole = live & ~np.isnan(high) & ~np.isnan(low)
+        frames = _frames(start, o, whole)
+        add(frames, _ranges(frames, close[whole], high[whole], low[whole]))
+    return out
+
+
+def with_recursions(bars: DataFrame, keep: int = MAX_BARS, wanted: Sequence[str] = VALUES) -> DataFrame:
+    """All columns of ``bars`` and the wanted recursive values over the last ``keep`` bars of the code up to each bar.
 
     Bars are unique per (code, dt).  A bar without a close still takes a place
     among the last ``keep``.  No bars give no rows.
@@ -120,16 +166,16 @@ def with_recursions(bars: DataFrame, keep: int = MAX_BARS) -> DataFrame:
                     fresh[0] = True
                 begin = np.maximum.accumulate(np.where(fresh, np.arange(len(fresh)), 0))
                 start = np.maximum(begin, np.arange(len(fresh)) - keep + 1)
-                found = frame_values(start, o, values["_close"], values["_high"], values["_low"], keep)
+                found = frame_values(start, o, values["_close"], values["_high"], values["_low"], wanted)
                 rest = max(int(begin[-1]), len(fresh) - keep + 1)
                 tail_code, tail = codes[-1], {c: v[rest:] for c, v in values.items()}
                 columns = [part.column(part.schema.get_field_index(k)) for k in kept]
-                columns += [pa.array(found[v], from_pandas=True) for v in VALUES]
-                yield pa.RecordBatch.from_arrays(columns, names=[*kept, *VALUES])
+                columns += [pa.array(found[v], from_pandas=True) for v in wanted]
+                yield pa.RecordBatch.from_arrays(columns, names=[*kept, *wanted])
 
     fields = ", ".join(f"{k} {rows.schema[k].dataType.simpleString()}" for k in kept)
-    out = rows.mapInArrow(advance, f"{fields}, {_FIELDS}")
-    return out.select(*[F.col(k).alias(c) for c, k in names.items()], *VALUES)
+    out = rows.mapInArrow(advance, ", ".join([fields, *[f"{v} double" for v in wanted]]))
+    return out.select(*[F.col(k).alias(c) for c, k in names.items()], *wanted)
 
 
 def momentum() -> list[Column]:
@@ -143,23 +189,22 @@ def momentum() -> list[Column]:
     ]
 
 
-def recursive_history(bars: DataFrame, keep: int = MAX_BARS) -> DataFrame:
-    """(code, dt, close, rsi14, MACD, momentum, ATR) for every bar with a close."""
-    rows = with_recursions(bars.select("code", "dt", "close", "high", "low"), keep).where(F.col("close").isNotNull())
+def recursive_history(bars: DataFrame, keep: int = MAX_BARS, wanted: Sequence[str] = VALUES) -> DataFrame:
+    """(code, dt, close, rsi14, MACD, momentum, ATR) for every bar with a close, as far as ``wanted`` values allow."""
+    rows = with_recursions(bars.select("code", "dt", "close", "high", "low"), keep, wanted).where(F.col("close").isNotNull())
     return rows.select(
         "code",
         "dt",
         dbl("close").alias("close"),
-        *VALUES[:4],
-        *momentum(),
-        "atr14",
-        (F.col("atr14") / null0(dbl("close")) * 100).alias("atr14_pct"),
+        *[v for v in VALUES[:4] if v in wanted],
+        *(momentum() if set(VALUES[3:6]) <= set(wanted) else []),
+        *(["atr14", (F.col("atr14") / null0(dbl("close")) * 100).alias("atr14_pct")] if "atr14" in wanted else []),
     )
 
 
 def overheated_history(bars: DataFrame, keep: int = MAX_BARS) -> DataFrame:
     """(code, dt, overheated) for every bar with a close."""
-    rsi = with_recursions(bars.select("code", "dt", "open", "high", "low", "close"), keep)
+    rsi = with_recursions(bars.select("code", "dt", "open", "high", "low", "close"), keep, ["rsi14"])
     rows = indicators_history(rsi, ["rsi14"])
     return rows.select("code", "dt", overheated(F.col("rsi14"), F.col("boll_position")).alias("overheated"))
 

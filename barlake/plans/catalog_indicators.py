@@ -323,13 +323,13 @@ def _frame_sql(ctes: str, select: str) -> str:
     return with_bindings(f"WITH {_FRAMES.strip()}, {ctes.strip()} {select}", "fx_bars")
 
 
-def _recursive_history(spark, d, *cols):
-    return recursions.recursive_history(bars(spark, d)).select("code", _day(), *cols)
+def _recursive_history(spark, d, wanted, *cols):
+    return recursions.recursive_history(bars(spark, d), wanted=wanted).select("code", _day(), *(cols or wanted))
 
 
 @query("ind_rsi", _frame_sql(_RSI, "SELECT code, CAST(as_of AS VARCHAR) AS dt, rsi14 FROM rsi"))
 def ind_rsi(spark, d):
-    return _recursive_history(spark, d, "rsi14")
+    return _recursive_history(spark, d, ["rsi14"])
 
 
 @query(
@@ -340,7 +340,7 @@ def ind_rsi(spark, d):
     ),
 )
 def ind_macd(spark, d):
-    return _recursive_history(spark, d, "macd_dif", "macd_dea", "macd_hist")
+    return _recursive_history(spark, d, ["macd_dif", "macd_dea", "macd_hist"])
 
 
 @query(
@@ -352,7 +352,7 @@ def ind_macd(spark, d):
     ),
 )
 def ind_momentum(spark, d):
-    return _recursive_history(spark, d, "momentum_delta_1", "momentum_delta_3", "momentum_improving")
+    return _recursive_history(spark, d, ["macd_hist", "macd_hist_1", "macd_hist_3"], "momentum_delta_1", "momentum_delta_3", "momentum_improving")
 
 
 @query(
@@ -363,7 +363,7 @@ def ind_momentum(spark, d):
     ),
 )
 def ind_atr(spark, d):
-    return _recursive_history(spark, d, "atr14", "atr14_pct")
+    return _recursive_history(spark, d, ["atr14"], "atr14", "atr14_pct")
 
 
 @query(

@@ -149,3 +149,21 @@ def test_frames_of_short_histories(spark):
     assert [(m[k].frame_rows, m[k].truncated_to, m[k].first_date.day) for k in (1, 2, 3, 4)] == [(1, 1, 1), (2, 2, 1), (2, 3, 2), (2, None, 3)]
     assert m[1].includes_intraday_today
     assert rec.recursive_history(bars(spark, [1.0]).limit(0)).count() == 0
+
+
+def test_only_the_recursions_asked_for_run(spark, monkeypatch):
+    import numpy as np
+
+    from barlake.operators import recursions as rec
+
+    ran = []
+    for name in ("_gains", "_averages", "_ranges"):
+        monkeypatch.setattr(rec, name, lambda *a, _n=name, _f=getattr(rec, name): ran.append(_n) or _f(*a))
+    x = np.array([1.0, 2.0, np.nan, 3.0] * 20)
+    start = np.maximum(np.arange(80) - 39, 0)
+    every = rec.frame_values(start, 5, x, x + 1, x - 1, rec.VALUES)
+    for wanted, parts in ((["rsi14"], ["_gains"]), (["macd_hist"], ["_averages"]), (["atr14"], ["_ranges"])):
+        ran.clear()
+        got = rec.frame_values(start, 5, x, x + 1, x - 1, wanted)
+        assert ran == parts
+        assert all(np.array_equal(got[w], every[w], equal_nan=True) for w in wanted)
