@@ -67,3 +67,10 @@ def test_history_limit_is_applied_before_the_shuffle(spark):
 
     plan = cutoff(bars(spark, SF), ["2001-12-01"])._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+def test_the_indicators_of_the_universe_are_worked_out_once(spark):
+    from barlake.plans.bindings import universe
+
+    plan = universe(spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("lineitem.parquet") == 1
