@@ -19,13 +19,31 @@ import numpy as np
 
 #: Pieces kept by one worker, in two generations of this size.
 CACHE = 500_000
-#: White space other than space and line end, or two such in a row, or one at either end of a line.
-_ODD = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0 ᠎ -‍    ⁠　﻿]|<\\|")
-_GAPS = re.compile("  |\n\n|\n | \n|^[ \n]|[ \n]$")
-#: A word of Latin letters (composed forms) and the marks after it.
-_PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
+#: White space other than space and line end.
+_ODD = "\t\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0 ᠎    ⁠　﻿" + "".join(map(chr, range(0x2000, 0x200E)))
+_ODD_ASCII = "".join(c for c in _ODD if c < "\x80")
+#: Two spaces or line ends in a row.
+_GAPS = ("  ", "\n\n", "\n ", " \n")
+#: Latin letters (composed forms) other than ASCII ones, and the marks after a word.
+_LATIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+_MARKS = ".,;:!?"
 #: How byte-level vocabularies show bytes that are no printable Latin-1 character: by code points from 256 on, in order.
 _SHOWN = {b: 256 + k for k, b in enumerate([*range(0x21), *range(0x7F, 0xA1), 0xAD])}
+_PACK = [struct.Struct(f"<{n}I").pack for n in range(33)]
+
+
+def _packed(ids: list[int]) -> bytes:
+    return _PACK[len(ids)](*ids) if len(ids) < len(_PACK) else struct.pack(f"<{len(ids)}I", *ids)
+
+
+def _odd(text: str) -> bool:
+    """Whether cuts at single spaces and line ends might not be the tokenizer's; looking for one character at a time is a scan of memory."""
+    return any(c in text for c in (_ODD_ASCII if text.isascii() else _ODD)) or "<|" in text
+
+
+def _gaps(text: str) -> bool:
+    """Whether there is a run of white space, or white space at either end; ``text`` is not empty."""
+    return text[0] in " \n" or text[-1] in " \n" or any(g in text for g in _GAPS)
 
 
 class Cache(dict):
@@ -62,39 +80,39 @@ class Encoder:
         self.spaces = spaces
         self.end_of_line = self.whole("\n") if spaces else b""
         self.inner = Cache(self._inner, limit)
-        self.word = Cache(self._word, limit)
         self.marks = Cache(self.whole, limit // 4)
         self.first = Cache(self.whole, limit // 4)
 
     def whole(self, text: str) -> bytes:
-        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        return struct.pack(f"<{len(ids)}I", *ids)
+        return _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def _inner(self, piece: str) -> bytes:
         """A piece with the space before it; letters and the marks after them are separate to the pre-tokenizer."""
-        parts = _PLAIN.fullmatch(piece)
-        if not parts:
+        word = piece.rstrip(_MARKS)
+        plain = word.isalpha() if word.isascii() else _LATIN.fullmatch(word)
+        if not plain:
             return self.whole(" " + piece if self.spaces else piece)
-        word, marks = parts.groups()
-        ids = self.word[word if self.spaces else word.lower()]
-        return ids + self.marks[marks] if marks else ids
+        bare = word if self.spaces else word.lower()
+        if bare == piece:
+            return self._word(piece)
+        ids = self.inner[bare]
+        return ids + self.marks[piece[len(word) :]] if len(word) < len(piece) else ids
 
     def _word(self, word: str) -> bytes:
         """Latin letters only: one pre-token, which goes to the model as it is."""
         if not word.isalpha():
             return self.whole(" " + word if self.spaces else word)
-        shown = word.encode().decode("latin-1").translate(_SHOWN)
-        tokens = self.model.tokenize("\u0120" + shown if self.spaces else shown)
-        return struct.pack(f"<{len(tokens)}I", *[x.id for x in tokens])
+        shown = word if word.isascii() else word.encode().decode("latin-1").translate(_SHOWN)
+        return _packed([x.id for x in self.model.tokenize("\u0120" + shown if self.spaces else shown)])
 
     def ids(self, text: str | None) -> bytes:
         if not text:
             return b""
-        if _ODD.search(text):
+        if _odd(text):
             return self.whole(text)
         if not self.spaces:
             return b"".join(map(self.inner.__getitem__, text.split()))
-        if _GAPS.search(text):
+        if _gaps(text):
             return self._runs(text)
         lines = []
         for line in text.split("\n"):
@@ -136,7 +154,7 @@ class OffsetEncoder:
         """(tokens, 2) starts and ends in code points, ends exclusive."""
         if not text:
             return np.empty((0, 2), np.int64)
-        if _ODD.search(text):
+        if _odd(text):
             return np.frombuffer(self._piece(text), "<i4").reshape(-1, 2).astype(np.int64)
         cut = Encoder._RUN.findall(text)
         parts = list(map(self.pieces.__getitem__, cut))

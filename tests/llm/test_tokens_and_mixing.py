@@ -250,3 +250,16 @@ def test_pipeline_against_brute_force(spark, docs, cases, monkeypatch):
 
 def test_exact_stage_blocks(docs):
     assert exact_dedup.identities(docs, 32).count() == docs.count()
+
+
+def test_scans_before_encoding_find_what_they_should():
+    for c in "\t\r\x0b\x0c\x1c\x1f\x85\xa0 ᠎ ‍    ⁠　﻿":
+        assert tokens._odd(f"a{c}b") and tokens._odd(f"ä{c}b一")
+    assert tokens._odd("a <|b") and not tokens._odd("a b\nc < | ä一")
+    assert all(map(tokens._gaps, (" a", "a ", "\na", "a\n", "a  b", "a\n\nb", "a \nb", "a\n b"))) and not tokens._gaps("a b\nc")
+
+
+def test_a_word_of_letters_is_kept_once():
+    own = tokens.Encoder(BYTE, True)
+    own.ids("x word word. word, wörter wörter!")
+    assert set(own.inner) == {"word", "word.", "word,", "wörter", "wörter!"} and set(own.marks) == {".", ",", "!"}
