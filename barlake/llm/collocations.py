@@ -160,17 +160,18 @@ def run_counts(dictionary: DataFrame, sizes: tuple[int, ...], pairs: np.ndarray
                 for k in range(0, len(i), OUT_ROWS):
                     part = i[k : k + OUT_ROWS]
                     rows = pa.array(chunk[part])
-                    arrays = [
-                        batch.column(0).take(rows),
-                        pa.array(np.full(len(part), size, np.int32)),
-                        _binary(data, starts[part], ends[part + size - 1]),
-                        batch.column(3).take(rows),
-                    ]
-                    yield pa.RecordBatch.from_arrays(arrays, names=["lang", "n_words", "phrase", "f"])
+                    arrays = [batch.column(0).take(rows), _binary(data, starts[part], ends[part + size - 1]), batch.column(3).take(rows)]
+                    yield pa.RecordBatch.from_arrays(arrays, names=["lang", "phrase", "f"])
 
     rows = dictionary.select("lang", "chunk", "ends", "times")
-    each = rows.mapInArrow(count, "lang string, n_words int, phrase binary, f long")
-    return each.groupBy("lang", "n_words", "phrase").agg(F.sum("f").alias("f"))
+    each = rows.mapInArrow(count, "lang string, phrase binary, f long")
+    # one key in place of three: nearly all that this operator writes to disk are these rows; no phrase has a line end
+    each = each.select(F.concat(F.col("lang").cast("binary"), F.lit(b"\n"), "phrase").alias("key"), "f")
+    counts = each.groupBy("key").agg(F.sum("f").alias("f"))
+    key = F.col("key").cast("string")
+    phrase = F.substring_index(key, "\n", -1)
+    lang = F.substring(key, F.lit(1), F.char_length(key) - F.char_length(phrase) - 1)
+    return counts.select(lang.alias("lang"), F.size(F.split(phrase, " ", -1)).alias("n_words"), phrase.cast("binary").alias("phrase"), "f")
 
 
 def score() -> Column:

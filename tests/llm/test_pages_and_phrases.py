@@ -269,3 +269,19 @@ def test_importance(spark):
     rest = {(r.page_id, r.url): (r.text, r.n_chars) for r in html_extraction.extract(pages).where("page_id in (7, 8, 9) and url is null or url in ('', 'http://[')").collect()}
     assert rest[9, None] == ("x", 1) and rest[8, "http://["] == ("", 0) == rest[7, ""]
     assert html_extraction.extract(pages.limit(0)).count() == 0
+
+
+def test_runs_are_counted_by_one_key(spark):
+    rows = [("a\nb", "x y. x y", True), ("a", "b\tx y", True), ("", "x y", True), ("日本", "日 本", True)]
+    docs = spark.createDataFrame([(t, lang) for lang, t, _ in rows], "text string, lang string")
+    counts = collocations.run_counts(collocations.parse(docs), (1, 2))
+    assert counts.dtypes == [("lang", "string"), ("n_words", "int"), ("phrase", "binary"), ("f", "bigint")]
+    got = {(r.lang, r.n_words, bytes(r.phrase).decode()): r.f for r in counts.collect()}
+    assert got == {
+        ("a\nb", 1, "x"): 2, ("a\nb", 1, "y"): 2, ("a\nb", 2, "x y"): 2,
+        ("a", 1, "b"): 1, ("a", 1, "x"): 1, ("a", 1, "y"): 1, ("a", 2, "b x"): 1, ("a", 2, "x y"): 1,
+        ("", 1, "x"): 1, ("", 1, "y"): 1, ("", 2, "x y"): 1,
+        ("日本", 1, "日"): 1, ("日本", 1, "本"): 1, ("日本", 2, "日 本"): 1,
+    }
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert "keys=[key#" in plan and "keys=[lang#" not in plan.split("MapInArrow")[0]
