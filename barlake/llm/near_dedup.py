@@ -16,7 +16,8 @@ Points are drawn only while they can still be earlier than the latest slot.
 bucket the text that shares most buckets with others - in a group of copies with
 changes of their own that is the one they come from - is compared with the
 others; then one from outside its class; at the end every pair of a bucket whose
-texts still are in different classes.  So a bucket of n texts of one class costs
+texts still are in different classes, unless what each has in common with the
+bucket's leader, and what it has beyond it, leaves no room for the similarity.  So a bucket of n texts of one class costs
 about n comparisons, and comparisons are spared only where a class already joins
 two texts or where their signatures rule the similarity out: of four bits for each
 slot, more than ``MOST_APART`` slots differ in one of 30,000 pairs with similarity
@@ -48,8 +49,15 @@ SLOTS = BANDS * ROWS
 #: Slots whose bits may differ: 252 * 0.2 * 15 / 16 are expected at similarity 0.8, the standard deviation is 6.2.
 MOST_APART = 72
 PLANES = 4
+#: Points drawn in one step for all runs of a batch, and the most of one run.
+POINTS = 1 << 14
+MOST_POINTS = 16
 #: Rounds of comparing with one leader a bucket before the pairs that are left.
 LEADER_ROUNDS = 3
+#: Buckets of at least so many texts are measured against their leader before their pairs are formed.
+CROWD = 8
+#: Bits for the runs that a text has beyond its leader, in integers of 64.
+BEYOND = 8
 
 _WORD = re.compile(r"\w+")
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
@@ -109,15 +117,26 @@ def signatures(bags: list[tuple[np.ndarray, np.ndarray]], slots: int = SLOTS) ->
     flat = first.reshape(-1)
     point = 0
     while len(run):
-        point += 1
-        a = _mix(state + np.uint64(point * int(_STEP) & 0xFFFFFFFFFFFFFFFF))
+        # several points of each run at once where few runs are left; one too many changes no minimum
+        many = min(max(POINTS // len(run), 1), MOST_POINTS)
+        numbers = np.arange(point + 1, point + many + 1, dtype=np.uint64) * _STEP
+        point += many
+        a = _mix(state[:, None] + numbers)
         b = _mix(a + _STEP)
-        time = time - np.log(((a >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53) / size
+        gaps = np.log(((a >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53) / size[:, None]
+        gaps[:, 0] = time + -gaps[:, 0]
+        np.negative(gaps[:, 1:], out=gaps[:, 1:])
+        times = np.cumsum(gaps, axis=1)
         slot = (b >> np.uint64(32)).astype(np.int64) * slots >> 32
-        level = low + ((b & np.uint64(0xFFFFFFFF)).astype(np.int64) * size >> 32)
-        real = level < weight
-        np.minimum.at(flat, owner[real] * slots + slot[real], time[real])
-        active = time < first.max(axis=1)[owner]
+        level = low[:, None] + ((b & np.uint64(0xFFFFFFFF)).astype(np.int64) * size[:, None] >> 32)
+        real = level < weight[:, None]
+        np.minimum.at(flat, (owner[:, None] * slots + slot)[real], times[real])
+        time = times[:, -1]
+        # runs stand in the order of their texts within a piece of the axis
+        left = np.unique(owner)
+        latest = np.empty(len(bags))
+        latest[left] = first[left].max(axis=1)
+        active = time < latest[owner]
         if not active.all():
             owner, state, time = owner[active], state[active], time[active]
             low, size, weight, run = low[active], size[active], weight[active], run[active]
@@ -177,6 +196,48 @@ def _maybe(a: str, b: str) -> Column:
     return apart[0] + apart[1] + apart[2] + apart[3] <= MOST_APART
 
 
+def beyond(bag: tuple[np.ndarray, np.ndarray], lead: tuple[np.ndarray, np.ndarray]) -> tuple[int, ...]:
+    """(size, inside, spare, bits ...): all runs of a text, those it shares with the leader and, of the others, how many have no bit of their own.
+
+    Two texts share at most the smaller of their ``inside``, a run for each common bit and the smaller of their ``spare``.
+    """
+    _, here, there = np.intersect1d(bag[0], lead[0], assume_unique=True, return_indices=True)
+    more, size = bag[1].copy(), int(bag[1].sum())
+    more[here] -= np.minimum(bag[1][here], lead[1][there])
+    extra = int(more.sum())
+    places = np.unique(bag[0][more > 0] & np.uint64(64 * BEYOND - 1)).astype(np.int64)
+    marks = np.zeros(64 * BEYOND, np.uint8)
+    marks[places] = 1
+    return (size, size - extra, extra - len(places), *np.packbits(marks, bitorder="little").view("<i8").tolist())
+
+
+MEASURES = ["size", "inside", "spare", *[f"o{i}" for i in range(BEYOND)]]
+
+
+def _measured(led: DataFrame, texts: DataFrame) -> DataFrame:
+    """(node, lead, size, inside, spare, o0 ...) for every (node, lead)."""
+
+    def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        last, lead = None, None
+        for pdf in batches:
+            out = []
+            for node, at, text, lead_text in zip(pdf["node"], pdf["lead"], pdf["text"], pdf["lead_text"], strict=True):
+                if at != last:
+                    last, lead = at, shingles(lead_text)
+                out.append((node, at, *beyond(shingles(text), lead)))
+            yield pd.DataFrame(out, columns=["node", "lead", *MEASURES])
+
+    both = led.join(texts, "node").join(texts.select(F.col("node").alias("lead"), F.col("text").alias("lead_text")), "lead")
+    return both.select("node", "lead", "text", "lead_text").mapInPandas(measure, "node long, lead long, " + ", ".join(f"{c} long" for c in MEASURES))
+
+
+def _room() -> Column:
+    """Whether the measures of two texts by one leader, the second ones in columns with ``2`` after their names, allow for the similarity."""
+    common = sum((F.bit_count(F.col(f"o{i}").bitwiseAND(F.col(f"o{i}2"))) for i in range(BEYOND)), F.lit(0))
+    most = F.least("inside", "inside2") + common + F.least("spare", "spare2")
+    return F.coalesce((1 + SIMILARITY) * most >= SIMILARITY * (F.col("size") + F.col("size2")) - 1e-6, F.lit(True))
+
+
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (a, b) of nodes that are similar enough."""
 
@@ -282,18 +343,31 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             pairs = state.join(lead, "bucket").where((F.col("comp") != F.col("lead_comp")) & _maybe("b", "lb"))
             pairs = pairs.select(F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b"))
         else:
-            other = state.select(
-                "bucket", F.col("node").alias("n2"), F.col("comp").alias("c2"), F.col("bands").alias("o_bands"), *[F.col(n).alias(f"o{n}") for n in names]
+            # the most connected text of a bucket leads it, as in the first round
+            open_buckets = state.groupBy("bucket").agg(
+                F.min("comp").alias("x"), F.max("comp").alias("y"), F.count(F.lit(1)).alias("texts"), F.max(F.struct("degree", "node")).alias("l")
+            )
+            open_buckets = open_buckets.where("x <> y").select("bucket", F.when(F.col("texts") >= CROWD, F.col("l.node")).alias("lead"))
+            near = written(state.join(open_buckets, "bucket"), "open")
+            measures = written(_measured(near.where("lead is not null").select("node", "lead").distinct(), texts), "measures")
+            near = written(near.join(measures, ["node", "lead"], "left"), "open")
+            other = near.select(
+                "bucket",
+                F.col("node").alias("n2"),
+                F.col("comp").alias("c2"),
+                F.col("bands").alias("o_bands"),
+                *[F.col(n).alias(f"o{n}") for n in names],
+                *[F.col(n).alias(f"{n}2") for n in MEASURES],
             )
-            open_buckets = state.groupBy("bucket").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("bucket")
-            near = state.join(open_buckets, "bucket", "left_semi").alias("s")
+            near = near.alias("s")
             # two texts often share several buckets; only the first of these gives the pair
             shared = F.filter(F.zip_with("bands", "o_bands", lambda x, y: F.when(x == y, x)), lambda x: x.isNotNull())
             pairs = near.join(
                 other.alias("o"),
                 (F.col("s.bucket") == F.col("o.bucket"))
                 & (F.col("comp") < F.col("c2"))
-                & F.when(_maybe("b", "ob"), F.get(shared, F.lit(0)) == F.col("s.bucket")).otherwise(False),
+                & F.when(_maybe("b", "ob"), F.get(shared, F.lit(0)) == F.col("s.bucket")).otherwise(False)
+                & _room(),
             )
             pairs = pairs.select(F.least("node", "n2").alias("a"), F.greatest("node", "n2").alias("b"))
         pairs = pairs.distinct()

@@ -143,3 +143,43 @@ def test_repeats_with_unique_ids(spark, cases, empty, tmp_path):
     assert sorted((str(r.doc_id), r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in rows) == repeats_brute(some)
     assert all(hashlib.sha256(r.kept).hexdigest() == r.kept_sha256 for r in rows)
     assert repeats.remove_repeats(empty).count() == 0
+
+
+def _changed_versions(n: int, seed: int = 4) -> list[str]:
+    rnd = np.random.default_rng(seed)
+    base = [f"w{i}" for i in range(140)]
+    out = []
+    for k in range(n):
+        words = base[: int(rnd.integers(110, 141))] if k % 4 == 0 else list(base)
+        for place in rnd.choice(len(words), int(rnd.integers(0, 12)), replace=False):
+            words[place] = f"v{rnd.integers(0, 40)}"
+        out.append(" ".join(words))
+    return out
+
+
+def test_measures_by_a_leader_never_rule_out_a_link(spark):
+    bags = [near_dedup.shingles(t) for t in _changed_versions(40)] + [near_dedup.shingles("a b c d e " * k) for k in (3, 9, 12)]
+    rows = [(i, *near_dedup.beyond(b, bags[j])) for j in (0, 5, 41) for i, b in enumerate(bags)]
+    frame = spark.createDataFrame([(k // len(bags), *r) for k, r in enumerate(rows)], ["by", "i", *near_dedup.MEASURES])
+    pairs = frame.join(frame.toDF("by", *[f"{c}2" for c in frame.columns[1:]]), "by").where("i < i2").where(~near_dedup._room())
+    out = {(r.i, r.i2) for r in pairs.select("i", "i2").collect()}
+    like = {(a, b) for a in range(len(bags)) for b in range(a + 1, len(bags)) if near_dedup.similarity(bags[a], bags[b]) >= near_dedup.SIMILARITY}
+    assert like and not out & like and len(out) > 300
+
+
+def test_changed_versions_of_one_text_are_not_compared_in_pairs(spark, monkeypatch):
+    texts = _changed_versions(150)
+    cases = [(i, t, "x") for i, t in enumerate(texts)]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in cases], "doc_id long, text string").repartition(3)
+    compared, verify = [], near_dedup._verified
+    monkeypatch.setattr(near_dedup, "_verified", lambda pairs, texts: compared.append(pairs.count()) or verify(pairs, texts))
+    got = sorted((r.doc_id, r.class_id) for r in near_dedup.near_duplicates(docs).collect())
+    bags = [near_dedup.shingles(t) for t in texts]
+    comp = list(range(len(bags)))
+    for a in range(len(bags)):
+        for b in range(a):
+            if comp[a] != comp[b] and near_dedup.similarity(bags[a], bags[b]) >= near_dedup.SIMILARITY:
+                comp = [min(comp[a], comp[b]) if c in (comp[a], comp[b]) else c for c in comp]
+    assert got == list(enumerate(comp))
+    print("compared", compared)
+    assert sum(compared) < 4 * len(texts)
