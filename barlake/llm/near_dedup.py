@@ -132,7 +132,6 @@ def signatures(bags: list[tuple[np.ndarray, np.ndarray]], slots: int = SLOTS) ->
         real = level < weight[:, None]
         np.minimum.at(flat, (owner[:, None] * slots + slot)[real], times[real])
         time = times[:, -1]
-        # runs stand in the order of their texts within a piece of the axis
         left = np.unique(owner)
         latest = np.empty(len(bags))
         latest[left] = first[left].max(axis=1)

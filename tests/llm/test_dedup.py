@@ -181,5 +181,4 @@ def test_changed_versions_of_one_text_are_not_compared_in_pairs(spark, monkeypat
             if comp[a] != comp[b] and near_dedup.similarity(bags[a], bags[b]) >= near_dedup.SIMILARITY:
                 comp = [min(comp[a], comp[b]) if c in (comp[a], comp[b]) else c for c in comp]
     assert got == list(enumerate(comp))
-    print("compared", compared)
     assert sum(compared) < 4 * len(texts)
