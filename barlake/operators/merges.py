@@ -7,7 +7,7 @@ is used: whether a side is broadcast follows from its measured size (AQE).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -440,7 +440,13 @@ def interval_rows(asks: DataFrame, minutes: DataFrame) -> DataFrame:
 
 
 def fulfil_requests(
-    requests: DataFrame, indicators: DataFrame, bars: DataFrame, minutes: DataFrame, today: str | None = None
+    requests: DataFrame,
+    indicators: DataFrame,
+    bars: DataFrame,
+    minutes: DataFrame,
+    today: str | None = None,
+    bar_as: Callable[[Column], Column] = lambda r: r,
+    minute_as: Callable[[Column], Column] = lambda r: r,
 ) -> DataFrame:
     """One row per requested code and scope: what its fields ask for, or an error.
 
@@ -449,9 +455,10 @@ def fulfil_requests(
     before the observation date, ``k`` = 1 the newest.  ``minutes``: code, date,
     minute, price and cumulative volume (in shares) and amount.  With ``today``
     minutes of any other date are refused.  A field that was not asked for is NULL.
+    ``bar_as`` and ``minute_as`` say how a bar and a minute are shown; that is worked
+    out once per code and per interval.
     """
     want = requests.select("*", F.explode("codes").alias("code")).drop("codes")
-    want = want.withColumn("ask", F.concat_ws("|", "request_id", "code"))
 
     def asked(scope: str, field: str) -> Column:
         return F.coalesce(F.array_contains(F.col(f"{scope}.fields"), field), F.lit(False))
@@ -460,7 +467,7 @@ def fulfil_requests(
     ask_daily = want.where(F.col("daily").isNotNull())
     # only codes whose bars somebody asks for are gathered, each at most MAX_LOOKBACK of them
     tails = bars.where(F.col("k") <= MAX_LOOKBACK).join(ask_daily.where(asked("daily", "raw")).select("code").distinct(), "code", "left_semi")
-    tails = tails.groupBy("code").agg(F.array_sort(F.collect_list(F.struct("dt", "open", "high", "low", "close", "volume"))).alias("_tail"))
+    tails = tails.groupBy("code").agg(F.transform(F.array_sort(F.collect_list(F.struct("dt", "open", "high", "low", "close", "volume"))), bar_as).alias("_tail"))
     lookback = F.col("daily.lookback")
     raw = F.slice("_tail", F.greatest(F.size("_tail") - lookback, F.lit(0)) + 1, lookback)
     daily = (
@@ -480,7 +487,6 @@ def fulfil_requests(
     ask_minute = want.where(F.col("minute").isNotNull()).select(
         "request_id",
         "code",
-        "ask",
         F.col("minute.date").try_cast("date").alias("date"),
         _minute_of(F.col("minute.start")).alias("low"),
         _minute_of(F.col("minute.end")).alias("high"),
@@ -489,12 +495,16 @@ def fulfil_requests(
     )
     right_day = F.lit(True) if today is None else F.coalesce(F.col("date") == F.lit(today).cast("date"), F.lit(False))
     ask_minute = ask_minute.withColumn("_day", right_day)
-    keys = ["ask", "code", "date", "low", "high"]
-    facts = interval_facts(ask_minute.where("_day").select(keys), minutes)
-    raws = interval_rows(ask_minute.where("_day AND _raw").select(keys), minutes)
+    # many requests ask for the same interval: each is answered once
+    keys = ["code", "date", "low", "high"]
+    spans = ask_minute.where("_day AND date IS NOT NULL AND low <= high").groupBy(*keys).agg(F.max("_raw").alias("_raw"))
+    spans = spans.withColumn("ask", F.concat_ws("|", *keys))
+    facts = interval_facts(spans.select("ask", *keys), minutes)
+    raws = interval_rows(spans.where("_raw").select("ask", *keys), minutes)
+    raws = raws.select("ask", F.transform("minute_raw", minute_as).alias("minute_raw"))
+    answers = spans.select("ask", *keys).join(facts, "ask").join(raws, "ask", "left").drop("ask")
     minute = (
-        ask_minute.join(facts, "ask", "left")
-        .join(raws, "ask", "left")
+        ask_minute.join(answers, keys, "left")
         .select(
             "request_id",
             "code",
@@ -502,7 +512,7 @@ def fulfil_requests(
             F.col("n").isNotNull().alias("ok"),
             F.coalesce("n", F.lit(0)).alias("rows"),
             F.when(F.col("_vwap"), dbl("amount") / null0(dbl("volume"))).alias("vwap"),
-            "minute_raw",
+            F.when(F.col("_raw"), F.col("minute_raw")).alias("minute_raw"),
             F.when(~F.col("_day"), "minute request date does not match current date")
             .when(F.col("n").isNull(), "no minute rows in requested interval")
             .alias("error"),

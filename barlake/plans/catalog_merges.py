@@ -12,6 +12,7 @@ from barlake.plans.catalog_indicators import _ATR_FOLD, _RSI_FOLD, _macd_fold
 from barlake.plans.catalog_minutes import _CUM, cumulative
 from barlake.plans.catalog_sources import _MASTER, _WATCH, _master_raw, _runs, _watchlists
 from barlake.plans.registry import query
+from barlake.session import materialize
 from barlake.sources import documents as docs
 from barlake.sources import raw_text as rt
 
@@ -470,14 +471,17 @@ def _asks(spark, d):
     )
 
 
-def _fulfilled(spark, d, today=None):
-    b = bars(spark, d)
+def _fulfilled(spark, d, today=None, **shown):
+    asks = _asks(spark, d)
+    # a code counts once, so the list is written: its size then decides how bars are narrowed down, before they are summed up
+    codes = materialize(spark, asks.select(F.explode("codes").alias("code")).distinct(), "request-codes")
+    b = bars(spark, d).join(codes, "code", "left_semi")
     rec = ind.indicators_as_of(b, [AS_OF])
     tail = ind.cutoff(b, [AS_OF])
     cum = cumulative(spark, d).select(
         "code", F.col("trade_date").alias("date"), (F.hour("ts") * 60 + F.minute("ts")).alias("minute"), dbl("price").alias("price"), "volume", "amount"
     )
-    return mg.fulfil_requests(_asks(spark, d), rec, tail, cum, today)
+    return mg.fulfil_requests(asks, rec, tail, cum, today, **shown)
 
 
 _ASKED = lambda scope, names, n: f"(CAST(k % {2 ** len(names)} AS INT) >> {names.index(n)}) % 2 = 1"
@@ -509,23 +513,24 @@ ff AS (SELECT request_id, rq.code, 'daily' AS scope, s2.code IS NOT NULL AS ok,
   FROM rq LEFT JOIN mv ON mv.request_id = rq.request_id AND mv.code = rq.code WHERE k % 4 <> 1)"""
 
 
-def _answers(df):
+def _answers(spark, d, today=None):
     """Arrays as text: date=close and minute=volume."""
-    daily = F.transform("daily_raw", lambda r: F.concat_ws("=", r["dt"].cast("string"), r["close"].cast("string")))
-    minute = F.transform("minute_raw", lambda r: F.concat_ws("=", r["minute"].cast("string"), r["volume"].cast("string")))
-    return df.withColumns({"daily_raw": F.array_join(daily, ","), "minute_raw": F.array_join(minute, ",")})
+    daily = lambda r: F.concat_ws("=", r["dt"].cast("string"), r["close"].cast("string"))
+    minute = lambda r: F.concat_ws("=", r["minute"].cast("string"), r["volume"].cast("string"))
+    df = _fulfilled(spark, d, today, bar_as=daily, minute_as=minute)
+    return df.withColumns({"daily_raw": F.array_join("daily_raw", ","), "minute_raw": F.array_join("minute_raw", ",")})
 
 
 @query("jn_request_fulfil", with_bindings(f"WITH {_fulfil_sql('true')} SELECT * FROM ff", "fx_bars", "fx_session"))
 def jn_request_fulfil(spark, d):
     """Requests for any date."""
-    return _answers(_fulfilled(spark, d))
+    return _answers(spark, d)
 
 
 @query("jn_request_today", with_bindings(f"""WITH {_fulfil_sql("day = DATE '2024-01-15'")} SELECT * FROM ff""", "fx_bars", "fx_session"))
 def jn_request_today(spark, d):
     """The same requests where only one date is current."""
-    return _answers(_fulfilled(spark, d, "2024-01-15"))
+    return _answers(spark, d, "2024-01-15")
 
 
 @query(
