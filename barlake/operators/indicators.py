@@ -233,7 +233,7 @@ def indicators_as_of(bars: DataFrame, as_of: Sequence[str], keep: int = MAX_BARS
         F.min(newest(20, F.col("_low"))).alias("_lo20"),
         F.count(newest(20, F.col("_high"))).alias("_nhi"),
         F.count(newest(20, F.col("_low"))).alias("_nlo"),
-        F.array_sort(F.collect_list(bar)).alias("_bars"),  # at most `keep` elements
+        F.sort_array(F.collect_list(bar)).alias("_bars"),  # at most `keep` elements
     )
     n = F.col("used_rows")
     full = F.filter(F.col("_bars"), lambda b: b["h"].isNotNull() & b["l"].isNotNull())

@@ -35,6 +35,18 @@ def test_daily_documents(spark, tmp_path, change, problem):
     assert docs.daily_rows(parsed).count() == (3 if problem is None else 0)
 
 
+def test_documents_are_parsed_once(spark):
+    """Each text meets the two parsers once, whatever rules its rows depend on."""
+    bad = document(rows=[{**r, "close": None} for r in document()["rows"]])
+    raw = spark.createDataFrame([("a", json.dumps(document())), ("b", "{broken"), ("c", json.dumps(bad)), ("d", None)], "name string, text string")
+    parsed = docs.parse_daily_documents(raw)
+    rows = docs.document_rows(parsed, "name", "problem").groupBy("name", "problem").agg(F.count("r").alias("n"))
+    assert {r.name: (r.problem, r.n) for r in rows.collect()} == {"a": (None, 3), "b": ("unreadable", 0), "c": ("rows", 0), "d": ("unreadable", 0)}
+    for df in (rows, docs.daily_rows(parsed)):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("from_json(") == 2
+
+
 def test_csv_with_comments_and_bom(spark, tmp_path):
     (tmp_path / "m.csv").write_text("﻿code,name\n# note\n000001,a\n600000,b\n", encoding="utf-8")
     df = tb.read_strings_csv(spark, str(tmp_path / "m.csv"), ["code", "name"], ["code"])
