@@ -128,32 +128,32 @@ def macd_fold(series: Column) -> Column:
     def ema(alpha, old, new):
         return new * F.lit(alpha) + old * F.lit(1.0 - alpha)
 
-    def step(acc, x):
-        i = acc["i"] + 1
-        fast = F.when(acc["i"] == 0, x["c"]).otherwise(ema(2.0 / 13.0, acc["fast"], x["c"]))
-        slow = F.when(acc["i"] == 0, x["c"]).otherwise(ema(2.0 / 27.0, acc["slow"], x["c"]))
-        dif = F.when(i >= 26, fast - slow)
+    def settled(acc):
+        """dif, dea and histogram of the last element: read off its averages, so a step works each average out once."""
+        dif = F.when(acc["i"] >= 26, acc["fast"] - acc["slow"])
         dea = F.coalesce(ema(0.2, acc["dea"], dif), dif)
+        return dif, dea, F.when(acc["i"] >= 34, (dif - dea) * 2)
+
+    def step(acc, x):
+        _, dea, hist = settled(acc)
         return F.struct(
-            i.alias("i"),
-            fast.alias("fast"),
-            slow.alias("slow"),
+            (acc["i"] + 1).alias("i"),
+            F.when(acc["i"] == 0, x["c"]).otherwise(ema(2.0 / 13.0, acc["fast"], x["c"])).alias("fast"),
+            F.when(acc["i"] == 0, x["c"]).otherwise(ema(2.0 / 27.0, acc["slow"], x["c"])).alias("slow"),
             dea.alias("dea"),
-            F.when(i >= 34, (dif - dea) * 2).alias("h0"),
-            acc["h0"].alias("h1"),
+            hist.alias("h1"),
             acc["h1"].alias("h2"),
             acc["h2"].alias("h3"),
         )
 
-    start = F.struct(
-        F.lit(0).alias("i"), *[none.alias(n) for n in ("fast", "slow", "dea", "h0", "h1", "h2", "h3")]
-    )
+    start = F.struct(F.lit(0).alias("i"), *[none.alias(n) for n in ("fast", "slow", "dea", "h1", "h2", "h3")])
 
     def finish(acc):
+        dif, dea, hist = settled(acc)
         return F.struct(
-            F.when(acc["i"] >= 26, acc["fast"] - acc["slow"]).alias("dif"),
-            F.when(acc["i"] >= 34, acc["dea"]).alias("dea"),
-            acc["h0"].alias("hist"),
+            dif.alias("dif"),
+            F.when(acc["i"] >= 34, dea).alias("dea"),
+            hist.alias("hist"),
             acc["h1"].alias("hist_1"),
             acc["h3"].alias("hist_3"),
         )
@@ -186,8 +186,10 @@ def atr_fold(series: Column, n: int = WILDER) -> Column:
 
 def cutoff(bars: DataFrame, as_of: Sequence[str], keep: int = MAX_BARS) -> DataFrame:
     """The last ``keep`` bars strictly before each as-of date; ``k`` = 1 is the newest."""
-    dates = F.array(*[F.lit(d).cast("date") for d in as_of])
-    spread = bars.withColumn("as_of", F.explode(dates)).where(F.col("dt") < F.col("as_of"))
+    days = [F.lit(d).cast("date") for d in as_of]
+    # no as-of date reads later bars; said on its own, this reaches the scan
+    past = bars.where(F.col("dt") < (F.greatest(*days) if len(days) > 1 else days[0]))
+    spread = past.withColumn("as_of", F.explode(F.array(*days))).where(F.col("dt") < F.col("as_of"))
     return latest_per_key(spread, ["code", "as_of"], [F.col("dt").desc()], keep, "k")
 
 

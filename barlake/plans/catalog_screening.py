@@ -11,13 +11,13 @@ from barlake.operators import crosssection as cs
 from barlake.operators import indicators as ind
 from barlake.operators import merges as mg
 from barlake.operators import screening as sc
-from barlake.plans.bindings import AS_OF, bars, code_of, r2, scan_universe, snapshot, table, universe, with_bindings
+from barlake.plans.bindings import AS_OF, bars, code_of, r2, scan_universe, snapshot, table, with_bindings, written_universe
 from barlake.plans.registry import query
 from barlake.session import materialize
 
 
 def _trad(spark, d, quotes=None):
-    s = (universe(spark, d) if quotes is None else quotes).withColumn("listing_date", F.when(F.col("k") % 5 != 0, F.date_sub(F.lit("2001-12-01").cast("date"), (F.col("k") % 300).cast("int")).cast("string")))
+    s = (written_universe(spark, d) if quotes is None else quotes).withColumn("listing_date", F.when(F.col("k") % 5 != 0, F.date_sub(F.lit("2001-12-01").cast("date"), (F.col("k") % 300).cast("int")).cast("string")))
     t = sc.tradability(s, "sym")
     return mg.listing_days(t.drop("listing_date"), s.select("code", "listing_date"), "2001-12-01")
 
@@ -62,7 +62,7 @@ def scr_liquidity(spark, d):
 
 @query("scr_trend", with_bindings(f"WITH {_TRAD.replace('FROM liq', 'FROM tr')} SELECT code, trend_near, trend_aligned FROM trd", "fx_univ"))
 def scr_trend(spark, d):
-    return sc.trend_flags(universe(spark, d)).select("code", "trend_near", "trend_aligned")
+    return sc.trend_flags(written_universe(spark, d)).select("code", "trend_near", "trend_aligned")
 
 
 # scores, risk tags and zones are shown for every security, not only for the survivors
@@ -171,7 +171,7 @@ v3 AS (SELECT *, CASE WHEN q IN ('strong', 'moderate') THEN CASE WHEN tl <> 'hig
 )
 def scr_v1(spark, d):
     c = lambda p, n: F.col(f"computed.{p}").alias(n)
-    return sc.first_record(universe(spark, d)).select(
+    return sc.first_record(written_universe(spark, d)).select(
         "code", c("dual_axis_decision", "decision"), c("op_score", "op_score"), c("opportunity_quality", "opportunity_quality"), c("tail_risk", "tail_risk"), c("tr_count", "tr_count"),
         c("buy_zone.first_lower", "buy_lower"), c("buy_zone.first_upper", "buy_upper"), c("sell_zone.first_lower", "sell_lower"), c("sell_zone.first_upper", "sell_upper"),
         c("sell_zone.first_center", "sell_center"), c("protection_price", "protection_price"), c("trend_aligned", "trend_aligned"), c("vwap_position", "vwap_position"), c("industry_sync_ok", "industry_sync_ok"),
@@ -189,7 +189,7 @@ SELECT code, decision, CAST(CASE WHEN rn <= CASE decision WHEN 'can_enter_candid
     ),
 )
 def scr_v1_review(spark, d):
-    r = sc.first_review(sc.first_record(universe(spark, d)))
+    r = sc.first_review(sc.first_record(written_universe(spark, d)))
     return r.select("code", "decision", "position", F.col("checks.vwap_position").alias("vwap_ok"), F.col("checks.volume_ratio").alias("volume_ok"), "verdict", "reward_risk_ratio", "rr_verdict")
 
 
@@ -199,7 +199,7 @@ def scr_v1_review(spark, d):
 def _v2_input(spark, d):
     """Universe with minute references: stand-ins derived from the bars, absent for some codes."""
     k = F.col("k")
-    u = sc.tradability(universe(spark, d), "sym")
+    u = sc.tradability(written_universe(spark, d), "sym")
     return u.withColumns(
         {
             "full_day_vwap": F.when(k % 4 != 0, F.col("amount") / F.col("volume")),
@@ -261,7 +261,7 @@ def scr_context(spark, d):
 
 @query("scr_upper_shadow", with_bindings(f"WITH {_V2} SELECT code, sr AS day_shadow_ratio, lsx AS long_upper_shadow FROM fin", "fx_univ"))
 def scr_upper_shadow(spark, d):
-    return sc.upper_shadow(universe(spark, d)).select("code", "day_shadow_ratio", F.coalesce("long_upper_shadow", F.lit(False)).alias("long_upper_shadow"))
+    return sc.upper_shadow(written_universe(spark, d)).select("code", "day_shadow_ratio", F.coalesce("long_upper_shadow", F.lit(False)).alias("long_upper_shadow"))
 
 
 @query(
@@ -299,7 +299,7 @@ def scr_dual_axis_detail(spark, d):
 
 @query("scr_industry_sync", with_bindings(f"WITH {_V2} SELECT code, sync AS industry_sync_pass, basis AS industry_sync_basis FROM fin", "fx_univ"))
 def scr_industry_sync(spark, d):
-    u = universe(spark, d)
+    u = written_universe(spark, d)
     return sc.industry_sync(u, cs.industry_aggregate(u)).select("code", F.coalesce("industry_sync_pass", F.lit(False)).alias("industry_sync_pass"), "industry_sync_basis")
 
 
@@ -421,7 +421,7 @@ _V1_SCHEMA = """code string, name string, daily struct<rsi14:double>, computed s
     ),
 )
 def scr_migrate(spark, d):
-    rec = sc.first_record(universe(spark, d))
+    rec = sc.first_record(written_universe(spark, d))
     full = F.struct("code", "name", F.struct(F.col("rsi14")).alias("daily"), "computed")
     bare = F.struct("code", "name")
     raw = rec.select(F.when(F.col("k") % 4 == 0, F.to_json(bare)).otherwise(F.to_json(full)).alias("text"))

@@ -18,3 +18,16 @@ def test_bars_of_the_last_dates(spark):
     plan = QUERIES["prj_provider_tables"](spark, D)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit [code" in plan and "hashpartitioning(code" in plan
     assert not [x for x in plan.splitlines() if "hashpartitioning(code" in x and ", dt" in x]
+
+
+def test_screens_read_the_universe_once(spark):
+    """A screen reads its trades while the universe is written and never again."""
+    for name in ("scr_fees", "scr_opportunity"):
+        plan = QUERIES[name](spark, D)._jdf.queryExecution().optimizedPlan().toString()
+        assert "l_shipdate" not in plan and "s_suppkey" not in plan
+
+
+def test_unlisted_securities_count_in_ranks(spark):
+    every = {r.code: r.rps20 for r in bd.universe(spark, D).collect()}
+    half = {r.code: r.rps20 for r in bd.universe(spark, D, listed=bd.dims(spark, D).where("k % 2 = 0")).collect()}
+    assert half == {c: v for c, v in every.items() if int(c) % 2 == 0} and len(half) < len(every)
