@@ -6,6 +6,7 @@ except the final rankings.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from functools import reduce
 
@@ -145,7 +146,14 @@ def trend_flags(df: DataFrame) -> DataFrame:
 
 
 def _fmt(pattern: str, c: Column) -> Column:
-    return F.format_string(pattern, c)
+    """Text with one number (``%.1f`` or ``%+.1f``, any digits), rounded by its exact binary value, ties to even.
+
+    ``format_string`` rounds the shortest decimal half-up: 53.15, which is a little less in binary, would become 53.2.
+    """
+    before, sign, digits, after = re.fullmatch(r"(.*)%(\+?)\.(\d)f(.*)", pattern).groups()
+    number = "0." + "0" * int(digits) if digits != "0" else "0"
+    shape = f"+{number};-{number}" if sign else number
+    return F.concat(F.lit(before), F.call_function("format_number", c, F.lit(shape)), F.lit(after.replace("%%", "%")))
 
 
 def opportunity_score(df: DataFrame) -> DataFrame:
@@ -512,8 +520,9 @@ def dual_axis(df: DataFrame, high_atr_threshold: float = 4.0) -> DataFrame:
         (mod, _fmt("change_moderate(%+.1f%%)", chg)),
         (slight, _fmt("change_slight(%+.1f%%)", chg)),
         (chg > 7, _fmt("change_excessive(%+.1f%%)", chg)),
-        (rps >= 80, _fmt("rps_strong(%.0f)", rps)),
-        ((rps >= 50) & (rps < 80), _fmt("rps_medium(%.0f)", rps)),
+        # whole ranks round half-up
+        (rps >= 80, F.format_string("rps_strong(%.0f)", rps)),
+        ((rps >= 50) & (rps < 80), F.format_string("rps_medium(%.0f)", rps)),
         (r5 > 0, "return_5d_positive"),
         (r20 > 0, "return_20d_positive"),
         (~sync, "industry_sync_failed"),

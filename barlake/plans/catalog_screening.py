@@ -293,7 +293,7 @@ def scr_dual_axis(spark, d):
     ),
 )
 def scr_dual_axis_detail(spark, d):
-    # labels round half-up; the check does the same for ranks that end in exactly one half
+    # whole ranks round half-up, in the check too
     return _v2(spark, d).select("code", "op_detail")
 
 

@@ -54,3 +54,21 @@ def test_substitute_order(spark):
     rows = [("3", "strong", "high", 9.0), ("2", "strong", "low", 1.0), ("1", "strong", "low", 1.0), ("4", "odd", "odd", None), ("5", "strong", "low", 2.0)]
     df = spark.createDataFrame(rows, "code string, opportunity_quality string, tail_risk string, reward_risk_ratio double").withColumn("g", F.lit(1))
     assert [r.code for r in sc.rank_substitutes(df, ["g"]).orderBy("position").collect()] == ["5", "1", "2", "3", "4"]
+
+
+def test_labels_round_the_exact_value_with_ties_to_even(spark):
+    # 3189 and 681 of 6,000 securities: 53.15 and 11.35 are a little less in binary; 62.25 is a tie
+    rows = [(3189 / 6000 * 100, -0.10005), (681 / 6000 * 100, 0.00125), (62.25, -0.00001), (62.75, 0.07375)]
+    df = spark.createDataFrame(rows, "rps20 double, return_20d double").selectExpr(
+        "*", "1d AS price", "2d AS ma11", "3d AS ma23", "50.5d AS rsi14", "1d AS momentum_delta_1", "1d AS momentum_delta_3", "0.5d AS ctx_boll_position",
+        "1d AS atr14", "1d AS low", "1d AS full_day_vwap", "false AS long_upper_shadow",
+    )
+    got = {r.rps20: (r.channels[0].reason, r.channels[1].reason) for r in sc.channels(df).collect()}
+    assert got == {
+        rps: (f"price_not_above_ma_sequence; rps20_below_70 ({rps:.1f})", f"price_not_above_ma23; return_20d_below_8pct ({ret:.2%})") for rps, ret in rows
+    }
+    row = spark.createDataFrame([(50.5, -0.25, 0.0625)], "rsi14 double, change_pct double, return_20d double").selectExpr(
+        "*", "1.25d AS volume_ratio", "0d AS volume", "1d AS price", "1d AS amount", "-0.04d AS industry_chg", "false AS trend_aligned", "false AS trend_near"
+    )
+    tags = sc.opportunity_score(row).collect()[0].opportunity_tags
+    assert tags == ["rsi_healthy(50)", "vr_good(1.2)", "chg_flat(-0.2%)", "ind_weak(-0.0%)", "ret20_pos(+6.2%)"]
